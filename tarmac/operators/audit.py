@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from tarmac.functions.measures import completed
 
 
-def delay_audit(flights: DataFrame) -> DataFrame:
-    """One row per flown flight with a known arrival delay, early arrivals included."""
+def delay_audit(flights: DataFrame, *extra: str) -> DataFrame:
+    """One row per flown flight with a known arrival delay, early arrivals included.
+
+    A stored flight is logged with the time it was stored, so an audit month rebuilt
+    from the flights table equals the one written at load time. `extra` columns are kept.
+    """
     delay = F.col("arr_delay_min")
     category = (
         F.when(delay <= 0, "on_time")
@@ -17,6 +21,7 @@ def delay_audit(flights: DataFrame) -> DataFrame:
         .when(delay <= 60, "major")
         .otherwise("severe")
     )
+    stored = "created_at" in flights.columns
     return flights.filter(completed() & delay.isNotNull()).select(
         F.col("id").alias("flight_id"),
         "flight_date",
@@ -25,5 +30,6 @@ def delay_audit(flights: DataFrame) -> DataFrame:
         "destination",
         delay.alias("delay_minutes"),
         category.alias("delay_category"),
-        F.current_timestamp().alias("logged_at"),
+        (F.col("created_at") if stored else F.current_timestamp()).alias("logged_at"),
+        *extra,
     )

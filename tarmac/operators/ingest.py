@@ -181,13 +181,16 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def insert_flights(
     new: DataFrame, existing: DataFrame, order: Sequence[str] = SOURCE_COLUMNS
 ) -> DataFrame:
-    """The rows of `new` to add: first per business key, and not yet in `existing`."""
-    candidates = first_per_key(new, BUSINESS_KEY, order).alias("n")
-    keys = existing.select(*BUSINESS_KEY).alias("e")
-    same_key = F.lit(True)
-    for key in BUSINESS_KEY:
-        same_key &= F.col(f"n.{key}").eqNullSafe(F.col(f"e.{key}"))
-    return candidates.join(keys, same_key, "left_anti")
+    """The rows of `new` to add: first per business key, and not yet in `existing`.
+
+    Stored keys and new rows go through one grouping in which a stored key comes
+    first, so a single shuffle settles both kinds of conflict, NULLs compare equal, and
+    each map task sends on at most one row per key.
+    """
+    stored = existing.select(*BUSINESS_KEY, F.lit(0).alias("_arrival"))
+    merged = new.withColumn("_arrival", F.lit(1)).unionByName(stored, allowMissingColumns=True)
+    first = first_per_key(merged, BUSINESS_KEY, ["_arrival", *order])
+    return first.filter(F.col("_arrival") == 1).drop("_arrival")
 
 
 def file_stats(checked: DataFrame, inserted: DataFrame) -> DataFrame:

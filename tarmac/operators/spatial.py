@@ -25,6 +25,7 @@ MIN_SHORT_ROUTE_FLIGHTS = 500
 SHORT_ROUTE_M = 500_000
 TOP_ROUTES = 20
 TOP_NEARBY = 15
+CLUSTER_PARTITIONS = 8
 
 
 def _located(airports: DataFrame) -> DataFrame:
@@ -161,11 +162,12 @@ def short_route_delay(
 def cluster_airports(airports: DataFrame, k: int = 6, country: str = "US", seed: int = 7) -> DataFrame:
     """Located airports of a country with a k-means `cluster_id` on longitude and latitude.
 
-    Rows are put in key order first, so the seeded start is the same on every run.
+    Rows get a fixed layout first (hashed by code, sorted), so that the seeded start is
+    the same on every run.
     """
     located = _located(airports).filter(F.col("country") == country)
     points = VectorAssembler(inputCols=["lon", "lat"], outputCol="point").transform(
-        located.repartitionByRange(1, "iata_code").sortWithinPartitions("iata_code")
+        located.repartition(CLUSTER_PARTITIONS, "iata_code").sortWithinPartitions("iata_code")
     )
     model = KMeans(k=k, seed=seed, featuresCol="point", predictionCol="cluster_id").fit(points)
     return model.transform(points).drop("point")

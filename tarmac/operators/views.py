@@ -1,7 +1,7 @@
 """Trend and operations views, and the five summary tables.
 
-Each summary has a `*_from(fine, ...)` form that works on any measure table at least
-as fine as its own grain, so one pass over the flights can feed several summaries.
+Each summary comes in two forms: from the flights, and `*_from` a finer measure table,
+so that one pass over the flights can feed several summaries.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from tarmac.operators.kpi import with_airline_name
 MIN_RISK_FLIGHTS = 50
 MIN_TOP_ROUTE_FLIGHTS = 100
 MIN_CARRIER_ROUTE_FLIGHTS = 20
+CARRIER_ROUTE = ("origin", "destination", "airline_code")
 
 
 def _by_month(flights: DataFrame, *keys: str) -> DataFrame:
@@ -76,9 +77,9 @@ def fine_measures(flights: DataFrame) -> DataFrame:
     return _by_month(flights, "airline_code", "origin", "destination")
 
 
-def airline_summary_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
+def _shape_airline_summary(totals: DataFrame, airlines: DataFrame) -> DataFrame:
     return decimals_to_double(
-        with_airline_name(m.roll_up(fine, ["airline_code"]), airlines).select(
+        with_airline_name(totals, airlines).select(
             "airline_code",
             "airline_name",
             "total_flights",
@@ -96,7 +97,11 @@ def airline_summary_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
 
 
 def airline_summary(flights: DataFrame, airlines: DataFrame) -> DataFrame:
-    return airline_summary_from(m.measures(flights, ["airline_code"]), airlines)
+    return _shape_airline_summary(m.measures(flights, ["airline_code"]), airlines)
+
+
+def airline_summary_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
+    return _shape_airline_summary(m.roll_up(fine, ["airline_code"]), airlines)
 
 
 def delay_heatmap(flights: DataFrame) -> DataFrame:
@@ -138,10 +143,8 @@ def with_route_ends(routes: DataFrame, airports: DataFrame) -> DataFrame:
     )
 
 
-def top_routes_from(fine: DataFrame, airports: DataFrame) -> DataFrame:
-    routes = m.roll_up(fine, ["origin", "destination"]).filter(
-        F.col("total_flights") >= MIN_TOP_ROUTE_FLIGHTS
-    )
+def _shape_top_routes(totals: DataFrame, airports: DataFrame) -> DataFrame:
+    routes = totals.filter(F.col("total_flights") >= MIN_TOP_ROUTE_FLIGHTS)
     return decimals_to_double(
         with_route_ends(routes, airports).select(
             "origin",
@@ -165,12 +168,16 @@ def top_routes_from(fine: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def top_routes(flights: DataFrame, airports: DataFrame) -> DataFrame:
-    return top_routes_from(m.measures(flights, ["origin", "destination"]), airports)
+    return _shape_top_routes(m.measures(flights, ["origin", "destination"]), airports)
 
 
-def monthly_trend_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
+def top_routes_from(fine: DataFrame, airports: DataFrame) -> DataFrame:
+    return _shape_top_routes(m.roll_up(fine, ["origin", "destination"]), airports)
+
+
+def _shape_monthly_trend(totals: DataFrame, airlines: DataFrame) -> DataFrame:
     return decimals_to_double(
-        with_airline_name(m.roll_up(fine, ["month", "airline_code"]), airlines).select(
+        with_airline_name(totals, airlines).select(
             "month",
             "airline_code",
             "airline_name",
@@ -187,13 +194,15 @@ def monthly_trend_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
 
 
 def monthly_trend(flights: DataFrame, airlines: DataFrame) -> DataFrame:
-    return monthly_trend_from(_by_month(flights, "airline_code"), airlines)
+    return _shape_monthly_trend(_by_month(flights, "airline_code"), airlines)
 
 
-def route_performance_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
-    pairs = m.roll_up(fine, ["origin", "destination", "airline_code"]).filter(
-        F.col("total_flights") >= MIN_CARRIER_ROUTE_FLIGHTS
-    )
+def monthly_trend_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
+    return _shape_monthly_trend(m.roll_up(fine, ["month", "airline_code"]), airlines)
+
+
+def _shape_route_performance(totals: DataFrame, airlines: DataFrame) -> DataFrame:
+    pairs = totals.filter(F.col("total_flights") >= MIN_CARRIER_ROUTE_FLIGHTS)
     return decimals_to_double(
         with_airline_name(pairs, airlines).select(
             "origin",
@@ -209,6 +218,8 @@ def route_performance_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
 
 
 def route_performance(flights: DataFrame, airlines: DataFrame) -> DataFrame:
-    return route_performance_from(
-        m.measures(flights, ["origin", "destination", "airline_code"]), airlines
-    )
+    return _shape_route_performance(m.measures(flights, CARRIER_ROUTE), airlines)
+
+
+def route_performance_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
+    return _shape_route_performance(m.roll_up(fine, CARRIER_ROUTE), airlines)

@@ -18,8 +18,9 @@ Query = Callable[[Data], DataFrame]
 
 def _checked(d: Data) -> DataFrame:
     """Every raw row, parsed and checked against the ingested dimensions."""
-    airlines = ingest.ingest_airlines(d.raw_flights)
-    return ingest.check_constraints(ingest.parse_flights(d.raw_flights), airlines, d.airports)
+    return ingest.check_constraints(
+        ingest.parse_flights(d.raw_flights), d.loaded_airlines, d.airports
+    )
 
 
 def _insertable(d: Data) -> DataFrame:
@@ -114,6 +115,7 @@ CATALOG: dict[str, Query] = {
     "insert_flights": lambda d: _inserted(d).drop("source_block"),
     "load_summary": _load_summary,
     "file_stats": lambda d: ingest.file_stats(_checked(d), _inserted(d)),
+    "load_flights": round_trips.load_flights,
     "dry_run": lambda d: ingest.dry_run(d.raw_flights),
     "refresh_summaries": round_trips.refresh_summaries,
     "summary_counts": lambda d: tables.count_rows(_summary_frames(d), "summary_name"),

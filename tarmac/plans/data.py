@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.parsing import missing_to_null
 from tarmac.operators.audit import delay_audit
-from tarmac.operators.ingest import RAW_FLIGHT_COLUMNS, ingest_airports
+from tarmac.operators.ingest import RAW_FLIGHT_COLUMNS, ingest_airlines, ingest_airports
 from tarmac.plans import fixtures
 from tarmac.plans.workdir import work_root
 from tarmac.sources import files
-from tarmac.sources.tables import FLIGHT_COLUMNS, read_flights, write_flights
+from tarmac.sources.tables import (
+    FLIGHT_COLUMNS,
+    current_path,
+    publish,
+    read_current,
+    read_flights,
+    write_flights,
+)
 
 YEARS = (2023,)
 YEAR = ("2023-01-01", "2023-12-31")
@@ -94,6 +101,17 @@ class Data:
             ]
         )
 
+    @property
+    def loaded_airlines(self) -> DataFrame:
+        """The carriers of the raw flights as a stored table, loaded before the flights.
+
+        Stored, its size is known, so checks against it need not shuffle the flights.
+        """
+        with _lock:
+            if current_path(self.spark, self.root, "airlines") is None:
+                publish(ingest_airlines(self.raw_flights), self.root, "airlines")
+        return read_current(self.spark, self.root, "airlines")
+
     @property
     def raw_airports_text(self) -> DataFrame:
         return self._sql(fixtures.RAW_AIRPORTS)

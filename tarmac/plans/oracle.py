@@ -437,6 +437,15 @@ def _build() -> dict[str, str]:
         SELECT c.source_file, count(*) AS total_rows, COALESCE(any_value(inserted), 0) AS inserted,
           {n("NOT is_valid")} AS skipped, {n("is_valid AND reject_reason IS NOT NULL")} AS errors
         FROM checked c LEFT JOIN added a ON a.source_file = c.source_file GROUP BY c.source_file""", *INSERT)
+    union_all = f"""SELECT flight_date, arr_delay_min, cancelled FROM inserted UNION ALL
+        SELECT flight_date, arr_delay_min, cancelled FROM flights WHERE flight_number < '500'"""
+    q["load_flights"] = statement(f"""
+        , stored AS ({union_all})
+        SELECT strftime(flight_date, '%Y-%m') AS flight_month,
+          CASE WHEN arr_delay_min > 60 THEN 'severe' WHEN arr_delay_min > 15 THEN 'major'
+               WHEN arr_delay_min > 0 THEN 'minor' ELSE 'on_time' END AS delay_category,
+          count(*) AS row_count, CAST(sum(arr_delay_min) AS BIGINT) AS minutes
+        FROM stored WHERE NOT cancelled AND arr_delay_min IS NOT NULL GROUP BY ALL""", *INSERT)
     q["dry_run"] = statement(f"""
         , head AS (SELECT * FROM marked ORDER BY source_file, source_row LIMIT 1000)
         SELECT (SELECT count(*) FROM marked) AS total_rows, CAST(0 AS BIGINT) AS inserted,

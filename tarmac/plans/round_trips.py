@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators import ingest
 from tarmac.plans.data import YEARS, Data
-from tarmac.sources import csv, files, tables
+from tarmac.sources import csv, files, load, tables
 from tarmac.streaming import jobs
 
 
@@ -48,6 +48,21 @@ def read_airports_csv(d: Data) -> DataFrame:
     return reduce(DataFrame.unionByName, [csv.read_airports_csv(d.spark, p) for p in parts])
 
 
+def load_flights(d: Data) -> DataFrame:
+    """Raw CSV files through the whole load, on top of some flights already stored."""
+    folder = _folder(d, "load")
+    _write_csv(d.raw_flights_text.select(*ingest.RAW_FLIGHT_COLUMNS), f"{folder}/csv")
+    stored = d.plain_flights.filter(F.col("flight_number") < "500")
+    tables.write_flights(stored, f"{folder}/flights", YEARS)
+    paths = csv.flight_files(d.spark, f"{folder}/csv")
+    load.load_flight_files(d.spark, paths, folder, d.loaded_airlines, d.airports, YEARS)
+    return (
+        tables.read_audit(d.spark, f"{folder}/audit")
+        .groupBy("flight_month", "delay_category")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("delay_minutes").alias("minutes"))
+    )
+
+
 def write_flights(d: Data) -> DataFrame:
     """Half a year shifted out of the declared year lands in the default partition."""
     path = _folder(d, "shifted")

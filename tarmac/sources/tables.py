@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.dates import DEFAULT_PARTITION, month_label
 from tarmac.operators import views
+from tarmac.operators.audit import delay_audit
 from tarmac.operators.ingest import SOURCE_COLUMNS, insert_flights, upsert
 from tarmac.sources import files
 
@@ -79,8 +80,16 @@ def write_flights(df: DataFrame, path: str, years: Iterable[int], mode: str = "a
     _write_months(_as_flights(with_partition(df, years)), path, mode)
 
 
-def write_audit(df: DataFrame, path: str, years: Iterable[int], mode: str = "append") -> None:
-    _write_months(with_partition(df, years), path, mode)
+def rebuild_audit(spark: SparkSession, flights: str, audit: str, months: Sequence[str]) -> None:
+    """Write the audit rows of some months afresh from the flights table.
+
+    Replacing whole months keeps flights and audit in step however often a load is
+    repeated, and removes the audit rows of flights that were replaced.
+    """
+    picked = read_flights(spark, flights).filter(F.col("flight_month").isin(*months))
+    _laid_out(delay_audit(picked, "flight_month")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("flight_month").parquet(audit)
 
 
 def _write_months(rows: DataFrame, path: str, mode: str) -> None:
@@ -103,23 +112,33 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
-def append_new_flights(
-    new: DataFrame, path: str, years: Iterable[int], order: Sequence[str] = SOURCE_COLUMNS
-) -> None:
-    """Append the rows whose business key is new; running it again adds nothing.
+def months_of(rows: DataFrame) -> list[str]:
+    """Partitions a frame touches: at most twelve per declared year and the default one."""
+    return [r[0] for r in rows.select("flight_month").distinct().collect()]
+
+
+def new_flights(
+    arriving: DataFrame, path: str, years: Iterable[int], order: Sequence[str] = SOURCE_COLUMNS
+) -> DataFrame:
+    """The arriving rows whose business key is new to the table.
 
-    Only the partitions that `new` touches are compared. Their names are collected:
-    at most twelve per declared year and the default one.
+    Only the partitions that the rows touch are compared.
     """
-    spark = new.sparkSession
-    years = check_years(years)
-    rows = with_partition(new, years)
+    spark = arriving.sparkSession
+    rows = with_partition(arriving, check_years(years))
     if files.child_names(spark, path):
-        touched = [r[0] for r in rows.select("flight_month").distinct().collect()]
-        existing = read_flights(spark, path).filter(F.col("flight_month").isin(*touched))
+        touched = F.col("flight_month").isin(*months_of(rows))
+        existing = read_flights(spark, path).filter(touched)
     else:
         existing = spark.createDataFrame([], FLIGHTS_SCHEMA)
-    write_flights(insert_flights(rows, existing, order), path, years)
+    return insert_flights(rows, existing, order).drop("flight_month")
+
+
+def append_new_flights(
+    arriving: DataFrame, path: str, years: Iterable[int], order: Sequence[str] = SOURCE_COLUMNS
+) -> None:
+    """Append the rows whose business key is new; running it again adds nothing."""
+    write_flights(new_flights(arriving, path, years, order), path, years)
 
 
 def month_of_file(name: str) -> str:
@@ -137,14 +156,13 @@ def replace_month(
     file_name: str,
     years: Iterable[int],
     order: Sequence[str] = SOURCE_COLUMNS,
-    audit: DataFrame | None = None,
     audit_path: str | None = None,
 ) -> None:
     """Replace the month a file is named after by the rows of that file.
 
     The month's folder is overwritten as a whole, also when the file has no row for
-    it; rows of other months in the file are added like any insert. Audit rows, if
-    given, are replaced along with the month they belong to.
+    it; rows of other months in the file are added like any insert. The audit table, if
+    named, gets the same months replaced.
     """
     month = month_of_file(file_name)
     years = check_years(years)
@@ -155,10 +173,13 @@ def replace_month(
     nothing = spark.createDataFrame([], FLIGHTS_SCHEMA)
     rows = _as_flights(insert_flights(with_partition(new, years), nothing, order))
     _overwrite_folder(rows.filter(inside), f"{path}/flight_month={month}")
-    append_new_flights(with_partition(new, years).filter(~inside), path, years, order)
-    if audit is not None and audit_path is not None:
-        marked = with_partition(audit, years).filter(inside)
-        _overwrite_folder(marked, f"{audit_path}/flight_month={month}")
+    others = with_partition(new, years).filter(~inside)
+    append_new_flights(others, path, years, order)
+    if audit_path is not None:
+        stored = read_flights(spark, path).filter(inside)
+        _overwrite_folder(delay_audit(stored, "flight_month"), f"{audit_path}/flight_month={month}")
+        if other_months := months_of(others):
+            rebuild_audit(spark, path, audit_path, other_months)
 
 
 def _overwrite_folder(rows: DataFrame, folder: str) -> None:
