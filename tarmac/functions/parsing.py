@@ -26,30 +26,34 @@ def code(text: Column) -> Column:
     return F.upper(strip(text))
 
 
-def to_double(text: Column) -> Column:
-    """Number or NULL; NaN is NULL. A trailing type letter (`1d`, `2f`) is no number."""
-    body = strip(text)
-    number = body.try_cast("double")
-    typed = F.lower(F.right(body, F.lit(1))).isin("d", "f")
-    return F.when(~typed & ~F.isnan(number), number)
+def to_number(text: Column) -> Column:
+    """Number or NULL, NaN included. Letters that only Java takes for part of a number
+    (type letters, hexadecimal exponents) are spoilt first; blanks around are allowed."""
+    return F.translate(text, "dDfFpP", "xxxxxx").try_cast("double")
+
 
+def known(number: Column) -> Column:
+    """NaN to NULL."""
+    return F.nullif(number, F.lit(float("nan")))
 
-def to_int(text: Column) -> Column:
-    """Number truncated toward zero; NULL when it does not fit an INT."""
-    return to_double(text).try_cast("int")
 
+def whole(number: Column) -> Column:
+    """Truncated toward zero; NULL when it does not fit an INT, like NaN."""
+    return number.try_cast("int")
 
-def to_flag(text: Column) -> Column:
-    return F.coalesce(to_double(text) == 1.0, F.lit(False))
 
+def flag(number: Column) -> Column:
+    return F.coalesce(number == 1.0, F.lit(False))
 
-def to_clock(text: Column) -> Column:
+
+def clock(number: Column) -> Column:
     """`HHMM` as a number to `HH:MM:00`; 2400 is midnight, minutes over 59 are NULL."""
-    n = F.pmod(to_int(text), F.lit(2400))
-    minute = n % 100
-    hour = ((n - minute) / 100).cast("int")
-    two = lambda x: F.lpad(x.cast("string"), 2, "0")
-    return F.when(minute <= 59, F.concat(two(hour), F.lit(":"), two(minute), F.lit(":00")))
+    n = F.pmod(whole(number), F.lit(2400))
+    digits = (n + 10000).cast("string")
+    shown = F.concat(
+        F.substring(digits, 2, 2), F.lit(":"), F.substring(digits, 4, 2), F.lit(":00")
+    )
+    return F.when(n % 100 <= 59, shown)
 
 
 def to_day(text: Column) -> Column:

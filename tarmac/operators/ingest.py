@@ -76,30 +76,39 @@ _DELAYS = ("dep_delay_min", "arr_delay_min")
 
 
 def parse_flights(raw: DataFrame) -> DataFrame:
-    """Typed columns plus `is_valid`; every raw row stays. Source columns pass through."""
-    col = {target: F.col(source) for source, target in RAW_FLIGHT_COLUMNS.items()}
+    """Typed columns plus `is_valid`; every raw row stays. Source columns pass through.
+
+    The twelve numeric texts of a row are read by one function over an array rather
+    than column by column: spelled out, the whole projection would outgrow what the
+    JVM compiles, and run many times slower.
+    """
+    text = {target: F.col(source) for source, target in RAW_FLIGHT_COLUMNS.items()}
+    kept = [c for c in raw.columns if c not in RAW_FLIGHT_COLUMNS]
+    texts = {c: text[c] for c in ("flight_date", "airline_code", "flight_number", "origin", "destination")}
+    numeric = [c for c in RAW_FLIGHT_COLUMNS.values() if c not in texts]
+    numbers = F.transform(F.array(*[text[c] for c in numeric]), p.to_number)
+    read = raw.select(*[c.alias(name) for name, c in texts.items()], numbers.alias("_n"), *kept)
+    number = {c: F.col("_n")[i] for i, c in enumerate(numeric)}
+
     typed = {
-        "flight_date": p.to_day(col["flight_date"]),
-        "airline_code": p.code(col["airline_code"]),
+        "flight_date": p.to_day(F.col("flight_date")),
+        "airline_code": p.code(F.col("airline_code")),
         "flight_number": F.nullif(
-            F.substring(p.strip(col["flight_number"]), 1, 10), F.lit("")
+            F.substring(p.strip(F.col("flight_number")), 1, 10), F.lit("")
         ),
-        "origin": p.code(col["origin"]),
-        "destination": p.code(col["destination"]),
-        "dep_time": p.to_clock(col["dep_time"]),
-        "arr_time": p.to_clock(col["arr_time"]),
-        "cancelled": p.to_flag(col["cancelled"]),
-        "diverted": p.to_flag(col["diverted"]),
+        "origin": p.code(F.col("origin")),
+        "destination": p.code(F.col("destination")),
+        "dep_time": p.clock(number["dep_time"]),
+        "arr_time": p.clock(number["arr_time"]),
+        "cancelled": p.flag(number["cancelled"]),
+        "diverted": p.flag(number["diverted"]),
     }
     for name in _INTS:
-        typed[name] = p.to_int(col[name])
+        typed[name] = p.whole(number[name])
     for name in _DELAYS:
-        minutes = p.to_int(col[name])
+        minutes = p.whole(number[name])
         typed[name] = F.when(minutes >= EARLIEST_DELAY, minutes)
-    kept = [c for c in raw.columns if c not in RAW_FLIGHT_COLUMNS]
-    parsed = raw.select(
-        *[typed[t].alias(t) for t in RAW_FLIGHT_COLUMNS.values()], *kept
-    )
+    parsed = read.select(*[typed[t].alias(t) for t in RAW_FLIGHT_COLUMNS.values()], *kept)
     right_length = (
         (F.length("airline_code") == 2)
         & (F.length("origin") == 3)
@@ -251,9 +260,9 @@ def ingest_airports(raw: DataFrame) -> DataFrame:
         F.nullif(p.strip(F.col("name")), F.lit("")).alias("name"),
         F.nullif(p.strip(F.col("municipality")), F.lit("")).alias("city"),
         F.nullif(F.substring(p.strip(F.col("iso_country")), 1, 2), F.lit("")).alias("country"),
-        p.to_double(F.col("longitude_deg")).alias("lon"),
-        p.to_double(F.col("latitude_deg")).alias("lat"),
-        p.to_int(F.col("elevation_ft")).alias("elevation_ft"),
+        p.known(p.to_number(F.col("longitude_deg"))).alias("lon"),
+        p.known(p.to_number(F.col("latitude_deg"))).alias("lat"),
+        p.whole(p.to_number(F.col("elevation_ft"))).alias("elevation_ft"),
         F.coalesce(
             F.nullif(p.strip(optional("tzid")), F.lit("")),
             F.nullif(p.strip(optional("time_zone")), F.lit("")),

@@ -32,9 +32,9 @@ _lock = threading.RLock()
 class Data:
     """Lazy access to the derived tables.
 
-    `flights` is the one large table: it is loaded once per application into a
-    month-partitioned Parquet table, as a data load would, and every query then scans
-    that table with its own columns, filters and months. It keeps no Spark cache and
+    The large tables, `flights` and its raw text, are stored once per application (the
+    flights partitioned by month), as a data load would, and every query then scans them
+    with its own columns, filters and months. No Spark cache is kept, and what is stored
     survives lost executors.
     """
 
@@ -88,8 +88,12 @@ class Data:
 
     @property
     def raw_flights_text(self) -> DataFrame:
-        """Raw rows as they stand in a file, missing-value marks included."""
-        return self._sql(fixtures.RAW_FLIGHTS, flights=self.plain_flights)
+        """Raw rows as they stand in a file, missing-value marks included; stored once."""
+        with _lock:
+            if current_path(self.spark, self.root, "raw_flights") is None:
+                text = self._sql(fixtures.RAW_FLIGHTS, flights=self.plain_flights)
+                publish(text, self.root, "raw_flights")
+        return read_current(self.spark, self.root, "raw_flights")
 
     @property
     def raw_flights(self) -> DataFrame:

@@ -91,51 +91,48 @@ FROM flights WHERE id % 70 = 0
 
 # Raw text rows of a monthly file: several date styles, blanks, lower case, junk,
 # missing-value marks, and a second copy of one row in forty with another distance.
+# `k` picks the odd rows: about one row in 499 for each kind of oddity.
 RAW_FLIGHTS = """
 WITH copies AS (
   SELECT *, 0 AS copy FROM flights
   UNION ALL SELECT *, 1 AS copy FROM flights WHERE id % 40 = 0
 ), parts AS (
-  SELECT *, CAST(year(flight_date) AS STRING) AS yy, CAST(month(flight_date) AS STRING) AS mm,
+  SELECT *, CAST(id % 499 AS INT) AS k, CAST(id % 11 AS INT) AS style,
+         CAST(year(flight_date) AS STRING) AS yy, CAST(month(flight_date) AS STRING) AS mm,
          CAST(day(flight_date) AS STRING) AS dd,
-         CAST(CAST((substr(dep_time, 1, 2) || substr(dep_time, 4, 2)) AS INT) AS STRING) AS dep_hhmm,
-         CAST(CAST((substr(arr_time, 1, 2) || substr(arr_time, 4, 2)) AS INT) AS STRING) AS arr_hhmm
+         substr(dep_time, 1, 2) || substr(dep_time, 4, 2) AS dep_hhmm,
+         CAST(CAST(substr(arr_time, 1, 2) || substr(arr_time, 4, 2) AS INT) AS STRING) AS arr_hhmm
   FROM copies
 )
 SELECT
-  CASE WHEN id % 53 = 0 THEN 'junk' WHEN id % 59 = 0 THEN '2023-13-40' WHEN id % 61 = 0 THEN NULL
-       WHEN id % 67 = 0 THEN '2/30/2023' WHEN id % 71 = 0 THEN 'NaN'
-       WHEN id % 7 = 0 THEN (mm || '/' || dd || '/' || yy)
-       WHEN id % 7 = 1 THEN (' ' || mm || '/' || dd || '/' || yy || ' 12:00:00 AM')
-       WHEN id % 7 = 2 THEN (yy || '-' || mm || '-' || dd)
-       ELSE (yy || '-' || lpad(mm, 2, '0') || '-' || lpad(dd, 2, '0')) END AS "FL_DATE",
-  CASE WHEN id % 103 = 0 THEN (airline_code || 'X')
-       WHEN id % 11 = 0 THEN (' ' || lower(airline_code) || ' ')
+  CASE WHEN k = 1 THEN 'junk' WHEN k = 2 THEN '2023-13-40' WHEN k = 3 THEN NULL
+       WHEN k = 4 THEN '2/30/2023' WHEN k = 5 THEN 'NaN'
+       WHEN style < 3 THEN mm || '/' || dd || '/' || yy
+       WHEN style = 3 THEN ' ' || mm || '/' || dd || '/' || yy || ' 12:00:00 AM'
+       ELSE yy || '-' || mm || '-' || dd END AS "FL_DATE",
+  CASE WHEN k = 6 THEN airline_code || 'X' WHEN style = 4 THEN ' ' || lower(airline_code) || ' '
        ELSE airline_code END AS "OP_UNIQUE_CARRIER",
-  CASE WHEN id % 139 = 0 THEN (' 1234567890' || flight_number)
-       WHEN id % 151 = 0 THEN NULL ELSE flight_number END AS "OP_CARRIER_FL_NUM",
-  CASE WHEN id % 107 = 0 THEN substr(origin, 1, 2) WHEN id % 109 = 0 THEN NULL
-       WHEN id % 13 = 0 THEN (lower(origin) || ' ') ELSE origin END AS "ORIGIN",
-  CASE WHEN id % 137 = 0 THEN origin ELSE destination END AS "DEST",
-  CASE WHEN id % 73 = 0 THEN '2400' WHEN id % 79 = 0 THEN '1299' WHEN id % 83 = 0 THEN 'junk'
-       WHEN id % 157 = 0 THEN 'N/A' ELSE dep_hhmm END AS "DEP_TIME",
-  CASE WHEN id % 89 = 0 THEN '-121' WHEN id % 97 = 0 THEN (CAST(dep_delay_min AS STRING) || '.9')
-       ELSE (CAST(dep_delay_min AS STRING) || '.00') END AS "DEP_DELAY",
-  CASE WHEN id % 163 = 0 THEN '-30' ELSE arr_hhmm END AS "ARR_TIME",
-  CASE WHEN id % 89 = 0 THEN '-120.9' WHEN id % 101 = 0 THEN 'nan'
-       ELSE (CAST(arr_delay_min AS STRING) || '.00') END AS "ARR_DELAY",
-  CASE WHEN id % 167 = 0 THEN NULL WHEN cancelled THEN '1.00' ELSE '0.00' END AS "CANCELLED",
-  CASE WHEN id % 173 = 0 THEN 'yes' WHEN diverted THEN '1' ELSE '0.00' END AS "DIVERTED",
-  CASE WHEN id % 113 = 0 THEN '0' WHEN id % 127 = 0 THEN '-5.00' WHEN id % 149 = 0 THEN '12d'
-       WHEN id % 179 = 0 THEN '1e20'
-       ELSE (CAST(distance_miles + copy AS STRING) || '.00') END AS "DISTANCE",
-  CASE WHEN id % 131 = 0 THEN '-1.00'
-       ELSE (CAST(carrier_delay AS STRING) || '.00') END AS "CARRIER_DELAY",
-  (CAST(weather_delay AS STRING) || '.00') AS "WEATHER_DELAY",
-  (CAST(nas_delay AS STRING) || '.00') AS "NAS_DELAY",
-  (CAST(security_delay AS STRING) || '.00') AS "SECURITY_DELAY",
-  (CAST(late_aircraft_delay AS STRING) || '.00') AS "LATE_AIRCRAFT_DELAY",
-  (yy || '_' || lpad(mm, 2, '0') || '.csv') AS source_file,
+  CASE WHEN k = 7 THEN ' 1234567890' || flight_number WHEN k = 8 THEN NULL
+       ELSE flight_number END AS "OP_CARRIER_FL_NUM",
+  CASE WHEN k = 9 THEN substr(origin, 1, 2) WHEN k = 10 THEN NULL
+       WHEN style = 5 THEN lower(origin) || ' ' ELSE origin END AS "ORIGIN",
+  CASE WHEN k = 11 THEN origin ELSE destination END AS "DEST",
+  CASE WHEN k = 12 THEN '2400' WHEN k = 13 THEN '1299' WHEN k = 14 THEN 'junk'
+       WHEN k = 15 THEN 'N/A' ELSE dep_hhmm END AS "DEP_TIME",
+  CASE WHEN k = 16 THEN '-121' ELSE CAST(dep_delay_min AS STRING) || '.9' END AS "DEP_DELAY",
+  CASE WHEN k = 17 THEN '-30' ELSE arr_hhmm END AS "ARR_TIME",
+  CASE WHEN k = 16 THEN '-120.9' WHEN k = 18 THEN 'nan'
+       ELSE CAST(arr_delay_min AS STRING) || '.00' END AS "ARR_DELAY",
+  CASE WHEN k = 19 THEN NULL WHEN cancelled THEN '1.00' ELSE '0.00' END AS "CANCELLED",
+  CASE WHEN k = 20 THEN 'yes' WHEN diverted THEN '1' ELSE '0.00' END AS "DIVERTED",
+  CASE WHEN k = 21 THEN '0' WHEN k = 22 THEN '-5.00' WHEN k = 23 THEN '12d' WHEN k = 24 THEN '1e20'
+       ELSE CAST(distance_miles + copy AS STRING) END AS "DISTANCE",
+  CASE WHEN k = 25 THEN '-1.00' ELSE CAST(carrier_delay AS STRING) END AS "CARRIER_DELAY",
+  CAST(weather_delay AS STRING) AS "WEATHER_DELAY",
+  CAST(nas_delay AS STRING) AS "NAS_DELAY",
+  CAST(security_delay AS STRING) AS "SECURITY_DELAY",
+  CAST(late_aircraft_delay AS STRING) || '.0' AS "LATE_AIRCRAFT_DELAY",
+  yy || '_' || lpad(mm, 2, '0') || '.csv' AS source_file,
   CAST(0 AS BIGINT) AS source_block,
   id * 2 + copy AS source_row
 FROM parts
