@@ -77,25 +77,25 @@ SELECT * FROM (VALUES
 ) AS t(iata_code, name, country)
 """
 
-# Every row of `flights`, plus repeats of one row in fifty and of rows with bad values.
+# Every row of `flights`, plus repeats of about one row in fifty and of rows with bad values.
 DIRTY_FLIGHTS = """
 SELECT * FROM flights
-UNION ALL SELECT * FROM flights WHERE id % 50 = 0
+UNION ALL SELECT * FROM flights WHERE id % 51 = 0
 UNION ALL
 SELECT id, flight_date, airline_code, flight_number, origin, destination, dep_time,
        -200 AS dep_delay_min, arr_time, -200 AS arr_delay_min, cancelled, diverted,
        0 AS distance_miles, carrier_delay, weather_delay, nas_delay, security_delay,
        late_aircraft_delay
-FROM flights WHERE id % 70 = 0
+FROM flights WHERE id % 71 = 0
 """
 
 # Raw text rows of a monthly file: several date styles, blanks, lower case, junk,
-# missing-value marks, and a second copy of one row in forty with another distance.
+# missing-value marks, and a second copy of about one row in forty with another distance.
 # `k` picks the odd rows: about one row in 499 for each kind of oddity.
 RAW_FLIGHTS = """
 WITH copies AS (
   SELECT *, 0 AS copy FROM flights
-  UNION ALL SELECT *, 1 AS copy FROM flights WHERE id % 40 = 0
+  UNION ALL SELECT *, 1 AS copy FROM flights WHERE id % 41 = 0
 ), parts AS (
   SELECT *, CAST(id % 499 AS INT) AS k, CAST(id % 11 AS INT) AS style,
          CAST(year(flight_date) AS STRING) AS yy, CAST(month(flight_date) AS STRING) AS mm,
