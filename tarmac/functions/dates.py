@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PARTITION = "default"
-
-
-def month_start(day: Column) -> Column:
-    return F.trunc(day, "MM")
+MONTH = "trunc(flight_date, 'MM') AS month"
 
 
 def month_label(day: Column) -> Column:
@@ -18,14 +17,15 @@ def month_label(day: Column) -> Column:
     return F.concat(year, F.lit("-"), F.lpad(F.month(day).cast("string"), 2, "0"))
 
 
-def date_range(df: DataFrame, start: str, end: str) -> DataFrame:
+def date_range(df: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """Rows dated `start`..`end`, both included.
 
     On a table partitioned by `flight_month` the same range is also put on the
     partition column, which prunes folders; undeclared months live in the default one.
     """
-    cond = F.col("flight_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    first, last = (date.fromisoformat(str(day)).isoformat() for day in (start, end))
+    cond = f"flight_date BETWEEN DATE'{first}' AND DATE'{last}'"
     if "flight_month" in df.columns:
-        month = F.col("flight_month")
-        cond &= month.between(str(start)[:7], str(end)[:7]) | (month == DEFAULT_PARTITION)
+        months = f"flight_month BETWEEN '{first[:7]}' AND '{last[:7]}'"
+        cond += f" AND ({months} OR flight_month = '{DEFAULT_PARTITION}')"
     return df.filter(cond)

@@ -1,55 +1,49 @@
-"""Distances on the WGS 84 spheroid as column expressions."""
+"""Distances on the WGS 84 spheroid, as SQL expression text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # WGS 84 semi-major axis in metres and flattening.
 EQUATOR_RADIUS_M = 6378137.0
 FLATTENING = 1 / 298.257223563
-KM_PER_MILE = 1.60934
+KM_PER_MILE = "1.60934"
 
 
-def _sq(x: Column) -> Column:
-    return x * x
+def _sq(x: str) -> str:
+    return f"power({x}, 2)"
 
 
-def distance_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+def distance_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     """Metres between two points by Lambert's long-line formula.
 
     The formula corrects the central angle of the reduced latitudes; it is 0/0 for
     equal points (distance 0) and singular for opposite ones (spherical distance).
     """
-    squash = 1 - FLATTENING
-    b1 = F.atan(squash * F.tan(F.radians(lat1)))
-    b2 = F.atan(squash * F.tan(F.radians(lat2)))
-    d_lon = F.radians(lon2) - F.radians(lon1)
-    hav = _sq(F.sin((b2 - b1) / 2)) + F.cos(b1) * F.cos(b2) * _sq(F.sin(d_lon / 2))
-    angle = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), hav)))
-    p, q = (b1 + b2) / 2, (b2 - b1) / 2
-    cos_half, sin_half = _sq(F.cos(angle / 2)), _sq(F.sin(angle / 2))
-    x = (angle - F.sin(angle)) * _sq(F.sin(p)) * _sq(F.cos(q)) / cos_half
-    y = (angle + F.sin(angle)) * _sq(F.cos(p)) * _sq(F.sin(q)) / sin_half
-    metres = EQUATOR_RADIUS_M * (angle - FLATTENING / 2 * (x + y))
-    same = (lon1 == lon2) & (lat1 == lat2)
+    squash = f"CAST({1 - FLATTENING!r} AS DOUBLE)"
+    half_f = f"CAST({FLATTENING / 2!r} AS DOUBLE)"
+    b1 = f"atan({squash} * tan(radians({lat1})))"
+    b2 = f"atan({squash} * tan(radians({lat2})))"
+    d_lon = f"(radians({lon2}) - radians({lon1}))"
+    hav = f"({_sq(f'sin(({b2} - {b1}) / 2)')} + cos({b1}) * cos({b2}) * {_sq(f'sin({d_lon} / 2)')})"
+    angle = f"(2 * asin(sqrt(least(1D, {hav}))))"
+    p, q = f"(({b1} + {b2}) / 2)", f"(({b2} - {b1}) / 2)"
+    x = f"({angle} - sin({angle})) * {_sq(f'sin({p})')} * {_sq(f'cos({q})')} / {_sq(f'cos({angle} / 2)')}"
+    y = f"({angle} + sin({angle})) * {_sq(f'cos({p})')} * {_sq(f'sin({q})')} / {_sq(f'sin({angle} / 2)')}"
+    radius = f"CAST({EQUATOR_RADIUS_M} AS DOUBLE)"
     return (
-        F.when(same, F.lit(0.0))
-        .when(hav > 1 - 1e-12, EQUATOR_RADIUS_M * angle)
-        .otherwise(metres)
+        f"CASE WHEN {lon1} = {lon2} AND {lat1} = {lat2} THEN 0D "
+        f"WHEN {hav} > CAST({1 - 1e-12!r} AS DOUBLE) THEN {radius} * {angle} "
+        f"ELSE {radius} * ({angle} - {half_f} * ({x} + {y})) END"
     )
 
 
-def within_box(lon: Column, lat: Column, lon0: float, lat0: float, radius_m: float) -> Column:
+def in_latitude_band(lat: str, lat0: float, radius_m: float) -> str:
     """Cheap necessary condition for lying within `radius_m` of a point.
 
-    A degree of latitude is never shorter than 110 km, so the latitude band is
-    always safe; a longitude band is left to the exact test (it wraps and widens).
+    A degree of latitude is never shorter than 110 km; longitude is left to the exact
+    test, as its degrees shrink towards the poles and wrap around.
     """
-    return F.abs(lat - F.lit(lat0)) <= radius_m / 110_000.0
+    return f"abs({lat} - {lat0}D) <= {radius_m / 110_000.0}D"
 
 
-def point_geojson(lon: Column, lat: Column) -> Column:
-    return F.to_json(
-        F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
-    )
+def point_geojson(lon: str, lat: str) -> str:
+    return f"to_json(named_struct('type', 'Point', 'coordinates', array({lon}, {lat})))"

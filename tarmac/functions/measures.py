@@ -1,4 +1,4 @@
-"""Additive flight measures and the KPIs derived from them.
+"""Additive flight measures and the KPIs derived from them, as SQL expression text.
 
 Every report is `measures(flights, keys)` followed by a projection of KPI columns.
 The measures are plain sums, counts, minima and maxima, so they
@@ -10,9 +10,9 @@ columns they would have read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.numeric import mean, pct, ratio, rounded
@@ -23,110 +23,81 @@ SEVERE_OVER = 60
 
 CAUSES = ("carrier", "weather", "nas", "security", "late_aircraft")
 
+COMPLETED = "NOT cancelled"
+ON_TIME = f"NOT cancelled AND arr_delay_min <= {ON_TIME_MAX}"
+SEVERE = f"NOT cancelled AND arr_delay_min > {SEVERE_OVER}"
+LATE = f"arr_delay_min > {ON_TIME_MAX}"
 
-def completed() -> Column:
-    return ~F.col("cancelled")
 
+def _rows(cond: str) -> str:
+    return f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END)"
 
-def on_time() -> Column:
-    return completed() & (F.col("arr_delay_min") <= ON_TIME_MAX)
 
+_ARR = f"CASE WHEN {COMPLETED} THEN arr_delay_min END"
+_DEP = f"CASE WHEN {COMPLETED} THEN dep_delay_min END"
 
-def _flag_sum(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0))
+MEASURES = {
+    "total_flights": "count(1)",
+    "completed_flights": _rows(COMPLETED),
+    "cancelled_flights": _rows("cancelled"),
+    "on_time_flights": _rows(ON_TIME),
+    "severe_flights": _rows(SEVERE),
+    "late_rows": _rows(LATE),
+    "arr_sum": f"sum({_ARR})",
+    "arr_n": f"count({_ARR})",
+    "dep_sum": f"sum({_DEP})",
+    "dep_n": f"count({_DEP})",
+    "dist_sum": "sum(distance_miles)",
+    "dist_n": "count(distance_miles)",
+    "first_date": "min(flight_date)",
+    "last_date": "max(flight_date)",
+    **{f"{cause}_min": f"sum(coalesce({cause}_delay, 0))" for cause in CAUSES},
+}
+_COMBINE = {"first_date": "min", "last_date": "max"}
 
 
-def _measure_exprs() -> dict[str, Column]:
-    arr = F.when(completed(), F.col("arr_delay_min"))
-    dep = F.when(completed(), F.col("dep_delay_min"))
-    out = {
-        "total_flights": F.count(F.lit(1)),
-        "completed_flights": _flag_sum(completed()),
-        "cancelled_flights": _flag_sum(F.col("cancelled")),
-        "on_time_flights": _flag_sum(on_time()),
-        "severe_flights": _flag_sum(completed() & (F.col("arr_delay_min") > SEVERE_OVER)),
-        "late_rows": _flag_sum(F.col("arr_delay_min") > ON_TIME_MAX),
-        "arr_sum": F.sum(arr),
-        "arr_n": F.count(arr),
-        "dep_sum": F.sum(dep),
-        "dep_n": F.count(dep),
-        "dist_sum": F.sum("distance_miles"),
-        "dist_n": F.count("distance_miles"),
-        "first_date": F.min("flight_date"),
-        "last_date": F.max("flight_date"),
-    }
-    for cause in CAUSES:
-        out[f"{cause}_min"] = F.sum(F.coalesce(F.col(f"{cause}_delay"), F.lit(0)))
-    return out
+def measures(flights: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Aggregate flights to `keys`, given as SQL text (none: one row for everything)."""
+    aggs = [F.expr(f"{text} AS {name}") for name, text in MEASURES.items()]
+    return flights.groupBy(*[F.expr(key) for key in keys]).agg(*aggs)
 
 
-def measures(flights: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
-    """Aggregate flights to `keys` (none: one row for everything)."""
-    aggs = [expr.alias(name) for name, expr in _measure_exprs().items()]
-    return flights.groupBy(*keys).agg(*aggs)
-
-
-def roll_up(fine: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+def roll_up(fine: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Aggregate a measure table again, to coarser keys."""
-    picks = {"first_date": F.min, "last_date": F.max}
-    aggs = [picks.get(name, F.sum)(name).alias(name) for name in _measure_exprs()]
+    aggs = [F.expr(f"{_COMBINE.get(name, 'sum')}({name}) AS {name}") for name in MEASURES]
     return fine.groupBy(*keys).agg(*aggs)
 
 
-def on_time_pct() -> Column:
-    return pct(F.col("on_time_flights"), F.col("completed_flights"))
-
-
-def cancellation_rate() -> Column:
-    return pct(F.col("cancelled_flights"), F.col("total_flights"))
-
-
-def severe_delay_pct() -> Column:
-    return pct(F.col("severe_flights"), F.col("completed_flights"))
-
+ON_TIME_PCT = pct("on_time_flights", "completed_flights")
+CANCELLATION_RATE = pct("cancelled_flights", "total_flights")
+SEVERE_DELAY_PCT = pct("severe_flights", "completed_flights")
+AVG_ARR_DELAY = mean("arr_sum", "arr_n")
+AVG_DEP_DELAY = mean("dep_sum", "dep_n")
+AVG_DISTANCE = mean("dist_sum", "dist_n", 1)
 
-def avg_arr_delay() -> Column:
-    return mean(F.col("arr_sum"), F.col("arr_n"))
 
-
-def avg_dep_delay() -> Column:
-    return mean(F.col("dep_sum"), F.col("dep_n"))
-
-
-def avg_distance() -> Column:
-    return mean(F.col("dist_sum"), F.col("dist_n"), 1)
-
-
-def performance(on_time_share: Column, arr_delay: Column, cancel_share: Column) -> Column:
+def performance(on_time_share: str, arr_delay: str, cancel_share: str) -> str:
     """Weighted score, unrounded: half punctuality, the rest delay and cancellations.
 
     The delay part is clipped below only, so early arrivals lift the score.
     """
-    zero = F.lit(0).cast("decimal(20,2)")
-    delay_part = F.greatest(zero, F.lit(100) - F.coalesce(arr_delay, zero))
-    cancel_part = F.lit(100) - F.coalesce(cancel_share, zero)
-    weight = lambda text: F.lit(text).cast("decimal(3,2)")
-    score = weight("0.50") * on_time_share + weight("0.30") * delay_part
-    return score + weight("0.20") * cancel_part
-
-
-def exact_performance() -> Column:
-    """Score of unrounded parts, two digits."""
-    share = lambda part, whole: ratio(F.col(part) * 100, F.col(whole))
-    return rounded(
-        performance(
-            share("on_time_flights", "completed_flights"),
-            ratio(F.col("arr_sum"), F.col("arr_n")),
-            share("cancelled_flights", "total_flights"),
-        )
+    return (
+        f"(0.50 * {on_time_share} + 0.30 * greatest(0.00, 100 - coalesce({arr_delay}, 0.00))"
+        f" + 0.20 * (100 - coalesce({cancel_share}, 0.00)))"
     )
 
 
-def risk_score() -> Column:
-    """Mean delay (none counts as zero) at 0.7 plus cancellation percentage at 0.3."""
-    zero = F.lit(0).cast("decimal(20,2)")
-    delay = F.coalesce(ratio(F.col("arr_sum"), F.col("arr_n")), zero)
-    cancel = ratio(F.col("cancelled_flights") * 100, F.col("total_flights"))
-    return rounded(
-        F.lit("0.7").cast("decimal(2,1)") * delay + F.lit("0.3").cast("decimal(2,1)") * cancel
+# Score of unrounded parts, two digits.
+EXACT_PERFORMANCE = rounded(
+    performance(
+        ratio("100 * on_time_flights", "completed_flights"),
+        ratio("arr_sum", "arr_n"),
+        ratio("100 * cancelled_flights", "total_flights"),
     )
+)
+
+# Mean delay (none counts as zero) at 0.7 plus cancellation percentage at 0.3.
+RISK_SCORE = rounded(
+    f"0.7 * coalesce({ratio('arr_sum', 'arr_n')}, 0.00)"
+    f" + 0.3 * {ratio('100 * cancelled_flights', 'total_flights')}"
+)

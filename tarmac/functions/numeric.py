@@ -1,4 +1,4 @@
-"""Exact ratios with half-away-from-zero rounding.
+"""Exact ratios with half-away-from-zero rounding, as SQL expression text.
 
 Ratios are taken between integer (or two-digit decimal) totals as decimals, so a
 result never depends on the order in which partitions were summed and ties round
@@ -7,43 +7,39 @@ the same way at any row count. Doubles appear only at the output edge.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def ratio(num: Column, den: Column) -> Column:
+def ratio(num: str, den: str) -> str:
     """`num / den` with 18 fractional digits; NULL for a zero denominator."""
-    bottom = F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return num.cast("decimal(22,2)") / bottom
+    return f"(CAST({num} AS DECIMAL(22,2)) / nullif(CAST({den} AS DECIMAL(18,0)), 0))"
 
 
-def rounded(x: Column, digits: int = 2) -> Column:
-    return F.round(x, digits).cast(f"decimal(20,{digits})")
+def rounded(x: str, digits: int = 2) -> str:
+    return f"CAST(round({x}, {digits}) AS DECIMAL(20,{digits}))"
 
 
-def pct(part: Column, whole: Column, digits: int = 2) -> Column:
+def pct(part: str, whole: str, digits: int = 2) -> str:
     """Percentage of `whole`, rounded."""
-    return rounded(ratio(part * 100, whole), digits)
+    return rounded(ratio(f"100 * {part}", whole), digits)
 
 
-def mean(total: Column, n: Column, digits: int = 2) -> Column:
+def mean(total: str, n: str, digits: int = 2) -> str:
     """Mean from a stored sum and count, rounded."""
     return rounded(ratio(total, n), digits)
 
 
-def round_double(x: Column, digits: int) -> Column:
+def round_double(x: str, digits: int) -> str:
     """Round a double the way a decimal would be rounded, staying a double."""
-    return F.round(x.cast("decimal(18,6)"), digits).cast("double")
+    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Turn every decimal column into a double; the output edge of each report."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
+            f"CAST({f.name} AS DOUBLE) AS {f.name}" if isinstance(f.dataType, T.DecimalType) else f.name
             for f in df.schema.fields
         ]
     )

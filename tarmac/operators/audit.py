@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tarmac.functions.measures import completed
+from tarmac.functions.measures import COMPLETED
 
 
 def delay_audit(flights: DataFrame, *extra: str) -> DataFrame:
@@ -14,22 +13,16 @@ def delay_audit(flights: DataFrame, *extra: str) -> DataFrame:
     A stored flight is logged with the time it was stored, so an audit month rebuilt
     from the flights table equals the one written at load time. `extra` columns are kept.
     """
-    delay = F.col("arr_delay_min")
-    category = (
-        F.when(delay <= 0, "on_time")
-        .when(delay <= 15, "minor")
-        .when(delay <= 60, "major")
-        .otherwise("severe")
-    )
-    stored = "created_at" in flights.columns
-    return flights.filter(completed() & delay.isNotNull()).select(
-        F.col("id").alias("flight_id"),
+    logged_at = "created_at" if "created_at" in flights.columns else "current_timestamp()"
+    return flights.filter(f"{COMPLETED} AND arr_delay_min IS NOT NULL").selectExpr(
+        "id AS flight_id",
         "flight_date",
         "airline_code",
         "origin",
         "destination",
-        delay.alias("delay_minutes"),
-        category.alias("delay_category"),
-        (F.col("created_at") if stored else F.current_timestamp()).alias("logged_at"),
+        "arr_delay_min AS delay_minutes",
+        "CASE WHEN arr_delay_min <= 0 THEN 'on_time' WHEN arr_delay_min <= 15 THEN 'minor'"
+        " WHEN arr_delay_min <= 60 THEN 'major' ELSE 'severe' END AS delay_category",
+        f"{logged_at} AS logged_at",
         *extra,
     )

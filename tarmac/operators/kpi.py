@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import measures as m
@@ -19,31 +19,29 @@ def with_airline_name(df: DataFrame, airlines: DataFrame) -> DataFrame:
     Meant for aggregated rows: the name depends on the code alone, so joining after
     the aggregation gives the same groups with one row per key to join.
     """
-    names = airlines.select(
-        F.col("iata_code").alias("airline_code"), F.col("name").alias("_name")
-    )
-    return (
-        df.join(names, "airline_code", "left")
-        .withColumn("airline_name", F.coalesce("_name", F.lit("Unknown")))
-        .drop("_name")
+    names = airlines.selectExpr("iata_code AS airline_code", "name AS _name")
+    named = df.join(names, "airline_code", "left")
+    return named.selectExpr(
+        *[f"`{c}`" for c in df.columns], "coalesce(_name, 'Unknown') AS airline_name"
     )
 
 
 def airline_score(flights: DataFrame, code: str, start: str, end: str) -> DataFrame:
     """One row of KPIs and the weighted score of one airline."""
     picked = date_range(flights, start, end).filter(F.col("airline_code") == code)
+    totals = m.measures(picked, []).withColumn("airline_code", F.lit(code))
     return decimals_to_double(
-        m.measures(picked, []).select(
-            F.lit(code).alias("airline_code"),
+        totals.selectExpr(
+            "airline_code",
             "total_flights",
             "completed_flights",
             "on_time_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
-            m.avg_dep_delay().alias("avg_dep_delay_min"),
-            m.cancellation_rate().alias("cancellation_rate"),
-            m.severe_delay_pct().alias("severe_delay_pct"),
-            m.exact_performance().alias("performance_score"),
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
+            f"{m.AVG_DEP_DELAY} AS avg_dep_delay_min",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
+            f"{m.SEVERE_DELAY_PCT} AS severe_delay_pct",
+            f"{m.EXACT_PERFORMANCE} AS performance_score",
         )
     )
 
@@ -58,45 +56,39 @@ def airline_ranking(
     """
     stats = (
         m.measures(date_range(flights, start, end), ["airline_code"])
-        .filter(F.col("total_flights") >= MIN_RANKED_FLIGHTS)
-        .select(
+        .filter(f"total_flights >= {MIN_RANKED_FLIGHTS}")
+        .selectExpr(
             "airline_code",
             "total_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
-            m.cancellation_rate().alias("cancellation_rate"),
-        )
-        .withColumn(
-            "_score",
-            m.performance(
-                F.col("on_time_pct"), F.col("avg_arr_delay_min"), F.col("cancellation_rate")
-            ),
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
     )
-    best_first = Window.orderBy(F.col("_score").desc_nulls_first())
-    ranked = with_airline_name(stats, airlines).select(
-        F.rank().over(best_first).alias("rank_position"),
+    score = m.performance("on_time_pct", "avg_arr_delay_min", "cancellation_rate")
+    ranked = with_airline_name(stats.selectExpr("*", f"{score} AS _score"), airlines).selectExpr(
+        "rank() OVER (ORDER BY _score DESC NULLS FIRST) AS rank_position",
         "airline_code",
         "airline_name",
         "total_flights",
         "on_time_pct",
         "avg_arr_delay_min",
         "cancellation_rate",
-        rounded(F.col("_score")).alias("performance_score"),
+        f"{rounded('_score')} AS performance_score",
     )
     return decimals_to_double(ranked).orderBy(
-        F.col("rank_position"), F.col("airline_code").asc_nulls_last()
+        "rank_position", F.expr("airline_code").asc_nulls_last()
     )
 
 
 # Report labels of the delay causes.
-CAUSE_LABELS = (
-    ("Carrier", "carrier"),
-    ("Weather", "weather"),
-    ("NAS", "nas"),
-    ("Security", "security"),
-    ("Late Aircraft", "late_aircraft"),
-)
+CAUSE_LABELS = {
+    "carrier": "Carrier",
+    "weather": "Weather",
+    "nas": "NAS",
+    "security": "Security",
+    "late_aircraft": "Late Aircraft",
+}
 
 
 def delay_breakdown(flights: DataFrame, code: str, start: str, end: str) -> DataFrame:
@@ -107,42 +99,36 @@ def delay_breakdown(flights: DataFrame, code: str, start: str, end: str) -> Data
     total row is then turned into one row per cause that occurs.
     """
     picked = date_range(flights, start, end).filter(
-        (F.col("airline_code") == code) & m.completed()
-    )
-    minutes_of = lambda cause: F.col(f"{cause}_delay")
-    all_causes: Column = sum(
-        (F.coalesce(minutes_of(c), F.lit(0)) for _, c in CAUSE_LABELS), F.lit(0)
-    )
-    aggs = [F.sum(F.when(F.col("arr_delay_min") > 0, all_causes)).alias("late_minutes")]
-    for _, cause in CAUSE_LABELS:
-        positive = F.when(minutes_of(cause) > 0, minutes_of(cause))
-        aggs += [F.sum(positive).alias(f"{cause}_sum"), F.count(positive).alias(f"{cause}_n")]
-    rows = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("delay_cause"),
-                    F.col(f"{cause}_sum").alias("total_minutes"),
-                    F.col(f"{cause}_n").alias("flight_count"),
-                    F.col("late_minutes"),
-                )
-                for label, cause in CAUSE_LABELS
-            ]
-        )
+        (F.col("airline_code") == code) & F.expr(m.COMPLETED)
     )
+    all_causes = " + ".join(f"coalesce({c}_delay, 0)" for c in CAUSE_LABELS)
+    aggs = [F.expr(f"sum(CASE WHEN arr_delay_min > 0 THEN {all_causes} END) AS late_minutes")]
+    for c in CAUSE_LABELS:
+        positive = f"CASE WHEN {c}_delay > 0 THEN {c}_delay END"
+        aggs += [F.expr(f"sum({positive}) AS {c}_sum"), F.expr(f"count({positive}) AS {c}_n")]
+    per_cause = ", ".join(f"'{label}', {c}_sum, {c}_n" for c, label in CAUSE_LABELS.items())
     report = (
         picked.agg(*aggs)
-        .select(rows)
-        .filter(F.col("flight_count") > 0)
-        .select(
+        .selectExpr(
+            "late_minutes",
+            f"stack({len(CAUSE_LABELS)}, {per_cause}) AS (delay_cause, total_minutes, flight_count)",
+        )
+        .filter("flight_count > 0")
+        .selectExpr(
             "delay_cause",
             "total_minutes",
-            mean(F.col("total_minutes"), F.col("flight_count")).alias("avg_minutes"),
+            f"{mean('total_minutes', 'flight_count')} AS avg_minutes",
             "flight_count",
-            pct(F.col("total_minutes"), F.col("late_minutes")).alias("pct_of_total_delay"),
+            f"{pct('total_minutes', 'late_minutes')} AS pct_of_total_delay",
         )
     )
-    return decimals_to_double(report).orderBy(F.col("total_minutes").desc(), "delay_cause")
+    return decimals_to_double(report).orderBy(F.desc("total_minutes"), "delay_cause")
+
+
+def _on_route(flights: DataFrame, origin: str, destination: str, start: str, end: str) -> DataFrame:
+    return date_range(flights, start, end).filter(
+        (F.col("origin") == origin) & (F.col("destination") == destination)
+    )
 
 
 def best_routes_between(
@@ -154,29 +140,24 @@ def best_routes_between(
     end: str,
 ) -> DataFrame:
     """Airlines flying one route, the most punctual first, then the least delayed."""
-    picked = date_range(flights, start, end).filter(
-        (F.col("origin") == origin) & (F.col("destination") == destination)
-    )
-    stats = m.measures(picked, ["airline_code"]).filter(
-        F.col("total_flights") >= MIN_COMPARED_FLIGHTS
-    )
-    exact_share = F.col("on_time_flights") / F.nullif(F.col("completed_flights"), F.lit(0))
-    exact_delay = F.col("arr_sum") / F.nullif(F.col("arr_n"), F.lit(0))
+    stats = m.measures(
+        _on_route(flights, origin, destination, start, end), ["airline_code"]
+    ).filter(f"total_flights >= {MIN_COMPARED_FLIGHTS}")
     report = (
         with_airline_name(stats, airlines)
         .orderBy(
-            exact_share.desc_nulls_last(),
-            exact_delay.asc_nulls_last(),
-            F.col("airline_code").asc_nulls_last(),
+            F.expr("on_time_flights / nullif(completed_flights, 0)").desc_nulls_last(),
+            F.expr("arr_sum / nullif(arr_n, 0)").asc_nulls_last(),
+            F.expr("airline_code").asc_nulls_last(),
         )
-        .select(
+        .selectExpr(
             "airline_code",
             "airline_name",
             "total_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
-            m.avg_distance().alias("avg_distance_miles"),
-            m.cancellation_rate().alias("cancellation_rate"),
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
+            f"{m.AVG_DISTANCE} AS avg_distance_miles",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
     )
     return decimals_to_double(report)
@@ -186,17 +167,14 @@ def route_kpi(
     flights: DataFrame, origin: str, destination: str, start: str, end: str
 ) -> DataFrame:
     """One row of KPIs of a route; counts are zero and rates NULL when it has no flights."""
-    picked = date_range(flights, start, end).filter(
-        (F.col("origin") == origin) & (F.col("destination") == destination)
-    )
-    zero_if_none = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
+    picked = _on_route(flights, origin, destination, start, end)
     return decimals_to_double(
-        m.measures(picked, []).select(
+        m.measures(picked, []).selectExpr(
             "total_flights",
-            zero_if_none("completed_flights"),
-            zero_if_none("cancelled_flights"),
-            m.cancellation_rate().alias("cancellation_rate"),
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
+            "coalesce(completed_flights, 0) AS completed_flights",
+            "coalesce(cancelled_flights, 0) AS cancelled_flights",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
         )
     )

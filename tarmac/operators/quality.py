@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.dates import date_range, month_start
-from tarmac.functions.measures import CAUSES, ON_TIME_MAX, SEVERE_OVER, completed
+from tarmac.functions.dates import MONTH, date_range
+from tarmac.functions.measures import CAUSES, COMPLETED, LATE, SEVERE
 from tarmac.functions.numeric import decimals_to_double, pct
 
 BUSINESS_KEY = (
@@ -15,48 +15,33 @@ BUSINESS_KEY = (
 EARLIEST_DELAY = -120
 TOP_DUPLICATES = 50
 
-
-def _quality_checks() -> dict[str, Column]:
-    no_cause = F.lit(True)
-    for cause in CAUSES:
-        no_cause &= F.col(f"{cause}_delay").isNull()
-    return {
-        "null_dep_time": F.col("dep_time").isNull(),
-        "null_arr_time": F.col("arr_time").isNull(),
-        "cancelled_rows": F.col("cancelled"),
-        "negative_distance": F.col("distance_miles") <= 0,
-        "missing_delay_breakdown_on_delayed": completed()
-        & (F.col("arr_delay_min") > ON_TIME_MAX)
-        & no_cause,
-    }
+_NO_CAUSE = " AND ".join(f"{cause}_delay IS NULL" for cause in CAUSES)
+QUALITY_CHECKS = {
+    "null_dep_time": "dep_time IS NULL",
+    "null_arr_time": "arr_time IS NULL",
+    "cancelled_rows": "cancelled",
+    "negative_distance": "distance_miles <= 0",
+    "missing_delay_breakdown_on_delayed": f"{COMPLETED} AND {LATE} AND {_NO_CAUSE}",
+}
 
 
 def data_quality_summary(flights: DataFrame, start: str, end: str) -> DataFrame:
     """Six counts with their share of all rows, from one pass over the flights."""
-    checks = _quality_checks()
+    names = ("total_rows", *QUALITY_CHECKS)
     totals = date_range(flights, start, end).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(cond).alias(name) for name, cond in checks.items()],
-    )
-    rows = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("metric_name"),
-                    F.col(name).alias("metric_value"),
-                    F.col("total_rows").alias("_total"),
-                )
-                for name in ("total_rows", *checks)
-            ]
-        )
+        F.expr("count(1) AS total_rows"),
+        *[F.expr(f"count_if({cond}) AS {name}") for name, cond in QUALITY_CHECKS.items()],
     )
-    report = totals.select(rows).select(
+    per_metric = ", ".join(f"'{name}', {name}" for name in names)
+    report = totals.selectExpr(
+        "total_rows", f"stack({len(names)}, {per_metric}) AS (metric_name, metric_value)"
+    ).selectExpr(
         "metric_name",
         "metric_value",
-        pct(F.col("metric_value"), F.col("_total"), 3).alias("metric_percent"),
+        f"{pct('metric_value', 'total_rows', 3)} AS metric_percent",
     )
     return decimals_to_double(report).orderBy(
-        F.col("metric_name") != "total_rows", F.col("metric_value").desc(), "metric_name"
+        F.expr("metric_name <> 'total_rows'"), F.desc("metric_value"), "metric_name"
     )
 
 
@@ -65,35 +50,29 @@ def invalid_airport_references(flights: DataFrame, airports: DataFrame) -> DataF
 
     Both columns are counted in one pass; the airport table meets only distinct codes.
     """
-    used = flights.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("source_col"), F.col(c).alias("iata_code"))
-                    for c in ("origin", "destination")
-                ]
-            )
+    counts = (
+        flights.selectExpr(
+            "stack(2, 'origin', origin, 'destination', destination) AS (source_col, iata_code)"
         )
+        .groupBy("source_col", "iata_code")
+        .agg(F.expr("count(1) AS affected_rows"))
     )
-    counts = used.groupBy("source_col", "iata_code").agg(
-        F.count(F.lit(1)).alias("affected_rows")
-    )
-    known = airports.select("iata_code", F.lit(True).alias("_known"))
+    known = airports.selectExpr("iata_code", "TRUE AS _known")
     # A left join with a test for NULL: an anti join would be moved below the count,
     # where it meets every flight instead of every code.
     return (
         counts.join(known, "iata_code", "left")
-        .filter(F.col("_known").isNull())
+        .filter("_known IS NULL")
         .select("source_col", "iata_code", "affected_rows")
-        .orderBy(F.col("affected_rows").desc(), "source_col", F.col("iata_code").asc_nulls_last())
+        .orderBy(F.desc("affected_rows"), "source_col", F.expr("iata_code").asc_nulls_last())
     )
 
 
 def out_of_range(flights: DataFrame) -> DataFrame:
     return flights.agg(
-        F.count_if(F.col("dep_delay_min") < EARLIEST_DELAY).alias("bad_dep_delay_rows"),
-        F.count_if(F.col("arr_delay_min") < EARLIEST_DELAY).alias("bad_arr_delay_rows"),
-        F.count_if(F.col("distance_miles") <= 0).alias("bad_distance_rows"),
+        F.expr(f"count_if(dep_delay_min < {EARLIEST_DELAY}) AS bad_dep_delay_rows"),
+        F.expr(f"count_if(arr_delay_min < {EARLIEST_DELAY}) AS bad_arr_delay_rows"),
+        F.expr("count_if(distance_miles <= 0) AS bad_distance_rows"),
     )
 
 
@@ -101,26 +80,20 @@ def duplicate_keys(flights: DataFrame, top: int = TOP_DUPLICATES) -> DataFrame:
     """Business keys on more than one row, NULLs being equal; the most repeated first."""
     return (
         flights.groupBy(*BUSINESS_KEY)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .filter(F.col("cnt") > 1)
-        .orderBy(F.col("cnt").desc(), *[F.col(k).asc_nulls_last() for k in BUSINESS_KEY])
+        .agg(F.expr("count(1) AS cnt"))
+        .filter("cnt > 1")
+        .orderBy(F.desc("cnt"), *[F.expr(k).asc_nulls_last() for k in BUSINESS_KEY])
         .limit(top)
     )
 
 
 def month_distribution(flights: DataFrame) -> DataFrame:
-    return (
-        flights.groupBy(month_start(F.col("flight_date")).alias("month"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy("month")
-    )
+    return flights.groupBy(F.expr(MONTH)).agg(F.expr("count(1) AS row_count")).orderBy("month")
 
 
 def audit_coverage(flights: DataFrame, audit: DataFrame) -> DataFrame:
     """Severely late flights against severe audit rows; both sides are one-row totals."""
-    severe = flights.agg(
-        F.count_if(completed() & (F.col("arr_delay_min") > SEVERE_OVER)).alias("severe_flights")
-    )
-    logged = audit.agg(F.count_if(F.col("delay_category") == "severe").alias("severe_logged"))
+    severe = flights.agg(F.expr(f"count_if({SEVERE}) AS severe_flights"))
+    logged = audit.agg(F.expr("count_if(delay_category = 'severe') AS severe_logged"))
     both = severe.unionByName(logged, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in ("severe_flights", "severe_logged")])

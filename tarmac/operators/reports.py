@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import measures as m
-from tarmac.functions.dates import date_range, month_label, month_start
+from tarmac.functions.dates import MONTH, date_range
 from tarmac.functions.numeric import decimals_to_double
 from tarmac.operators.views import with_route_ends
 
@@ -28,7 +28,7 @@ _ROUTE_COLUMNS = (
 
 
 def _most_flown(routes: DataFrame, limit: int | None) -> DataFrame:
-    return routes.orderBy(F.col("total_flights").desc(), "origin", "destination").limit(
+    return routes.orderBy(F.desc("total_flights"), "origin", "destination").limit(
         _route_limit(limit)
     )
 
@@ -43,17 +43,21 @@ def top_routes_live(
 ) -> DataFrame:
     """The same report straight from the flights, with a lower volume limit."""
     routes = m.measures(flights, ["origin", "destination"]).filter(
-        F.col("total_flights") >= MIN_LIVE_ROUTE_FLIGHTS
+        f"total_flights >= {MIN_LIVE_ROUTE_FLIGHTS}"
     )
-    named = with_route_ends(routes, airports)
-    for end in ("origin", "dest"):
-        named = named.withColumn(f"{end}_city", F.coalesce(f"{end}_city", f"{end}_name"))
-    report = named.withColumn("avg_arr_delay", m.avg_arr_delay())
-    return decimals_to_double(_most_flown(report, limit).select(*_ROUTE_COLUMNS))
+    named = with_route_ends(routes, airports).selectExpr(
+        "origin",
+        "destination",
+        "coalesce(origin_city, origin_name) AS origin_city",
+        "coalesce(dest_city, dest_name) AS dest_city",
+        *_ROUTE_COLUMNS[4:-1],
+        f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+    )
+    return decimals_to_double(_most_flown(named, limit))
 
 
 def ranking_head(ranking: DataFrame, top: int = 20) -> DataFrame:
-    return ranking.orderBy("rank_position", F.col("airline_code").asc_nulls_last()).limit(top)
+    return ranking.orderBy("rank_position", F.expr("airline_code").asc_nulls_last()).limit(top)
 
 
 def trend_for(trend: DataFrame, airline: str) -> DataFrame:
@@ -61,8 +65,8 @@ def trend_for(trend: DataFrame, airline: str) -> DataFrame:
     return (
         trend.filter(F.col("airline_code") == airline)
         .orderBy("month")
-        .select(
-            month_label(F.col("month")).alias("month"),
+        .selectExpr(
+            "date_format(month, 'yyyy-MM') AS month",
             "airline_code",
             "on_time_pct",
             "avg_arr_delay",
@@ -76,41 +80,41 @@ def trend_for_carriers(trend: DataFrame, airlines: tuple[str, ...] = ("AA", "DL"
 
 
 def riskiest_routes(risk: DataFrame, top: int = 20) -> DataFrame:
-    return risk.orderBy(F.col("risk_score").desc_nulls_first(), "origin", "destination").limit(top)
+    return risk.orderBy(F.expr("risk_score").desc_nulls_first(), "origin", "destination").limit(top)
 
 
 def recent_daily_ops(daily: DataFrame, airline: str = "AA", days: int = 30) -> DataFrame:
     return (
         daily.filter(F.col("airline_code") == airline)
-        .orderBy(F.col("flight_date").desc())
+        .orderBy(F.desc("flight_date"))
         .limit(days)
     )
 
 
 def kpi_bands(score: DataFrame) -> DataFrame:
     """Score rows with display bands; a missing share is never good."""
-    band = lambda cond, bad: F.when(cond, "good").otherwise(bad)
-    return score.withColumn(
-        "on_time_band", band(F.col("on_time_pct") >= ON_TIME_TARGET, "warning")
-    ).withColumn("cancellation_band", band(F.col("cancellation_rate") < CANCELLATION_TARGET, "bad"))
+    return score.selectExpr(
+        "*",
+        f"CASE WHEN on_time_pct >= {ON_TIME_TARGET} THEN 'good' ELSE 'warning' END AS on_time_band",
+        f"CASE WHEN cancellation_rate < {CANCELLATION_TARGET} THEN 'good' ELSE 'bad' END"
+        " AS cancellation_band",
+    )
 
 
 def flag_quality_issues(summary: DataFrame) -> DataFrame:
-    return summary.withColumn(
-        "is_issue", (F.col("metric_name") != "total_rows") & (F.col("metric_value") > 0)
+    return summary.selectExpr(
+        "*", "metric_name <> 'total_rows' AND metric_value > 0 AS is_issue"
     )
 
 
 def count_between(flights: DataFrame, start: str, end: str) -> DataFrame:
-    return date_range(flights, start, end).agg(F.count(F.lit(1)).alias("flight_count"))
+    return date_range(flights, start, end).agg(F.expr("count(1) AS flight_count"))
 
 
 def monthly_delay(flights: DataFrame) -> DataFrame:
     """Unrounded mean arrival delay of flown flights per airline and month."""
-    by_month = flights.filter(m.completed()).groupBy(
-        "airline_code", month_start(F.col("flight_date")).alias("month")
-    )
-    return by_month.agg(F.avg("arr_delay_min").alias("avg_arr_delay"))
+    by_month = flights.filter(m.COMPLETED).groupBy("airline_code", F.expr(MONTH))
+    return by_month.agg(F.expr("avg(arr_delay_min) AS avg_arr_delay"))
 
 
 def monthly_slice(summary: DataFrame, airline: str = "AA") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import geo
@@ -27,50 +27,50 @@ TOP_ROUTES = 20
 TOP_NEARBY = 15
 CLUSTER_PARTITIONS = 8
 
+_ROUTE_M = geo.distance_m("origin_lon", "origin_lat", "dest_lon", "dest_lat")
+
 
 def _located(airports: DataFrame) -> DataFrame:
-    return airports.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    return airports.filter("lon IS NOT NULL AND lat IS NOT NULL")
+
+
+def _km(metres: str) -> str:
+    return round_double(f"{metres} / 1000", 1)
 
 
-def _route_km() -> Column:
-    metres = geo.distance_m(*[F.col(c) for c in ("origin_lon", "origin_lat", "dest_lon", "dest_lat")])
-    return round_double(metres / 1000, 1)
+def _with_metres(routes: DataFrame, airports: DataFrame) -> DataFrame:
+    return with_route_ends(routes, airports).selectExpr("*", f"{_ROUTE_M} AS _metres")
 
 
 def hub_distances(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Measured against reported distance for each pair of hubs, low code to high code."""
     between_hubs = flights.filter(
-        F.col("origin").isin(*HUBS)
-        & F.col("destination").isin(*HUBS)
-        & (F.col("origin") < F.col("destination"))
+        F.col("origin").isin(*HUBS) & F.col("destination").isin(*HUBS) & F.expr("origin < destination")
     )
     pairs = m.measures(between_hubs, ["origin", "destination"])
-    ends = with_route_ends(pairs, airports)
-    reported = ratio(F.col("dist_sum"), F.col("dist_n")) * F.lit(str(geo.KM_PER_MILE)).cast(
-        "decimal(6,5)"
-    )
+    reported = rounded(f"{ratio('dist_sum', 'dist_n')} * {geo.KM_PER_MILE}", 1)
     return decimals_to_double(
-        ends.select(
+        _with_metres(pairs, airports).selectExpr(
             "origin",
             "origin_name",
             "destination",
             "dest_name",
-            _route_km().alias("distance_km"),
-            rounded(reported, 1).alias("bts_distance_km"),
+            f"{_km('_metres')} AS distance_km",
+            f"{reported} AS bts_distance_km",
         )
-    ).orderBy(F.col("distance_km").desc_nulls_first(), "origin", "destination")
+    ).orderBy(F.expr("distance_km").desc_nulls_first(), "origin", "destination")
 
 
 def busiest_routes(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """The flown routes with most flights, with coordinates and GeoJSON for a map."""
-    routes = m.measures(flights.filter(m.completed()), ["origin", "destination"])
+    routes = m.measures(flights.filter(m.COMPLETED), ["origin", "destination"])
     busiest = (
         with_route_ends(routes, airports)
-        .orderBy(F.col("total_flights").desc(), "origin", "destination")
+        .orderBy(F.desc("total_flights"), "origin", "destination")
         .limit(TOP_ROUTES)
     )
     return decimals_to_double(
-        busiest.select(
+        busiest.selectExpr(
             "origin",
             "destination",
             "origin_name",
@@ -78,14 +78,14 @@ def busiest_routes(flights: DataFrame, airports: DataFrame) -> DataFrame:
             "origin_city",
             "dest_city",
             "total_flights",
-            m.avg_arr_delay().alias("avg_delay_min"),
+            f"{m.AVG_ARR_DELAY} AS avg_delay_min",
             "origin_lat",
             "origin_lon",
             "dest_lat",
             "dest_lon",
-            geo.point_geojson(F.col("origin_lon"), F.col("origin_lat")).alias("origin_geojson"),
-            geo.point_geojson(F.col("dest_lon"), F.col("dest_lat")).alias("dest_geojson"),
-            _route_km().alias("distance_km"),
+            f"{geo.point_geojson('origin_lon', 'origin_lat')} AS origin_geojson",
+            f"{geo.point_geojson('dest_lon', 'dest_lat')} AS dest_geojson",
+            f"{_km(f'({_ROUTE_M})')} AS distance_km",
         )
     )
 
@@ -101,29 +101,30 @@ def airports_within(
     exclude: str = "JFK",
 ) -> DataFrame:
     """Busy airports near a point, the most delayed first."""
-    metres = geo.distance_m(F.col("lon"), F.col("lat"), F.lit(lon), F.lit(lat))
+    metres = geo.distance_m("lon", "lat", f"{float(lon)}D", f"{float(lat)}D")
     near = (
         _located(airports)
-        .filter(geo.within_box(F.col("lon"), F.col("lat"), lon, lat, radius_m))
-        .withColumn("_metres", metres)
-        .filter((F.col("_metres") <= radius_m) & (F.col("iata_code") != exclude))
+        .filter(geo.in_latitude_band("lat", float(lat), radius_m))
+        .selectExpr("*", f"{metres} AS _metres")
+        .filter(f"_metres <= {float(radius_m)}D")
+        .filter(F.col("iata_code") != exclude)
     )
     departures = (
-        m.measures(date_range(flights, start, end), [F.col("origin").alias("iata_code")])
-        .filter(F.col("total_flights") >= MIN_DEPARTURES)
+        m.measures(date_range(flights, start, end), ["origin AS iata_code"])
+        .filter(f"total_flights >= {MIN_DEPARTURES}")
         .join(near, "iata_code")
     )
     return decimals_to_double(
-        departures.select(
+        departures.selectExpr(
             "iata_code",
             "name",
             "city",
-            round_double(F.col("_metres") / 1000, 1).alias("dist_from_jfk_km"),
-            F.col("total_flights").alias("total_departures"),
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.cancellation_rate().alias("cancellation_rate"),
+            f"{_km('_metres')} AS dist_from_jfk_km",
+            "total_flights AS total_departures",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
-        .orderBy(F.col("avg_arr_delay").desc_nulls_first(), "iata_code")
+        .orderBy(F.expr("avg_arr_delay").desc_nulls_first(), "iata_code")
         .limit(TOP_NEARBY)
     )
 
@@ -132,29 +133,26 @@ def short_route_delay(
     flights: DataFrame, airports: DataFrame, start: str, end: str
 ) -> DataFrame:
     """Delay per kilometre of busy routes shorter than 500 km."""
-    flown = date_range(flights, start, end).filter(m.completed())
+    flown = date_range(flights, start, end).filter(m.COMPLETED)
     routes = m.measures(flown, ["origin", "destination"]).filter(
-        F.col("total_flights") >= MIN_SHORT_ROUTE_FLIGHTS
+        f"total_flights >= {MIN_SHORT_ROUTE_FLIGHTS}"
     )
-    metres = geo.distance_m(*[F.col(c) for c in ("origin_lon", "origin_lat", "dest_lon", "dest_lat")])
     short = (
-        with_route_ends(routes, airports)
-        .withColumn("_metres", metres)
-        .filter(F.col("_metres") < SHORT_ROUTE_M)
-        .select(
+        _with_metres(routes, airports)
+        .filter(f"_metres < {SHORT_ROUTE_M}D")
+        .selectExpr(
             "origin",
             "destination",
             "origin_name",
             "dest_name",
-            round_double(F.col("_metres") / 1000, 1).alias("distance_km"),
+            f"{_km('_metres')} AS distance_km",
             "total_flights",
-            m.avg_arr_delay().cast("double").alias("avg_delay"),
+            f"CAST({m.AVG_ARR_DELAY} AS DOUBLE) AS avg_delay",
         )
     )
-    per_km = F.col("avg_delay") / F.nullif(F.col("distance_km"), F.lit(0.0))
     return (
-        short.withColumn("delay_per_km", per_km)
-        .orderBy(F.col("delay_per_km").desc_nulls_last(), "origin", "destination")
+        short.selectExpr("*", "avg_delay / nullif(distance_km, 0D) AS delay_per_km")
+        .orderBy(F.expr("delay_per_km").desc_nulls_last(), "origin", "destination")
         .limit(TOP_ROUTES)
     )
 
@@ -182,30 +180,30 @@ def airport_clusters(
     City names come from the airport table alone, so no list grows with the flights.
     """
     clustered = cluster_airports(airports, k)
-    departures = m.measures(
-        date_range(flights, start, end), [F.col("origin").alias("iata_code")]
-    ).select("iata_code", "total_flights", "arr_sum", "arr_n")
-    weight = F.greatest(F.coalesce("total_flights", F.lit(0)), F.lit(1))
+    departures = m.measures(date_range(flights, start, end), ["origin AS iata_code"]).selectExpr(
+        "iata_code", "total_flights", "arr_sum", "arr_n"
+    )
+    weight = "greatest(coalesce(total_flights, 0), 1)"
     per_cluster = (
         clustered.join(departures, "iata_code", "left")
         .groupBy("cluster_id")
         .agg(
-            F.count(F.lit(1)).alias("airport_count"),
-            F.sum(F.coalesce("total_flights", F.lit(0))).alias("total_flights"),
-            F.sum("arr_sum").alias("arr_sum"),
-            F.sum("arr_n").alias("arr_n"),
-            (F.sum(F.col("lon") * weight) / F.sum(weight)).alias("_lon"),
-            (F.sum(F.col("lat") * weight) / F.sum(weight)).alias("_lat"),
-            F.slice(F.sort_array(F.collect_set("city")), 1, 5).alias("_cities"),
+            F.expr("count(1) AS airport_count"),
+            F.expr("sum(coalesce(total_flights, 0)) AS total_flights"),
+            F.expr("sum(arr_sum) AS arr_sum"),
+            F.expr("sum(arr_n) AS arr_n"),
+            F.expr(f"sum(lon * {weight}) / sum({weight}) AS _lon"),
+            F.expr(f"sum(lat * {weight}) / sum({weight}) AS _lat"),
+            F.expr("slice(sort_array(collect_set(city)), 1, 5) AS _cities"),
         )
     )
     return decimals_to_double(
-        per_cluster.select(
+        per_cluster.selectExpr(
             "cluster_id",
             "airport_count",
             "total_flights",
-            m.avg_arr_delay().alias("avg_delay"),
-            F.format_string("POINT(%s %s)", "_lon", "_lat").alias("cluster_centroid"),
-            F.array_join("_cities", ", ").alias("sample_cities"),
+            f"{m.AVG_ARR_DELAY} AS avg_delay",
+            "format_string('POINT(%s %s)', _lon, _lat) AS cluster_centroid",
+            "array_join(_cities, ', ') AS sample_cities",
         )
-    ).orderBy(F.col("avg_delay").desc_nulls_first(), "cluster_id")
+    ).orderBy(F.expr("avg_delay").desc_nulls_first(), "cluster_id")

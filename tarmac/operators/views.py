@@ -6,11 +6,10 @@ so that one pass over the flights can feed several summaries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tarmac.functions import measures as m
-from tarmac.functions.dates import month_start
+from tarmac.functions.dates import MONTH
 from tarmac.functions.numeric import decimals_to_double, pct, rounded
 from tarmac.operators.kpi import with_airline_name
 
@@ -20,39 +19,35 @@ MIN_CARRIER_ROUTE_FLIGHTS = 20
 CARRIER_ROUTE = ("origin", "destination", "airline_code")
 
 
-def _by_month(flights: DataFrame, *keys: str) -> DataFrame:
-    return m.measures(flights, [month_start(F.col("flight_date")).alias("month"), *keys])
-
-
 def airline_monthly_trend(flights: DataFrame) -> DataFrame:
     """Punctuality per airline and month with the previous month and the rank in the month."""
-    monthly = _by_month(flights, "airline_code").select(
+    monthly = m.measures(flights, [MONTH, "airline_code"]).selectExpr(
         "month",
         "airline_code",
         "completed_flights",
-        m.on_time_pct().alias("on_time_pct"),
-        m.avg_arr_delay().alias("avg_arr_delay"),
+        f"{m.ON_TIME_PCT} AS on_time_pct",
+        f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
     )
-    history = Window.partitionBy("airline_code").orderBy("month")
-    contest = Window.partitionBy("month").orderBy(F.col("on_time_pct").desc_nulls_last())
-    previous = F.lag("on_time_pct").over(history)
-    return decimals_to_double(
-        monthly.withColumn("prev_on_time_pct", previous)
-        .withColumn("mom_change_pct", rounded(F.col("on_time_pct") - F.col("prev_on_time_pct")))
-        .withColumn("rank_in_month", F.rank().over(contest).cast("bigint"))
+    compared = monthly.selectExpr(
+        "*",
+        "lag(on_time_pct) OVER (PARTITION BY airline_code ORDER BY month) AS prev_on_time_pct",
+        "CAST(rank() OVER (PARTITION BY month ORDER BY on_time_pct DESC NULLS LAST) AS BIGINT)"
+        " AS rank_in_month",
     )
+    change = rounded("on_time_pct - prev_on_time_pct")
+    return decimals_to_double(compared.selectExpr("*", f"{change} AS mom_change_pct"))
 
 
 def airline_daily_ops(flights: DataFrame) -> DataFrame:
     return decimals_to_double(
-        m.measures(flights, ["flight_date", "airline_code"]).select(
+        m.measures(flights, ["flight_date", "airline_code"]).selectExpr(
             "flight_date",
             "airline_code",
             "total_flights",
             "completed_flights",
             "cancelled_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
         )
     )
 
@@ -60,38 +55,38 @@ def airline_daily_ops(flights: DataFrame) -> DataFrame:
 def route_risk_score(flights: DataFrame) -> DataFrame:
     return decimals_to_double(
         m.measures(flights, ["origin", "destination"])
-        .filter(F.col("total_flights") >= MIN_RISK_FLIGHTS)
-        .select(
+        .filter(f"total_flights >= {MIN_RISK_FLIGHTS}")
+        .selectExpr(
             "origin",
             "destination",
             "total_flights",
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.cancellation_rate().alias("cancellation_rate"),
-            m.risk_score().alias("risk_score"),
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
+            f"{m.RISK_SCORE} AS risk_score",
         )
     )
 
 
 def fine_measures(flights: DataFrame) -> DataFrame:
     """Measures by month, airline and route: the grain four summaries roll up from."""
-    return _by_month(flights, "airline_code", "origin", "destination")
+    return m.measures(flights, [MONTH, *CARRIER_ROUTE])
 
 
 def _shape_airline_summary(totals: DataFrame, airlines: DataFrame) -> DataFrame:
     return decimals_to_double(
-        with_airline_name(totals, airlines).select(
+        with_airline_name(totals, airlines).selectExpr(
             "airline_code",
             "airline_name",
             "total_flights",
             "completed_flights",
             "cancelled_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_arr_delay_min"),
-            m.avg_dep_delay().alias("avg_dep_delay_min"),
-            m.cancellation_rate().alias("cancellation_rate"),
-            F.col("severe_flights").alias("severe_delay_count"),
-            F.col("first_date").alias("data_from"),
-            F.col("last_date").alias("data_to"),
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay_min",
+            f"{m.AVG_DEP_DELAY} AS avg_dep_delay_min",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
+            "severe_flights AS severe_delay_count",
+            "first_date AS data_from",
+            "last_date AS data_to",
         )
     )
 
@@ -107,20 +102,20 @@ def airline_summary_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
 def delay_heatmap(flights: DataFrame) -> DataFrame:
     """Weekday (0 = Sunday) by departure hour, over flown departures with a time."""
     cells = m.measures(
-        flights.filter(m.completed() & F.col("dep_time").isNotNull()),
+        flights.filter(f"{m.COMPLETED} AND dep_time IS NOT NULL"),
         [
-            (F.dayofweek("flight_date") - 1).alias("day_of_week"),
-            F.substring("dep_time", 1, 2).cast("int").alias("hour_of_day"),
+            "dayofweek(flight_date) - 1 AS day_of_week",
+            "CAST(substring(dep_time, 1, 2) AS INT) AS hour_of_day",
         ],
     )
     return decimals_to_double(
-        cells.select(
+        cells.selectExpr(
             "day_of_week",
             "hour_of_day",
-            F.col("total_flights").alias("flight_count"),
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.avg_dep_delay().alias("avg_dep_delay"),
-            pct(F.col("late_rows"), F.col("total_flights")).alias("delay_rate_pct"),
+            "total_flights AS flight_count",
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.AVG_DEP_DELAY} AS avg_dep_delay",
+            f"{pct('late_rows', 'total_flights')} AS delay_rate_pct",
         )
     )
 
@@ -130,12 +125,12 @@ def with_route_ends(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
     Meant for aggregated routes, one row each.
     """
-    located = airports.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    located = airports.filter("lon IS NOT NULL AND lat IS NOT NULL")
 
     def end(key: str, prefix: str) -> DataFrame:
-        return located.select(
-            F.col("iata_code").alias(key),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in ("name", "city", "lon", "lat")],
+        return located.selectExpr(
+            f"iata_code AS {key}",
+            *[f"{c} AS {prefix}_{c}" for c in ("name", "city", "lon", "lat")],
         )
 
     return routes.join(end("origin", "origin"), "origin").join(
@@ -144,9 +139,9 @@ def with_route_ends(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def _shape_top_routes(totals: DataFrame, airports: DataFrame) -> DataFrame:
-    routes = totals.filter(F.col("total_flights") >= MIN_TOP_ROUTE_FLIGHTS)
+    routes = totals.filter(f"total_flights >= {MIN_TOP_ROUTE_FLIGHTS}")
     return decimals_to_double(
-        with_route_ends(routes, airports).select(
+        with_route_ends(routes, airports).selectExpr(
             "origin",
             "destination",
             "origin_name",
@@ -159,10 +154,10 @@ def _shape_top_routes(totals: DataFrame, airports: DataFrame) -> DataFrame:
             "dest_lat",
             "total_flights",
             "completed_flights",
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.avg_distance().alias("avg_distance_miles"),
-            m.on_time_pct().alias("on_time_pct"),
-            m.cancellation_rate().alias("cancellation_rate"),
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.AVG_DISTANCE} AS avg_distance_miles",
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
     )
 
@@ -177,16 +172,16 @@ def top_routes_from(fine: DataFrame, airports: DataFrame) -> DataFrame:
 
 def _shape_monthly_trend(totals: DataFrame, airlines: DataFrame) -> DataFrame:
     return decimals_to_double(
-        with_airline_name(totals, airlines).select(
+        with_airline_name(totals, airlines).selectExpr(
             "month",
             "airline_code",
             "airline_name",
             "total_flights",
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.on_time_pct().alias("on_time_pct"),
-            m.cancellation_rate().alias("cancellation_rate"),
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
             *[
-                F.col(f"{cause}_min").alias(f"total_{cause}_delay_min")
+                f"{cause}_min AS total_{cause}_delay_min"
                 for cause in ("carrier", "weather", "nas", "late_aircraft")
             ],
         )
@@ -194,7 +189,7 @@ def _shape_monthly_trend(totals: DataFrame, airlines: DataFrame) -> DataFrame:
 
 
 def monthly_trend(flights: DataFrame, airlines: DataFrame) -> DataFrame:
-    return _shape_monthly_trend(_by_month(flights, "airline_code"), airlines)
+    return _shape_monthly_trend(m.measures(flights, [MONTH, "airline_code"]), airlines)
 
 
 def monthly_trend_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -202,17 +197,17 @@ def monthly_trend_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
 
 
 def _shape_route_performance(totals: DataFrame, airlines: DataFrame) -> DataFrame:
-    pairs = totals.filter(F.col("total_flights") >= MIN_CARRIER_ROUTE_FLIGHTS)
+    pairs = totals.filter(f"total_flights >= {MIN_CARRIER_ROUTE_FLIGHTS}")
     return decimals_to_double(
-        with_airline_name(pairs, airlines).select(
+        with_airline_name(pairs, airlines).selectExpr(
             "origin",
             "destination",
             "airline_code",
             "airline_name",
             "total_flights",
-            m.avg_arr_delay().alias("avg_arr_delay"),
-            m.on_time_pct().alias("on_time_pct"),
-            m.cancellation_rate().alias("cancellation_rate"),
+            f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
+            f"{m.ON_TIME_PCT} AS on_time_pct",
+            f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
     )
 

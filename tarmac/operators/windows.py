@@ -7,48 +7,39 @@ by the date range or the delay range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import measures as m
-from tarmac.functions.dates import date_range, month_start
+from tarmac.functions.dates import MONTH, date_range
 from tarmac.functions.numeric import decimals_to_double, mean, pct, ratio, rounded
 
 MIN_ROUTE_MONTH_FLIGHTS = 50
 TOP_SURGES = 50
 
 
-def _monthly(flights: DataFrame, start: str, end: str, *keys: str) -> DataFrame:
-    month = month_start(F.col("flight_date")).alias("month")
-    return m.measures(date_range(flights, start, end), [month, *keys])
-
-
 def monthly_rank(flights: DataFrame, start: str, end: str) -> DataFrame:
     """Airlines ranked in each month by punctuality and by mean delay.
 
     Ranks compare the unrounded values; a missing share ranks first, a missing delay last.
     """
-    share = ratio(F.col("on_time_flights"), F.col("completed_flights"))
-    delay = ratio(F.col("arr_sum"), F.col("arr_n"))
-    in_month = Window.partitionBy("month")
-    return decimals_to_double(
-        _monthly(flights, start, end, "airline_code").select(
-            "month",
-            "airline_code",
-            "total_flights",
-            "on_time_flights",
-            m.on_time_pct().alias("on_time_pct"),
-            m.avg_arr_delay().alias("avg_delay_min"),
-            F.rank()
-            .over(in_month.orderBy(share.desc_nulls_first()))
-            .cast("bigint")
-            .alias("rank_on_time"),
-            F.dense_rank()
-            .over(in_month.orderBy(delay.asc_nulls_last()))
-            .cast("bigint")
-            .alias("dense_rank_by_delay"),
-        )
-    ).orderBy("month", "rank_on_time", F.col("airline_code").asc_nulls_last())
+    share = ratio("on_time_flights", "completed_flights")
+    delay = ratio("arr_sum", "arr_n")
+    ranked = m.measures(date_range(flights, start, end), [MONTH, "airline_code"]).selectExpr(
+        "month",
+        "airline_code",
+        "total_flights",
+        "on_time_flights",
+        f"{m.ON_TIME_PCT} AS on_time_pct",
+        f"{m.AVG_ARR_DELAY} AS avg_delay_min",
+        f"CAST(rank() OVER (PARTITION BY month ORDER BY {share} DESC NULLS FIRST) AS BIGINT)"
+        " AS rank_on_time",
+        f"CAST(dense_rank() OVER (PARTITION BY month ORDER BY {delay} ASC NULLS LAST) AS BIGINT)"
+        " AS dense_rank_by_delay",
+    )
+    return decimals_to_double(ranked).orderBy(
+        "month", "rank_on_time", F.expr("airline_code").asc_nulls_last()
+    )
 
 
 def moving_averages(flights: DataFrame, start: str, end: str) -> DataFrame:
@@ -56,58 +47,60 @@ def moving_averages(flights: DataFrame, start: str, end: str) -> DataFrame:
 
     The frames count rows, so a day without flights does not take up a place.
     """
-    flown = date_range(flights, start, end).filter(m.completed())
-    daily = m.measures(flown, ["flight_date", "airline_code"]).select(
+    flown = date_range(flights, start, end).filter(m.COMPLETED)
+    daily = m.measures(flown, ["flight_date", "airline_code"]).selectExpr(
         "flight_date",
         "airline_code",
-        F.col("total_flights").alias("daily_flights"),
-        m.avg_arr_delay().alias("daily_avg_delay"),
+        "total_flights AS daily_flights",
+        f"{m.AVG_ARR_DELAY} AS daily_avg_delay",
     )
-    days = Window.partitionBy("airline_code").orderBy("flight_date")
 
-    def frame_mean(first: int):
-        frame = days.rowsBetween(first, Window.currentRow)
-        return mean(F.sum("daily_avg_delay").over(frame), F.count("daily_avg_delay").over(frame))
+    def frame_mean(first: str) -> str:
+        over = (
+            "OVER (PARTITION BY airline_code ORDER BY flight_date"
+            f" ROWS BETWEEN {first} PRECEDING AND CURRENT ROW)"
+        )
+        return mean(f"sum(daily_avg_delay) {over}", f"count(daily_avg_delay) {over}")
 
     return decimals_to_double(
-        daily.select(
+        daily.selectExpr(
             "*",
-            frame_mean(-6).alias("moving_avg_7day"),
-            frame_mean(-29).alias("moving_avg_30day"),
-            frame_mean(Window.unboundedPreceding).alias("cumulative_avg"),
+            f"{frame_mean('6')} AS moving_avg_7day",
+            f"{frame_mean('29')} AS moving_avg_30day",
+            f"{frame_mean('UNBOUNDED')} AS cumulative_avg",
         )
-    ).orderBy(F.col("airline_code").asc_nulls_last(), "flight_date")
+    ).orderBy(F.expr("airline_code").asc_nulls_last(), "flight_date")
 
 
 def delay_surges(flights: DataFrame, start: str, end: str) -> DataFrame:
     """The largest changes of a route's mean delay against its previous busy month."""
-    history = Window.partitionBy("origin", "destination").orderBy("month")
-    change = F.col("current_avg_delay") - F.col("prev_month_avg_delay")
     busy = (
-        _monthly(flights, start, end, "origin", "destination")
-        .filter(F.col("total_flights") >= MIN_ROUTE_MONTH_FLIGHTS)
-        .select(
+        m.measures(date_range(flights, start, end), [MONTH, "origin", "destination"])
+        .filter(f"total_flights >= {MIN_ROUTE_MONTH_FLIGHTS}")
+        .selectExpr(
             "month",
             "origin",
             "destination",
-            F.col("total_flights").alias("flight_count"),
-            m.avg_arr_delay().alias("current_avg_delay"),
+            "total_flights AS flight_count",
+            f"{m.AVG_ARR_DELAY} AS current_avg_delay",
+        )
+        .selectExpr(
+            "*",
+            "lag(current_avg_delay) OVER (PARTITION BY origin, destination ORDER BY month)"
+            " AS prev_month_avg_delay",
         )
-        .withColumn("prev_month_avg_delay", F.lag("current_avg_delay").over(history))
     )
+    change = "(current_avg_delay - prev_month_avg_delay)"
     # The denominator keeps its sign: a route that was early on average flips the change.
-    previous = F.nullif(F.col("prev_month_avg_delay"), F.lit(0).cast("decimal(20,2)"))
-    change_pct = rounded((change * 100).cast("decimal(22,2)") / previous.cast("decimal(18,2)"))
-    trend = (
-        F.when(change > 30, "surge")
-        .when(change > 10, "up")
-        .when(change < -10, "improved")
-        .otherwise("stable")
-    )
+    previous = "nullif(CAST(prev_month_avg_delay AS DECIMAL(18,2)), 0.00)"
     largest = (
-        busy.withColumn("pct_change", change_pct)
-        .withColumn("trend", trend)
-        .orderBy(F.abs(change).desc_nulls_last(), "month", "origin", "destination")
+        busy.selectExpr(
+            "*",
+            f"{rounded(f'CAST(100 * {change} AS DECIMAL(22,2)) / {previous}')} AS pct_change",
+            f"CASE WHEN {change} > 30 THEN 'surge' WHEN {change} > 10 THEN 'up'"
+            f" WHEN {change} < -10 THEN 'improved' ELSE 'stable' END AS trend",
+        )
+        .orderBy(F.expr(f"abs({change})").desc_nulls_last(), "month", "origin", "destination")
         .limit(TOP_SURGES)
     )
     return decimals_to_double(largest)
@@ -115,67 +108,62 @@ def delay_surges(flights: DataFrame, start: str, end: str) -> DataFrame:
 
 def delay_distribution(flights: DataFrame) -> DataFrame:
     """Percentile positions of the distinct arrival delays between -60 and 360 minutes."""
-    by_delay = Window.orderBy("arr_delay_min")
     counts = (
-        flights.filter(m.completed() & F.col("arr_delay_min").between(-60, 360))
+        flights.filter(f"{m.COMPLETED} AND arr_delay_min BETWEEN -60 AND 360")
         .groupBy("arr_delay_min")
-        .agg(F.count(F.lit(1)).alias("frequency"))
+        .agg(F.expr("count(1) AS frequency"))
     )
-    four_digits = lambda x: F.round(x.cast("decimal(18,8)"), 4)
+    over = "OVER (ORDER BY arr_delay_min)"
+    four_digits = lambda x: f"round(CAST({x} AS DECIMAL(18,8)), 4)"
     return decimals_to_double(
-        counts.select(
+        counts.selectExpr(
             "arr_delay_min",
             "frequency",
-            F.ntile(10).over(by_delay).alias("decile"),
-            F.ntile(4).over(by_delay).alias("quartile"),
-            four_digits(F.percent_rank().over(by_delay)).alias("percent_rank"),
-            four_digits(F.cume_dist().over(by_delay)).alias("cumulative_dist"),
+            f"ntile(10) {over} AS decile",
+            f"ntile(4) {over} AS quartile",
+            f"{four_digits(f'percent_rank() {over}')} AS percent_rank",
+            f"{four_digits(f'cume_dist() {over}')} AS cumulative_dist",
         )
     ).orderBy("arr_delay_min")
 
 
 def running_totals(flights: DataFrame, start: str, end: str) -> DataFrame:
     """Flights and cancellations per day with running totals; one row per calendar day."""
-    so_far = Window.orderBy("flight_date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    daily = m.measures(date_range(flights, start, end), ["flight_date"]).select(
+    so_far = "OVER (ORDER BY flight_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    daily = m.measures(date_range(flights, start, end), ["flight_date"]).selectExpr(
         "flight_date",
-        F.col("total_flights").alias("flights_today"),
-        F.col("cancelled_flights").alias("cancelled_today"),
-        F.sum("total_flights").over(so_far).alias("cumulative_flights"),
-        F.sum("cancelled_flights").over(so_far).alias("cumulative_cancelled"),
+        "total_flights AS flights_today",
+        "cancelled_flights AS cancelled_today",
+        f"sum(total_flights) {so_far} AS cumulative_flights",
+        f"sum(cancelled_flights) {so_far} AS cumulative_cancelled",
     )
-    rate = pct(F.col("cumulative_cancelled"), F.col("cumulative_flights"))
-    return decimals_to_double(daily.withColumn("cumulative_cancel_rate", rate)).orderBy(
+    rate = pct("cumulative_cancelled", "cumulative_flights")
+    return decimals_to_double(daily.selectExpr("*", f"{rate} AS cumulative_cancel_rate")).orderBy(
         "flight_date"
     )
 
 
 def airline_vs_industry(flights: DataFrame, start: str, end: str) -> DataFrame:
     """Airline's monthly mean delay against the plain mean of all airlines in the month."""
-    monthly = _monthly(flights, start, end, "airline_code").select(
-        "month", "airline_code", m.avg_arr_delay().alias("airline_avg_delay")
-    )
-    peers = Window.partitionBy("month")
-    industry = ratio(
-        F.sum("airline_avg_delay").over(peers), F.count("airline_avg_delay").over(peers)
+    over = "OVER (PARTITION BY month)"
+    industry = ratio(f"sum(airline_avg_delay) {over}", f"count(airline_avg_delay) {over}")
+    compared = (
+        m.measures(date_range(flights, start, end), [MONTH, "airline_code"])
+        .selectExpr("month", "airline_code", f"{m.AVG_ARR_DELAY} AS airline_avg_delay")
+        .selectExpr("*", f"{industry} AS _industry")
     )
-    own = F.col("airline_avg_delay")
-    compared = monthly.withColumn("_industry", industry)
-    report = compared.select(
+    report = compared.selectExpr(
         "month",
         "airline_code",
         "airline_avg_delay",
-        rounded(F.col("_industry")).alias("industry_avg_delay"),
-        rounded(own - F.col("_industry")).alias("diff_from_industry"),
-        F.when(own < F.col("_industry") - 5, "better than industry")
-        .when(own > F.col("_industry") + 5, "worse than industry")
-        .otherwise("same as industry")
-        .alias("vs_industry"),
+        f"{rounded('_industry')} AS industry_avg_delay",
+        f"{rounded('airline_avg_delay - _industry')} AS diff_from_industry",
+        "CASE WHEN airline_avg_delay < _industry - 5 THEN 'better than industry'"
+        " WHEN airline_avg_delay > _industry + 5 THEN 'worse than industry'"
+        " ELSE 'same as industry' END AS vs_industry",
     )
     return decimals_to_double(report).orderBy(
         "month",
-        F.col("diff_from_industry").asc_nulls_last(),
-        F.col("airline_code").asc_nulls_last(),
+        F.expr("diff_from_industry").asc_nulls_last(),
+        F.expr("airline_code").asc_nulls_last(),
     )

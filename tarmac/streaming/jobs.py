@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.functions import measures as m
-from tarmac.functions.dates import month_start
+from tarmac.functions.dates import MONTH
 from tarmac.operators.audit import delay_audit
 from tarmac.operators.views import airline_summary_from, monthly_trend_from
 from tarmac.sources import tables
@@ -69,8 +69,7 @@ def stream_insert_flights(
 
 def month_measures(flights: DataFrame) -> DataFrame:
     """Sums and counts by partition, month and airline."""
-    month = month_start(F.col("flight_date")).alias("month")
-    return m.measures(flights, ["flight_month", month, "airline_code"])
+    return m.measures(flights, ["flight_month", MONTH, "airline_code"])
 
 
 def stream_refresh(
