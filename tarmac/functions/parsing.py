@@ -1,9 +1,9 @@
-"""Parsing of raw text fields. Unparsable text becomes NULL and never fails a job."""
+"""Parsing of raw text fields, as SQL expression text.
 
-from __future__ import annotations
+Unparsable text becomes NULL and never fails a job.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Text that counts as missing in a CSV file.
 NA_TOKENS = (
@@ -11,55 +11,64 @@ NA_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_BLANKS = " \t\n\r\x0b\x0c"
+_MISSING = ", ".join(f"'{token}'" for token in NA_TOKENS)
+# Blank, tab, line feed, carriage return, vertical tab, form feed.
+_BLANKS = r"' \t\n\r\u000B\u000C'"
+
+
+def strip(text: str) -> str:
+    return f"trim(BOTH {_BLANKS} FROM {text})"
 
 
-def strip(text: Column) -> Column:
-    return F.trim(text, F.lit(_BLANKS))
+def stripped_or_null(text: str, length: int | None = None) -> str:
+    """Stripped text, cut to `length`; NULL when nothing is left."""
+    body = strip(text) if length is None else f"substring({strip(text)}, 1, {length})"
+    return f"nullif({body}, '')"
 
 
-def missing_to_null(text: Column) -> Column:
-    return F.when(~text.isin(*NA_TOKENS), text)
+def missing_to_null(text: str) -> str:
+    return f"CASE WHEN {text} NOT IN ({_MISSING}) THEN {text} END"
 
 
-def code(text: Column) -> Column:
-    return F.upper(strip(text))
+def code(text: str) -> str:
+    return f"upper({strip(text)})"
 
 
-def to_number(text: Column) -> Column:
+def to_number(text: str) -> str:
     """Number or NULL, NaN included. Letters that only Java takes for part of a number
     (type letters, hexadecimal exponents) are spoilt first; blanks around are allowed."""
-    return F.translate(text, "dDfFpP", "xxxxxx").try_cast("double")
+    return f"try_cast(translate({text}, 'dDfFpP', 'xxxxxx') AS DOUBLE)"
 
 
-def known(number: Column) -> Column:
+def known(number: str) -> str:
     """NaN to NULL."""
-    return F.nullif(number, F.lit(float("nan")))
+    return f"nullif({number}, double('NaN'))"
 
 
-def whole(number: Column) -> Column:
+def whole(number: str) -> str:
     """Truncated toward zero; NULL when it does not fit an INT, like NaN."""
-    return number.try_cast("int")
+    return f"try_cast({number} AS INT)"
 
 
-def flag(number: Column) -> Column:
-    return F.coalesce(number == 1.0, F.lit(False))
+def flag(number: str) -> str:
+    return f"coalesce({number} = 1D, FALSE)"
 
 
-def clock(number: Column) -> Column:
+def clock(number: str) -> str:
     """`HHMM` as a number to `HH:MM:00`; 2400 is midnight, minutes over 59 are NULL."""
-    n = F.pmod(whole(number), F.lit(2400))
-    digits = (n + 10000).cast("string")
-    shown = F.concat(
-        F.substring(digits, 2, 2), F.lit(":"), F.substring(digits, 4, 2), F.lit(":00")
+    n = f"pmod({whole(number)}, 2400)"
+    digits = f"CAST(10000 + {n} AS STRING)"
+    return (
+        f"CASE WHEN {n} % 100 <= 59 THEN "
+        f"concat(substring({digits}, 2, 2), ':', substring({digits}, 4, 2), ':00') END"
     )
-    return F.when(n % 100 <= 59, shown)
 
 
-def to_day(text: Column) -> Column:
+def to_day(text: str) -> str:
     """`YYYY-MM-DD`, or `M/D/YYYY` with an optional time after a blank."""
     body = strip(text)
-    slashed = F.try_to_date(F.substring_index(body, " ", 1), "M/d/y")
-    return F.when(F.contains(body, F.lit("/")), slashed).otherwise(
-        F.try_to_date(body, "yyyy-M-d")
+    return (
+        f"CASE WHEN contains({body}, '/') "
+        f"THEN try_to_date(substring_index({body}, ' ', 1), 'M/d/y') "
+        f"ELSE try_to_date({body}, 'yyyy-M-d') END"
     )

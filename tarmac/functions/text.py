@@ -1,10 +1,7 @@
-"""Search tokens."""
+"""Search tokens, as SQL expression text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The English stop-word list of full-text search.
 STOP_WORDS = tuple(
     """
@@ -20,8 +17,10 @@ STOP_WORDS = tuple(
 )
 
 
-def search_tokens(*parts: Column) -> Column:
+_DROPPED = ", ".join(f"'{word}'" for word in ("", *STOP_WORDS))
+
+
+def search_tokens(*parts: str) -> str:
     """Distinct lower-case words of all parts, sorted; NULL parts are skipped."""
-    words = F.split(F.lower(F.concat_ws(" ", *parts)), "[^a-z0-9]+")
-    dropped = F.array(*[F.lit(w) for w in ("", *STOP_WORDS)])
-    return F.sort_array(F.array_except(words, dropped))
+    words = f"split(lower(concat_ws(' ', {', '.join(parts)})), '[^a-z0-9]+')"
+    return f"sort_array(array_except({words}, array({_DROPPED})))"

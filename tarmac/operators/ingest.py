@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import parsing as p
@@ -68,8 +68,7 @@ KNOWN_AIRLINES = (
 # Airport types kept, in order of preference.
 AIRPORT_TYPES = ("large_airport", "medium_airport", "small_airport")
 
-_INTS = ("distance_miles", *[f"{c}_delay" for c in CAUSES])
-_DELAYS = ("dep_delay_min", "arr_delay_min")
+_TEXTS = ("flight_date", "airline_code", "flight_number", "origin", "destination")
 
 
 # ---------------------------------------------------------------- flights
@@ -82,40 +81,33 @@ def parse_flights(raw: DataFrame) -> DataFrame:
     than column by column: spelled out, the whole projection would outgrow what the
     JVM compiles, and run many times slower.
     """
-    text = {target: F.col(source) for source, target in RAW_FLIGHT_COLUMNS.items()}
     kept = [c for c in raw.columns if c not in RAW_FLIGHT_COLUMNS]
-    texts = {c: text[c] for c in ("flight_date", "airline_code", "flight_number", "origin", "destination")}
-    numeric = [c for c in RAW_FLIGHT_COLUMNS.values() if c not in texts]
-    numbers = F.transform(F.array(*[text[c] for c in numeric]), p.to_number)
-    read = raw.select(*[c.alias(name) for name, c in texts.items()], numbers.alias("_n"), *kept)
-    number = {c: F.col("_n")[i] for i, c in enumerate(numeric)}
+    raw_name = {target: source for source, target in RAW_FLIGHT_COLUMNS.items()}
+    numeric = [c for c in raw_name if c not in _TEXTS]
+    texts = [f"{raw_name[c]} AS {c}" for c in _TEXTS]
+    array = f"array({', '.join(raw_name[c] for c in numeric)})"
+    read = raw.selectExpr(*texts, f"transform({array}, t -> {p.to_number('t')}) AS _n", *kept)
+    number = {c: f"_n[{i}]" for i, c in enumerate(numeric)}
 
     typed = {
-        "flight_date": p.to_day(F.col("flight_date")),
-        "airline_code": p.code(F.col("airline_code")),
-        "flight_number": F.nullif(
-            F.substring(p.strip(F.col("flight_number")), 1, 10), F.lit("")
-        ),
-        "origin": p.code(F.col("origin")),
-        "destination": p.code(F.col("destination")),
-        "dep_time": p.clock(number["dep_time"]),
-        "arr_time": p.clock(number["arr_time"]),
-        "cancelled": p.flag(number["cancelled"]),
-        "diverted": p.flag(number["diverted"]),
+        "flight_date": p.to_day("flight_date"),
+        "airline_code": p.code("airline_code"),
+        "flight_number": p.stripped_or_null("flight_number", 10),
+        "origin": p.code("origin"),
+        "destination": p.code("destination"),
+        **{c: p.clock(number[c]) for c in ("dep_time", "arr_time")},
+        **{c: p.flag(number[c]) for c in ("cancelled", "diverted")},
+        **{c: p.whole(number[c]) for c in ("distance_miles", *[f"{c}_delay" for c in CAUSES])},
     }
-    for name in _INTS:
-        typed[name] = p.whole(number[name])
-    for name in _DELAYS:
+    for name in ("dep_delay_min", "arr_delay_min"):
         minutes = p.whole(number[name])
-        typed[name] = F.when(minutes >= EARLIEST_DELAY, minutes)
-    parsed = read.select(*[typed[t].alias(t) for t in RAW_FLIGHT_COLUMNS.values()], *kept)
-    right_length = (
-        (F.length("airline_code") == 2)
-        & (F.length("origin") == 3)
-        & (F.length("destination") == 3)
+        typed[name] = f"CASE WHEN {minutes} >= {EARLIEST_DELAY} THEN {minutes} END"
+    parsed = read.selectExpr(*[f"{typed[c]} AS {c}" for c in raw_name], *kept)
+    return parsed.selectExpr(
+        "*",
+        "flight_date IS NOT NULL AND coalesce(length(airline_code) = 2 AND length(origin) = 3"
+        " AND length(destination) = 3, FALSE) AS is_valid",
     )
-    valid = F.col("flight_date").isNotNull() & F.coalesce(right_length, F.lit(False))
-    return parsed.withColumn("is_valid", valid)
 
 
 def ingest_flights(raw: DataFrame) -> DataFrame:
@@ -125,8 +117,10 @@ def ingest_flights(raw: DataFrame) -> DataFrame:
 
 def with_flight_id(flights: DataFrame) -> DataFrame:
     """A 64-bit id from the business key: the same row gets the same id on every load."""
-    key = [F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in BUSINESS_KEY]
-    return flights.withColumn("id", F.xxhash64(*key))
+    key = ", ".join(f"coalesce(CAST({k} AS STRING), '\\0')" for k in BUSINESS_KEY)
+    return flights.selectExpr(
+        f"xxhash64({key}) AS id", *[f"`{c}`" for c in flights.columns if c != "id"]
+    )
 
 
 def check_constraints(flights: DataFrame, airlines: DataFrame, airports: DataFrame) -> DataFrame:
@@ -138,40 +132,37 @@ def check_constraints(flights: DataFrame, airlines: DataFrame, airports: DataFra
     """
 
     def known(dim: DataFrame, key: str, mark: str) -> DataFrame:
-        return dim.select(F.col("iata_code").alias(key)).distinct().withColumn(mark, F.lit(True))
+        return dim.selectExpr(f"iata_code AS {key}", f"TRUE AS {mark}").distinct()
 
     marked = (
         flights.join(known(airlines, "airline_code", "_airline"), "airline_code", "left")
         .join(known(airports, "origin", "_origin"), "origin", "left")
         .join(known(airports, "destination", "_destination"), "destination", "left")
     )
-    unknown = lambda key, mark: F.col(key).isNotNull() & F.col(mark).isNull()
-    negative_cause = F.lit(False)
-    for cause in CAUSES:
-        negative_cause |= F.coalesce(F.col(f"{cause}_delay") < 0, F.lit(False))
-    rules: dict[str, Column] = {
-        "missing_flight_date": F.col("flight_date").isNull(),
-        "same_origin_destination": F.col("origin") == F.col("destination"),
-        "distance_not_positive": F.col("distance_miles") <= 0,
-        "dep_delay_too_early": F.col("dep_delay_min") < EARLIEST_DELAY,
-        "arr_delay_too_early": F.col("arr_delay_min") < EARLIEST_DELAY,
-        "negative_delay_cause": negative_cause,
-        "unknown_airline": unknown("airline_code", "_airline"),
-        "unknown_origin": unknown("origin", "_origin"),
-        "unknown_destination": unknown("destination", "_destination"),
+    rules = {
+        "missing_flight_date": "flight_date IS NULL",
+        "same_origin_destination": "origin = destination",
+        "distance_not_positive": "distance_miles <= 0",
+        "dep_delay_too_early": f"dep_delay_min < {EARLIEST_DELAY}",
+        "arr_delay_too_early": f"arr_delay_min < {EARLIEST_DELAY}",
+        "negative_delay_cause": " OR ".join(f"{cause}_delay < 0" for cause in CAUSES),
+        "unknown_airline": "airline_code IS NOT NULL AND _airline IS NULL",
+        "unknown_origin": "origin IS NOT NULL AND _origin IS NULL",
+        "unknown_destination": "destination IS NOT NULL AND _destination IS NULL",
     }
-    reasons = F.concat_ws(",", *[F.when(cond, name) for name, cond in rules.items()])
-    return marked.select(
-        *[F.col(c) for c in flights.columns], F.nullif(reasons, F.lit("")).alias("reject_reason")
+    reasons = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules.items())
+    return marked.selectExpr(
+        *[f"`{c}`" for c in flights.columns],
+        f"nullif(concat_ws(',', {reasons}), '') AS reject_reason",
     )
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return checked.filter("reject_reason IS NULL").drop("reject_reason")
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reject_reason").isNotNull())
+    return checked.filter("reject_reason IS NOT NULL")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -181,9 +172,10 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     key that fills a third of the input does not end up in one task.
     """
     rest = [c for c in rows.columns if c not in keys and c not in order]
-    best = F.min(F.struct(*order, *rest)).alias("_first")
-    return rows.groupBy(*keys).agg(best).select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in rows.columns]
+    fields = ", ".join(f"`{c}`" for c in (*order, *rest))
+    best = rows.groupBy(*keys).agg(F.expr(f"min(struct({fields})) AS _first"))
+    return best.selectExpr(
+        *[f"`{c}`" if c in keys else f"_first.`{c}` AS `{c}`" for c in rows.columns]
     )
 
 
@@ -196,10 +188,10 @@ def insert_flights(
     first, so a single shuffle settles both kinds of conflict, NULLs compare equal, and
     each map task sends on at most one row per key.
     """
-    stored = existing.select(*BUSINESS_KEY, F.lit(0).alias("_arrival"))
-    merged = new.withColumn("_arrival", F.lit(1)).unionByName(stored, allowMissingColumns=True)
+    stored = existing.selectExpr(*BUSINESS_KEY, "0 AS _arrival")
+    merged = new.selectExpr("*", "1 AS _arrival").unionByName(stored, allowMissingColumns=True)
     first = first_per_key(merged, BUSINESS_KEY, ["_arrival", *order])
-    return first.filter(F.col("_arrival") == 1).drop("_arrival")
+    return first.filter("_arrival = 1").drop("_arrival")
 
 
 def file_stats(checked: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -209,31 +201,24 @@ def file_stats(checked: DataFrame, inserted: DataFrame) -> DataFrame:
     rows that reached the table. What remains of the total are ignored duplicates.
     """
     seen = checked.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(~F.col("is_valid")).alias("skipped"),
-        F.count_if(F.col("is_valid") & F.col("reject_reason").isNotNull()).alias("errors"),
+        F.expr("count(1) AS total_rows"),
+        F.expr("count_if(NOT is_valid) AS skipped"),
+        F.expr("count_if(is_valid AND reject_reason IS NOT NULL) AS errors"),
     )
-    added = inserted.groupBy("source_file").agg(F.count(F.lit(1)).alias("_inserted"))
-    return seen.join(added, "source_file", "left").select(
-        "source_file",
-        "total_rows",
-        F.coalesce("_inserted", F.lit(0)).alias("inserted"),
-        "skipped",
-        "errors",
+    added = inserted.groupBy("source_file").agg(F.expr("count(1) AS _inserted"))
+    return seen.join(added, "source_file", "left").selectExpr(
+        "source_file", "total_rows", "coalesce(_inserted, 0) AS inserted", "skipped", "errors"
     )
 
 
 def dry_run(raw: DataFrame, order: Sequence[str] = SOURCE_COLUMNS, sample: int = 1000) -> DataFrame:
     """Parse the first rows only and report the failures; writes nothing."""
-    head = parse_flights(raw.orderBy(*order).limit(sample)).agg(
-        F.count_if(~F.col("is_valid")).alias("skipped")
-    )
-    total = raw.agg(F.count(F.lit(1)).alias("total_rows"))
-    both = total.unionByName(head, allowMissingColumns=True)
-    count = lambda name: F.max(name).alias(name)
-    zero = lambda name: F.lit(0).cast("bigint").alias(name)
-    return both.agg(count("total_rows"), count("skipped")).select(
-        "total_rows", zero("inserted"), "skipped", zero("errors")
+    head = parse_flights(raw.orderBy(*order).limit(sample))
+    skipped = head.agg(F.expr("count_if(NOT is_valid) AS skipped"))
+    total = raw.agg(F.expr("count(1) AS total_rows"))
+    both = total.unionByName(skipped, allowMissingColumns=True)
+    return both.agg(F.max("total_rows").alias("total_rows"), F.max("skipped").alias("skipped")).selectExpr(
+        "total_rows", "0L AS inserted", "skipped", "0L AS errors"
     )
 
 
@@ -247,36 +232,31 @@ def ingest_airports(raw: DataFrame) -> DataFrame:
     row lacks a name or a location the code is dropped. Codes that differ only in
     case meet after upper-casing, where the smaller type overwrites the larger one.
     """
-    columns = {c.strip().lower() for c in raw.columns}
-    optional = lambda name: F.col(name) if name in columns else F.lit(None).cast("string")
-    rank = F.array_position(F.array(*[F.lit(t) for t in AIRPORT_TYPES]), F.col("type"))
+    zones = [p.stripped_or_null(c) for c in ("tzid", "time_zone") if c in raw.columns]
+    types = ", ".join(f"'{t}'" for t in AIRPORT_TYPES)
     listed = raw.filter(
-        (F.length("iata_code") == 3)
-        & (p.strip(F.col("iata_code")) != "")
-        & F.col("type").isin(*AIRPORT_TYPES)
-    ).select(
-        F.col("iata_code").alias("raw_code"),
-        rank.alias("type_rank"),
-        F.nullif(p.strip(F.col("name")), F.lit("")).alias("name"),
-        F.nullif(p.strip(F.col("municipality")), F.lit("")).alias("city"),
-        F.nullif(F.substring(p.strip(F.col("iso_country")), 1, 2), F.lit("")).alias("country"),
-        p.known(p.to_number(F.col("longitude_deg"))).alias("lon"),
-        p.known(p.to_number(F.col("latitude_deg"))).alias("lat"),
-        p.whole(p.to_number(F.col("elevation_ft"))).alias("elevation_ft"),
-        F.coalesce(
-            F.nullif(p.strip(optional("tzid")), F.lit("")),
-            F.nullif(p.strip(optional("time_zone")), F.lit("")),
-        ).alias("timezone"),
+        f"length(iata_code) = 3 AND {p.strip('iata_code')} <> '' AND type IN ({types})"
+    ).selectExpr(
+        "iata_code AS raw_code",
+        f"array_position(array({types}), type) AS type_rank",
+        f"{p.stripped_or_null('name')} AS name",
+        f"{p.stripped_or_null('municipality')} AS city",
+        f"{p.stripped_or_null('iso_country', 2)} AS country",
+        f"{p.known(p.to_number('longitude_deg'))} AS lon",
+        f"{p.known(p.to_number('latitude_deg'))} AS lat",
+        f"{p.whole(p.to_number('elevation_ft'))} AS elevation_ft",
+        f"coalesce({', '.join([*zones, 'CAST(NULL AS STRING)'])}) AS timezone",
     )
     best = first_per_key(listed, ["raw_code"], ["type_rank", "name"])
-    code = p.code(F.col("raw_code"))
-    complete = best.filter(
-        F.col("name").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    ).withColumn("iata_code", code).filter(F.length("iata_code") == 3)
-    fields = ["name", "city", "country", "lon", "lat", "elevation_ft", "timezone"]
-    last = F.max(F.struct("type_rank", "raw_code", *fields)).alias("_last")
-    return complete.groupBy("iata_code").agg(last).select(
-        "iata_code", *[F.col(f"_last.{c}").alias(c) for c in fields]
+    complete = (
+        best.filter("name IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL")
+        .selectExpr("*", f"{p.code('raw_code')} AS iata_code")
+        .filter("length(iata_code) = 3")
+    )
+    fields = ("name", "city", "country", "lon", "lat", "elevation_ft", "timezone")
+    last = F.expr(f"max(struct(type_rank, raw_code, {', '.join(fields)})) AS _last")
+    return complete.groupBy("iata_code").agg(last).selectExpr(
+        "iata_code", *[f"_last.{c} AS {c}" for c in fields]
     )
 
 
@@ -287,13 +267,12 @@ def known_airlines(spark: SparkSession) -> DataFrame:
 
 def ingest_airlines(raw: DataFrame) -> DataFrame:
     """One row per carrier code seen in the raw flights, named where it is known."""
-    codes = raw.select(p.code(F.col("OP_UNIQUE_CARRIER")).alias("iata_code")).distinct()
-    two = codes.filter(F.length("iata_code") == 2)
+    codes = raw.selectExpr(f"{p.code('OP_UNIQUE_CARRIER')} AS iata_code").distinct()
     known = known_airlines(raw.sparkSession)
-    return two.join(known, "iata_code", "left").select(
+    return codes.filter("length(iata_code) = 2").join(known, "iata_code", "left").selectExpr(
         "iata_code",
-        F.coalesce("name", F.concat(F.lit("Airline "), F.col("iata_code"))).alias("name"),
-        F.coalesce("country", F.lit("US")).alias("country"),
+        "coalesce(name, concat('Airline ', iata_code)) AS name",
+        "coalesce(country, 'US') AS country",
     )
 
 
@@ -303,13 +282,13 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "iata_code") -> DataFrame:
 
 
 def airport_search_tokens(airports: DataFrame) -> DataFrame:
-    parts = [F.col(c) for c in ("name", "city", "iata_code", "country")]
-    return airports.withColumn("search_tokens", search_tokens(*parts))
+    tokens = search_tokens("name", "city", "iata_code", "country")
+    return airports.selectExpr("*", f"{tokens} AS search_tokens")
 
 
 def airline_search_tokens(airlines: DataFrame) -> DataFrame:
-    parts = [F.col(c) for c in ("name", "iata_code", "country")]
-    return airlines.withColumn("search_tokens", search_tokens(*parts))
+    tokens = search_tokens("name", "iata_code", "country")
+    return airlines.selectExpr("*", f"{tokens} AS search_tokens")
 
 
 def search_index(airports: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -320,10 +299,8 @@ def search_index(airports: DataFrame, airlines: DataFrame) -> DataFrame:
     """
 
     def pairs(dim: DataFrame, entity: str) -> DataFrame:
-        return dim.select(
-            F.explode("search_tokens").alias("token"),
-            F.lit(entity).alias("entity"),
-            F.col("iata_code").alias("code"),
+        return dim.selectExpr(
+            "explode(search_tokens) AS token", f"'{entity}' AS entity", "iata_code AS code"
         )
 
     return pairs(airport_search_tokens(airports), "airport").unionByName(
@@ -334,10 +311,10 @@ def search_index(airports: DataFrame, airlines: DataFrame) -> DataFrame:
 def delete_airports(candidates: DataFrame, flights: DataFrame) -> DataFrame:
     """Mark each candidate code `deletable`, which it is unless a flight uses it."""
     used = (
-        flights.select(F.explode(F.array("origin", "destination")).alias("iata_code"))
+        flights.selectExpr("explode(array(origin, destination)) AS iata_code")
         .distinct()
-        .withColumn("_used", F.lit(True))
+        .selectExpr("iata_code", "TRUE AS _used")
     )
-    return candidates.join(used, "iata_code", "left").select(
-        *candidates.columns, F.col("_used").isNull().alias("deletable")
+    return candidates.join(used, "iata_code", "left").selectExpr(
+        *[f"`{c}`" for c in candidates.columns], "_used IS NULL AS deletable"
     )

@@ -6,7 +6,6 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarmac.functions.parsing import missing_to_null
 from tarmac.operators.audit import delay_audit
@@ -98,11 +97,8 @@ class Data:
     @property
     def raw_flights(self) -> DataFrame:
         raw = self.raw_flights_text
-        return raw.select(
-            *[
-                missing_to_null(F.col(c)).alias(c) if c in RAW_FLIGHT_COLUMNS else F.col(c)
-                for c in raw.columns
-            ]
+        return raw.selectExpr(
+            *[f"{missing_to_null(c)} AS {c}" if c in RAW_FLIGHT_COLUMNS else c for c in raw.columns]
         )
 
     @property
@@ -123,7 +119,7 @@ class Data:
     @property
     def raw_airports(self) -> DataFrame:
         raw = self.raw_airports_text
-        return raw.select(*[missing_to_null(F.col(c)).alias(c) for c in raw.columns])
+        return raw.selectExpr(*[f"{missing_to_null(c)} AS {c}" for c in raw.columns])
 
     @property
     def listed_airports(self) -> DataFrame:

@@ -7,7 +7,6 @@ from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarmac.functions.parsing import missing_to_null
 from tarmac.operators.ingest import RAW_FLIGHT_COLUMNS, SOURCE_COLUMNS
@@ -75,11 +74,11 @@ def read_flights_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     for line, group in groups.items():
         scan = _scan(spark, group, _header(line), multi_line=False)
         scans.append(
-            scan.select(
-                *[missing_to_null(F.col(c)).alias(c) for c in RAW_FLIGHT_COLUMNS],
-                F.col("_metadata.file_name").alias(SOURCE_COLUMNS[0]),
-                F.col("_metadata.file_block_start").alias(SOURCE_COLUMNS[1]),
-                F.monotonically_increasing_id().alias(SOURCE_COLUMNS[2]),
+            scan.selectExpr(
+                *[f"{missing_to_null(c)} AS {c}" for c in RAW_FLIGHT_COLUMNS],
+                f"_metadata.file_name AS {SOURCE_COLUMNS[0]}",
+                f"_metadata.file_block_start AS {SOURCE_COLUMNS[1]}",
+                f"monotonically_increasing_id() AS {SOURCE_COLUMNS[2]}",
             )
         )
     return reduce(DataFrame.unionByName, scans)
@@ -89,4 +88,4 @@ def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns under lower-case names; quoted fields may hold line breaks."""
     names = [c.lower() for c in _header(files.first_line(spark, path))]
     scan = _scan(spark, [path], names, multi_line=True)
-    return scan.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in names])
+    return scan.selectExpr(*[f"{missing_to_null(f'`{c}`')} AS `{c}`" for c in names])

@@ -4,7 +4,6 @@ import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from tarmac.operators import ingest, views
 from tarmac.operators.audit import delay_audit
