@@ -28,8 +28,8 @@ def _insertable(d: Data) -> DataFrame:
 
 
 def _existing(d: Data) -> DataFrame:
-    """The part of the flights that counts as already loaded."""
-    return d.plain_flights.filter(F.col("flight_number") < "500")
+    """The first half of the year counts as loaded; the raw files hold the whole year."""
+    return d.plain_flights.filter("flight_date < DATE'2023-07-01'")
 
 
 def _inserted(d: Data) -> DataFrame:
@@ -59,9 +59,11 @@ def _upsert_airports(d: Data) -> DataFrame:
 
 
 def _upsert_airlines(d: Data) -> DataFrame:
-    stale = d.airlines.select("iata_code", F.concat("name", F.lit(" (old)")).alias("name"), "country")
-    seen = ingest.ingest_airlines(d.raw_flights.filter(F.col("ORIGIN") == "ATL"))
-    return ingest.upsert(stale, seen)
+    """Carriers seen in the raw flights replace their old row; the others keep it."""
+    old = ingest.known_airlines(d.spark).selectExpr(
+        "iata_code", "concat(name, ' (old)') AS name", "country"
+    )
+    return ingest.upsert(old, ingest.ingest_airlines(d.raw_flights))
 
 
 def _with_flat_tokens(df: DataFrame) -> DataFrame:

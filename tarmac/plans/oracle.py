@@ -166,7 +166,7 @@ INSERTED = f"""numbered AS (
   FROM checked WHERE is_valid AND reject_reason IS NULL
 ), inserted AS (
   SELECT * FROM numbered nb WHERE rn = 1 AND NOT EXISTS (
-    SELECT 1 FROM flights f WHERE f.flight_number < '500'
+    SELECT 1 FROM flights f WHERE f.flight_date < DATE '2023-07-01'
       AND f.flight_date = nb.flight_date AND f.airline_code = nb.airline_code
       AND f.flight_number = nb.flight_number AND f.origin = nb.origin
       AND f.destination = nb.destination AND f.dep_time IS NOT DISTINCT FROM nb.dep_time)
@@ -418,11 +418,11 @@ def _build() -> dict[str, str]:
     q["upsert_airports"] = statement("""
         SELECT iata_code, name, city, country, lon, lat, elevation_ft FROM listed UNION ALL
         SELECT * FROM airports WHERE iata_code NOT IN (SELECT iata_code FROM listed)""", *AIRPORT_INGEST)
-    atl_raw = RAW.replace("FROM raw_text)", "FROM raw_text WHERE \"ORIGIN\" = 'ATL')")
-    q["upsert_airlines"] = statement("""
+    q["upsert_airlines"] = statement(f"""
         SELECT * FROM carriers UNION ALL
-        SELECT iata_code, name || ' (old)', country FROM airlines
-        WHERE iata_code NOT IN (SELECT iata_code FROM carriers)""", RAW_TEXT, atl_raw, CARRIERS)
+        SELECT iata_code, name || ' (old)', country
+        FROM (VALUES {_SEED}) AS k(iata_code, name, country)
+        WHERE iata_code NOT IN (SELECT iata_code FROM carriers)""", RAW_TEXT, RAW, CARRIERS)
     q["insert_flights"] = statement(
         f"SELECT {FLIGHT_FIELDS}, source_file, source_row FROM inserted", *INSERT
     )
@@ -438,7 +438,7 @@ def _build() -> dict[str, str]:
           {n("NOT is_valid")} AS skipped, {n("is_valid AND reject_reason IS NOT NULL")} AS errors
         FROM checked c LEFT JOIN added a ON a.source_file = c.source_file GROUP BY c.source_file""", *INSERT)
     union_all = f"""SELECT flight_date, arr_delay_min, cancelled FROM inserted UNION ALL
-        SELECT flight_date, arr_delay_min, cancelled FROM flights WHERE flight_number < '500'"""
+        SELECT flight_date, arr_delay_min, cancelled FROM flights WHERE flight_date < DATE '2023-07-01'"""
     q["load_flights"] = statement(f"""
         , stored AS ({union_all})
         SELECT strftime(flight_date, '%Y-%m') AS flight_month,

@@ -7,14 +7,13 @@ of its own.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators import ingest
 from tarmac.plans.data import YEARS, Data
-from tarmac.sources import csv, files, load, tables
+from tarmac.sources import csv, load, tables
 from tarmac.streaming import jobs
 
 
@@ -44,15 +43,14 @@ def read_airports_csv(d: Data) -> DataFrame:
     folder = _folder(d, "raw-airports")
     shouting = d.raw_airports_text
     _write_csv(shouting.toDF(*[f" {c.upper()}" for c in shouting.columns]), folder)
-    parts = files.glob(d.spark, f"{folder}/*.csv")
-    return reduce(DataFrame.unionByName, [csv.read_airports_csv(d.spark, p) for p in parts])
+    return csv.read_airports_csv(d.spark, f"{folder}/*.csv")
 
 
 def load_flights(d: Data) -> DataFrame:
-    """Raw CSV files through the whole load, on top of some flights already stored."""
+    """Raw CSV files through the whole load, on top of half a year already stored."""
     folder = _folder(d, "load")
     _write_csv(d.raw_flights_text.select(*ingest.RAW_FLIGHT_COLUMNS), f"{folder}/csv")
-    stored = d.plain_flights.filter(F.col("flight_number") < "500")
+    stored = d.plain_flights.filter("flight_date < DATE'2023-07-01'")
     tables.write_flights(stored, f"{folder}/flights", YEARS)
     paths = csv.flight_files(d.spark, f"{folder}/csv")
     load.load_flight_files(d.spark, paths, folder, d.loaded_airlines, d.airports, YEARS)
@@ -87,8 +85,8 @@ def replace_month(d: Data) -> DataFrame:
 def refresh_summaries(d: Data) -> DataFrame:
     root = _folder(d, "summaries")
     tables.refresh_summaries(d.flights, d.airlines, d.airports, root)
-    return tables.read_current(d.spark, root, "monthly_trend").drop("airline_name").join(
-        tables.read_current(d.spark, root, "airline_summary").select(
+    return tables.read_summary(d.spark, root, "monthly_trend").drop("airline_name").join(
+        tables.read_summary(d.spark, root, "airline_summary").select(
             "airline_code", "airline_name", F.col("total_flights").alias("airline_flights"),
             "severe_delay_count", "data_from", "data_to",
         ),

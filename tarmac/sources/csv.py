@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv as csv_text
 from collections import defaultdict
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ def _header(line: str) -> list[str]:
     return names
 
 
-def _scan(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
+def _scan(spark: SparkSession, paths: list[str], columns: Iterable[str], multi_line: bool) -> DataFrame:
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (
         spark.read.schema(schema)
@@ -44,20 +45,29 @@ def flight_files(
     return found
 
 
-def split_by_columns(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]], list[str]]:
-    """Group files by header line, and list the files that lack a required column.
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their columns in order; only header lines are read."""
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path, line in files.first_lines(spark, paths).items():
+        groups[tuple(_header(line))].append(path)
+    return dict(groups)
+
+
+def split_by_columns(
+    spark: SparkSession, paths: list[str]
+) -> tuple[dict[tuple[str, ...], list[str]], list[str]]:
+    """Usable files grouped by header, and the files that lack a required column.
 
-    Files of different years differ in column order, so one scan per distinct header
-    is planned; only header lines are read here.
+    Files of different years differ in column order, so one scan is planned per
+    distinct header, however many files share it.
     """
-    groups: dict[str, list[str]] = defaultdict(list)
-    unusable = []
-    for path, line in files.first_lines(spark, paths).items():
-        if set(RAW_FLIGHT_COLUMNS) <= set(_header(line)):
-            groups[line].append(path)
+    groups, unusable = {}, []
+    for columns, group in _by_header(spark, paths).items():
+        if set(RAW_FLIGHT_COLUMNS) <= set(columns):
+            groups[columns] = group
         else:
-            unusable.append(path)
-    return dict(groups), unusable
+            unusable += group
+    return groups, unusable
 
 
 def read_flights_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -71,8 +81,8 @@ def read_flights_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not groups:
         raise ValueError("no file has the required columns")
     scans = []
-    for line, group in groups.items():
-        scan = _scan(spark, group, _header(line), multi_line=False)
+    for columns, group in groups.items():
+        scan = _scan(spark, group, columns, multi_line=False)
         scans.append(
             scan.selectExpr(
                 *[f"{missing_to_null(c)} AS {c}" for c in RAW_FLIGHT_COLUMNS],
@@ -84,8 +94,14 @@ def read_flights_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, scans)
 
 
-def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_airports_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """All columns under lower-case names; quoted fields may hold line breaks."""
-    names = [c.lower() for c in _header(files.first_line(spark, path))]
-    scan = _scan(spark, [path], names, multi_line=True)
-    return scan.selectExpr(*[f"{missing_to_null(f'`{c}`')} AS `{c}`" for c in names])
+    paths = files.glob(spark, pattern)
+    if not paths:
+        raise FileNotFoundError(pattern)
+    scans = []
+    for columns, group in _by_header(spark, paths).items():
+        names = [c.lower() for c in columns]
+        scan = _scan(spark, group, names, multi_line=True)
+        scans.append(scan.selectExpr(*[f"{missing_to_null(f'`{c}`')} AS `{c}`" for c in names]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

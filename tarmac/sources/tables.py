@@ -240,11 +240,13 @@ def current_path(spark: SparkSession, root: str, name: str) -> str | None:
     return None
 
 
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_current(
+    spark: SparkSession, root: str, name: str, schema: str | None = None
+) -> DataFrame:
     path = current_path(spark, root, name)
     if path is None:
         raise FileNotFoundError(f"{root}/{name}")
-    return spark.read.parquet(path)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def upsert_table(new: DataFrame, root: str, name: str, key: str = "iata_code") -> None:
@@ -256,9 +258,27 @@ def upsert_table(new: DataFrame, root: str, name: str, key: str = "iata_code") -
 
 # ---------------------------------------------------------------- summaries
 
-SUMMARIES = (
-    "airline_summary", "delay_heatmap", "top_routes", "monthly_trend", "route_performance",
-)
+# Declared, so that opening a summary needs no look into its files.
+SUMMARIES = {
+    "airline_summary": "airline_code STRING, airline_name STRING, total_flights BIGINT, "
+    "completed_flights BIGINT, cancelled_flights BIGINT, on_time_pct DOUBLE, "
+    "avg_arr_delay_min DOUBLE, avg_dep_delay_min DOUBLE, cancellation_rate DOUBLE, "
+    "severe_delay_count BIGINT, data_from DATE, data_to DATE",
+    "delay_heatmap": "day_of_week INT, hour_of_day INT, flight_count BIGINT, "
+    "avg_arr_delay DOUBLE, avg_dep_delay DOUBLE, delay_rate_pct DOUBLE",
+    "top_routes": "origin STRING, destination STRING, origin_name STRING, dest_name STRING, "
+    "origin_city STRING, dest_city STRING, origin_lon DOUBLE, origin_lat DOUBLE, "
+    "dest_lon DOUBLE, dest_lat DOUBLE, total_flights BIGINT, completed_flights BIGINT, "
+    "avg_arr_delay DOUBLE, avg_distance_miles DOUBLE, on_time_pct DOUBLE, "
+    "cancellation_rate DOUBLE",
+    "monthly_trend": "month DATE, airline_code STRING, airline_name STRING, "
+    "total_flights BIGINT, avg_arr_delay DOUBLE, on_time_pct DOUBLE, "
+    "cancellation_rate DOUBLE, total_carrier_delay_min BIGINT, total_weather_delay_min BIGINT, "
+    "total_nas_delay_min BIGINT, total_late_aircraft_delay_min BIGINT",
+    "route_performance": "origin STRING, destination STRING, airline_code STRING, "
+    "airline_name STRING, total_flights BIGINT, avg_arr_delay DOUBLE, on_time_pct DOUBLE, "
+    "cancellation_rate DOUBLE",
+}
 
 
 def refresh_summaries(
@@ -298,7 +318,11 @@ def count_rows(tables: dict[str, DataFrame], label: str = "table_name") -> DataF
 
 
 def summary_counts(spark: SparkSession, root: str) -> DataFrame:
-    return count_rows({name: read_current(spark, root, name) for name in SUMMARIES}, "summary_name")
+    return count_rows({name: read_summary(spark, root, name) for name in SUMMARIES}, "summary_name")
+
+
+def read_summary(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_current(spark, root, name, SUMMARIES[name])
 
 
 def load_summary(
