@@ -1,20 +1,18 @@
-"""Date keys and date-range filters."""
+"""Date keys (as SQL expression text) and date-range filters."""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 DEFAULT_PARTITION = "default"
 MONTH = "trunc(flight_date, 'MM') AS month"
 
 
-def month_label(day: Column) -> Column:
+def month_label(day: str) -> str:
     """`YYYY-MM`, without a per-row date formatter."""
-    year = F.lpad(F.year(day).cast("string"), 4, "0")
-    return F.concat(year, F.lit("-"), F.lpad(F.month(day).cast("string"), 2, "0"))
+    return f"concat(lpad(year({day}), 4, '0'), '-', lpad(month({day}), 2, '0'))"
 
 
 def date_range(df: DataFrame, start: str | date, end: str | date) -> DataFrame:

@@ -16,7 +16,8 @@ def distance_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     """Metres between two points by Lambert's long-line formula.
 
     The formula corrects the central angle of the reduced latitudes; it is 0/0 for
-    equal points (distance 0) and singular for opposite ones (spherical distance).
+    equal points (distance 0) and singular for opposite ones (spherical distance). An
+    unknown coordinate gives NULL, which needs saying as `least` passes over NULLs.
     """
     squash = f"CAST({1 - FLATTENING!r} AS DOUBLE)"
     half_f = f"CAST({FLATTENING / 2!r} AS DOUBLE)"
@@ -30,7 +31,8 @@ def distance_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     y = f"({angle} + sin({angle})) * {_sq(f'cos({p})')} * {_sq(f'sin({q})')} / {_sq(f'sin({angle} / 2)')}"
     radius = f"CAST({EQUATOR_RADIUS_M} AS DOUBLE)"
     return (
-        f"CASE WHEN {lon1} = {lon2} AND {lat1} = {lat2} THEN 0D "
+        f"CASE WHEN {hav} IS NULL THEN NULL "
+        f"WHEN {lon1} = {lon2} AND {lat1} = {lat2} THEN 0D "
         f"WHEN {hav} > CAST({1 - 1e-12!r} AS DOUBLE) THEN {radius} * {angle} "
         f"ELSE {radius} * ({angle} - {half_f} * ({x} + {y})) END"
     )

@@ -38,19 +38,23 @@ def _km(metres: str) -> str:
     return round_double(f"{metres} / 1000", 1)
 
 
-def _with_metres(routes: DataFrame, airports: DataFrame) -> DataFrame:
-    return with_route_ends(routes, airports).selectExpr("*", f"{_ROUTE_M} AS _metres")
+def _with_metres(routes: DataFrame, airports: DataFrame, located_only: bool = True) -> DataFrame:
+    ends = with_route_ends(routes, airports, located_only)
+    return ends.selectExpr("*", f"{_ROUTE_M} AS _metres")
 
 
 def hub_distances(flights: DataFrame, airports: DataFrame) -> DataFrame:
-    """Measured against reported distance for each pair of hubs, low code to high code."""
+    """Measured against reported distance for each pair of hubs, low code to high code.
+
+    A hub without a location stays, with no measured distance.
+    """
     between_hubs = flights.filter(
         F.col("origin").isin(*HUBS) & F.col("destination").isin(*HUBS) & F.expr("origin < destination")
     )
     pairs = m.measures(between_hubs, ["origin", "destination"])
     reported = rounded(f"{ratio('dist_sum', 'dist_n')} * {geo.KM_PER_MILE}", 1)
     return decimals_to_double(
-        _with_metres(pairs, airports).selectExpr(
+        _with_metres(pairs, airports, located_only=False).selectExpr(
             "origin",
             "origin_name",
             "destination",

@@ -120,15 +120,18 @@ def delay_heatmap(flights: DataFrame) -> DataFrame:
     )
 
 
-def with_route_ends(routes: DataFrame, airports: DataFrame) -> DataFrame:
-    """Add names, cities and coordinates of both ends; drop routes without a location.
+def with_route_ends(
+    routes: DataFrame, airports: DataFrame, located_only: bool = True
+) -> DataFrame:
+    """Add names, cities and coordinates of both ends, which must be known airports.
 
-    Meant for aggregated routes, one row each.
+    Routes with an end that has no location are dropped unless asked for. Meant for
+    aggregated routes, one row each.
     """
-    located = airports.filter("lon IS NOT NULL AND lat IS NOT NULL")
+    ends = airports.filter("lon IS NOT NULL AND lat IS NOT NULL") if located_only else airports
 
     def end(key: str, prefix: str) -> DataFrame:
-        return located.selectExpr(
+        return ends.selectExpr(
             f"iata_code AS {key}",
             *[f"{c} AS {prefix}_{c}" for c in ("name", "city", "lon", "lat")],
         )

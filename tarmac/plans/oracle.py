@@ -577,7 +577,7 @@ def _build() -> dict[str, str]:
           WHERE origin IN {hubs} AND destination IN {hubs} AND origin < destination GROUP BY ALL)
         SELECT r.origin, o.name AS origin_name, r.destination, d.name AS dest_name,
           {dbl(f"({ROUTE_M}) / 1000", 1)} AS distance_km, {dbl("miles * 1.60934", 1)} AS bts_distance_km
-        FROM r {ENDS} WHERE {LOCATED}""")
+        FROM r {ENDS}""")
     geojson = """'{{"type":"Point","coordinates":[' || {0}.lon || ',' || {0}.lat || ']}}'"""
     q["g2_busiest_routes"] = statement(f"""
         , r AS (SELECT origin, destination, count(*) AS total_flights, {dbl(ARR)} AS avg_delay_min

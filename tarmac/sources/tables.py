@@ -12,7 +12,7 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import DEFAULT_PARTITION, month_label
@@ -48,14 +48,15 @@ def check_years(years: Iterable[int]) -> list[int]:
     return years
 
 
-def partition_of(day: Column, years: Iterable[int]) -> Column:
-    """Partition value of a date: its month in a declared year, else the default one."""
-    declared = F.year(day).isin(*check_years(years))
-    return F.when(declared, month_label(day)).otherwise(DEFAULT_PARTITION)
+def _declared(years: Iterable[int]) -> str:
+    listed = ", ".join(map(str, check_years(years)))
+    return f"year(flight_date) IN ({listed})" if listed else "FALSE"
 
 
 def with_partition(df: DataFrame, years: Iterable[int]) -> DataFrame:
-    return df.withColumn("flight_month", partition_of(F.col("flight_date"), years))
+    """Add `flight_month`: the month of a date in a declared year, else the default one."""
+    month = f"CASE WHEN {_declared(years)} THEN {month_label('flight_date')} ELSE '{DEFAULT_PARTITION}' END"
+    return df.withColumn("flight_month", F.expr(month))
 
 
 def _as_flights(df: DataFrame) -> DataFrame:
@@ -194,30 +195,26 @@ def partition_stats(spark: SparkSession, path: str) -> DataFrame:
     """
     by_file = (
         read_flights(spark, path)
-        .groupBy("flight_month", F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes"))
+        .groupBy("flight_month", F.expr("_metadata.file_path AS file"))
+        .agg(F.expr("count(1) AS row_count"), F.expr("max(_metadata.file_size) AS file_bytes"))
     )
-    return by_file.groupBy("flight_month").agg(
-        F.sum("rows").alias("row_count"), F.sum("bytes").alias("total_bytes")
-    ).select(
-        _partition_name(F.col("flight_month")).alias("partition_name"), "row_count", "total_bytes"
+    return (
+        by_file.groupBy(F.expr(f"{_partition_name('flight_month')} AS partition_name"))
+        .agg(F.expr("sum(row_count) AS row_count"), F.expr("sum(file_bytes) AS total_bytes"))
     )
 
 
-def _partition_name(month: Column) -> Column:
-    return F.concat(F.lit("flights_"), F.translate(month, "-", "_"))
+def _partition_name(month: str) -> str:
+    return f"concat('flights_', translate({month}, '-', '_'))"
 
 
 def partition_for_date(dates: DataFrame, years: Iterable[int]) -> DataFrame:
     """Add `partition_name` to a frame with `flight_date`; NULL for a NULL date."""
-    day = F.col("flight_date")
-    own = _partition_name(month_label(day))
-    missing = F.concat(
-        F.lit("flights_default (no partition has been created for "), own, F.lit(")")
-    )
-    declared = F.year(day).isin(*check_years(years))
-    return dates.withColumn(
-        "partition_name", F.when(declared, own).when(day.isNotNull(), missing)
+    own = _partition_name(month_label("flight_date"))
+    missing = f"concat('flights_default (no partition has been created for ', {own}, ')')"
+    return dates.selectExpr(
+        *[f"`{c}`" for c in dates.columns],
+        f"CASE WHEN {_declared(years)} THEN {own} ELSE {missing} END AS partition_name",
     )
 
 
@@ -308,7 +305,7 @@ def refresh_summaries(
 def count_rows(tables: dict[str, DataFrame], label: str = "table_name") -> DataFrame:
     """One row per table with its number of rows."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias(label), "row_count")
+        df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS {label}", "row_count")
         for name, df in tables.items()
     ]
     out = counts[0]
@@ -329,12 +326,11 @@ def load_summary(
     airports: DataFrame, airlines: DataFrame, flights: DataFrame, audit: DataFrame
 ) -> DataFrame:
     """Rows per table, and of flights also per month (`month` is NULL in the table totals)."""
-    month = month_label(F.col("flight_date"))
-    by_month = flights.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("row_count"))
-    flight_rows = by_month.rollup("month").agg(F.sum("row_count").alias("row_count")).select(
-        F.lit("flights").alias("table_name"), "month", F.coalesce("row_count", F.lit(0)).alias("row_count")
+    by_month = flights.groupBy(F.expr(f"{month_label('flight_date')} AS month")).agg(
+        F.expr("count(1) AS row_count")
     )
-    others = count_rows(
-        {"airports": airports, "airlines": airlines, "delay_audit_log": audit}
-    ).withColumn("month", F.lit(None).cast("string"))
-    return flight_rows.unionByName(others)
+    flight_rows = by_month.rollup("month").agg(F.expr("sum(row_count) AS row_count"))
+    others = count_rows({"airports": airports, "airlines": airlines, "delay_audit_log": audit})
+    return flight_rows.selectExpr(
+        "'flights' AS table_name", "month", "coalesce(row_count, 0) AS row_count"
+    ).unionByName(others.selectExpr("table_name", "CAST(NULL AS STRING) AS month", "row_count"))

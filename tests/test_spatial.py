@@ -24,6 +24,11 @@ def test_same_and_opposite_points(spark):
     assert metres(spark, 0, 0, 180, 0) == pytest.approx(math.pi * geo.EQUATOR_RADIUS_M)
 
 
+def test_unknown_coordinate(spark):
+    sql = geo.distance_m("CAST(NULL AS DOUBLE)", "1D", "2D", "3D")
+    assert spark.range(1).selectExpr(sql).first()[0] is None
+
+
 def test_box_never_excludes_a_point_in_reach(spark):
     points = spark.range(-179, 180, 7).selectExpr(
         "CAST(id AS DOUBLE) AS lon",
@@ -57,3 +62,12 @@ def test_cluster_report_covers_all_departures(data):
     assert sum(r.total_flights for r in report) == data.flights.filter(F.col("origin").isin(located)).count()
     assert all(r.cluster_centroid.startswith("POINT(") for r in report)
     assert sum(len(r.sample_cities.split(", ")) for r in report) == 6  # one airport has no city
+
+
+def test_hub_without_location_keeps_its_row(data):
+    lost = data.airports.selectExpr(
+        "iata_code", "name", "city", "country", "if(iata_code = 'JFK', NULL, lon) AS lon", "lat")
+    report = spatial.hub_distances(data.flights, lost).collect()
+    missing = [r for r in report if "JFK" in (r.origin, r.destination)]
+    assert missing and report[: len(missing)] == missing
+    assert all(r.distance_km is None and r.bts_distance_km > 0 for r in missing)
