@@ -26,6 +26,7 @@ SHORT_ROUTE_M = 500_000
 TOP_ROUTES = 20
 TOP_NEARBY = 15
 CLUSTER_PARTITIONS = 8
+SAMPLE_CITIES = 5
 
 _ROUTE_M = geo.distance_m("origin_lon", "origin_lat", "dest_lon", "dest_lat")
 
@@ -168,6 +169,8 @@ def cluster_airports(airports: DataFrame, k: int = 6, country: str = "US", seed:
     the same on every run.
     """
     located = _located(airports).filter(F.col("country") == country)
+    if k == 1:  # below the least number of clusters the estimator takes
+        return located.withColumn("cluster_id", F.lit(0))
     points = VectorAssembler(inputCols=["lon", "lat"], outputCol="point").transform(
         located.repartition(CLUSTER_PARTITIONS, "iata_code").sortWithinPartitions("iata_code")
     )
@@ -181,7 +184,7 @@ def airport_clusters(
     """Traffic and delay per airport cluster.
 
     The centre weighs each airport by its flights (an airport without any counts once).
-    City names come from the airport table alone, so no list grows with the flights.
+    The first city names by alphabet come from the airport table alone.
     """
     clustered = cluster_airports(airports, k)
     departures = m.measures(date_range(flights, start, end), ["origin AS iata_code"]).selectExpr(
@@ -198,16 +201,25 @@ def airport_clusters(
             F.expr("sum(arr_n) AS arr_n"),
             F.expr(f"sum(lon * {weight}) / sum({weight}) AS _lon"),
             F.expr(f"sum(lat * {weight}) / sum({weight}) AS _lat"),
-            F.expr("slice(sort_array(collect_set(city)), 1, 5) AS _cities"),
         )
     )
+    # The row-number limit is applied in each task first, so few names per cluster travel.
+    first_cities = (
+        clustered.filter("city IS NOT NULL")
+        .select("cluster_id", "city")
+        .distinct()
+        .selectExpr("*", "row_number() OVER (PARTITION BY cluster_id ORDER BY city) AS _place")
+        .filter(f"_place <= {SAMPLE_CITIES}")
+        .groupBy("cluster_id")
+        .agg(F.expr("array_join(sort_array(collect_list(city)), ', ') AS _cities"))
+    )
     return decimals_to_double(
-        per_cluster.selectExpr(
+        per_cluster.join(first_cities, "cluster_id", "left").selectExpr(
             "cluster_id",
             "airport_count",
             "total_flights",
             f"{m.AVG_ARR_DELAY} AS avg_delay",
             "format_string('POINT(%s %s)', _lon, _lat) AS cluster_centroid",
-            "array_join(_cities, ', ') AS sample_cities",
+            "coalesce(_cities, '') AS sample_cities",
         )
     ).orderBy(F.expr("avg_delay").desc_nulls_first(), "cluster_id")

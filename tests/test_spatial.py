@@ -71,3 +71,10 @@ def test_hub_without_location_keeps_its_row(data):
     missing = [r for r in report if "JFK" in (r.origin, r.destination)]
     assert missing and report[: len(missing)] == missing
     assert all(r.distance_km is None and r.bts_distance_km > 0 for r in missing)
+
+
+def test_five_cities_at_most_in_order(data):
+    more = data.airports.selectExpr("iata_code", "name", "name AS city", "'US' AS country", "lon", "lat", "elevation_ft")
+    report = spatial.airport_clusters(data.flights, more, "2023-01-01", "2023-12-31", k=1).collect()
+    names = sorted(r.name for r in more.filter("lon IS NOT NULL").collect())
+    assert report[0].sample_cities == ", ".join(names[:5])
