@@ -42,7 +42,7 @@ def load_flight_files(
     good = ingest.accepted(checked.filter("is_valid")).drop("is_valid")
     tables.publish(tables.new_flights(good, f"{root}/flights", years), root, "staged_new")
     new = tables.read_current(spark, root, "staged_new")
-    tables.write_flights(ingest.with_flight_id(new), f"{root}/flights", years)
+    tables.write_flights(new, f"{root}/flights", years)
     touched = tables.months_of(tables.with_partition(good, years))
     tables.rebuild_audit(spark, f"{root}/flights", f"{root}/audit", touched)
     return ingest.file_stats(checked, new).unionByName(report)

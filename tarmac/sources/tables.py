@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.dates import DEFAULT_PARTITION, month_label
 from tarmac.operators import views
 from tarmac.operators.audit import delay_audit
-from tarmac.operators.ingest import SOURCE_COLUMNS, insert_flights, upsert
+from tarmac.operators.ingest import SOURCE_COLUMNS, insert_flights, upsert, with_flight_id
 from tarmac.sources import files
 
 FLIGHTS_SCHEMA = (
@@ -60,6 +60,9 @@ def with_partition(df: DataFrame, years: Iterable[int]) -> DataFrame:
 
 
 def _as_flights(df: DataFrame) -> DataFrame:
+    """Table columns in order; ids and load times are added where they are missing."""
+    if "id" not in df.columns:
+        df = with_flight_id(df)
     if "created_at" not in df.columns:
         df = df.withColumn("created_at", F.current_timestamp())
     return df.select(*FLIGHT_COLUMNS)
@@ -171,10 +174,11 @@ def replace_month(
         raise ValueError(f"month {month} is not in a declared year")
     spark = new.sparkSession
     inside = F.col("flight_month") == month
+    placed = with_partition(new, years)
+    own, others = placed.filter(inside), placed.filter(~inside)
     nothing = spark.createDataFrame([], FLIGHTS_SCHEMA)
-    rows = _as_flights(insert_flights(with_partition(new, years), nothing, order))
-    _overwrite_folder(rows.filter(inside), f"{path}/flight_month={month}")
-    others = with_partition(new, years).filter(~inside)
+    rows = _as_flights(insert_flights(own, nothing, order))
+    _overwrite_folder(rows, f"{path}/flight_month={month}")
     append_new_flights(others, path, years, order)
     if audit_path is not None:
         stored = read_flights(spark, path).filter(inside)

@@ -59,6 +59,18 @@ def test_replace_month_by_an_empty_file_clears_it(spark, flights_of, folder):
     assert by_month(spark, path) == {"2023-02": 1}
 
 
+def test_replace_month_takes_rows_straight_from_ingest(spark, folder):
+    write(f"{folder}/csv", "2023_01.csv", HEADER, line(HEADER), line(HEADER), line(HEADER, ORIGIN="BOS"))
+    path, audit = f"{folder}/t", f"{folder}/audit"
+    raw = csv.read_flights_csv(spark, csv.flight_files(spark, f"{folder}/csv"))
+    for _ in range(2):
+        tables.replace_month(ingest.ingest_flights(raw), path, "2023_01.csv", YEARS, audit_path=audit)
+    got = stored(spark, path)
+    assert sorted(rows(got.select("origin"))) == [("BOS",), ("JFK",)]
+    assert tables.read_audit(spark, audit).count() == 2
+    assert got.filter("id IS NULL OR created_at IS NULL").count() == 0
+
+
 @pytest.mark.parametrize("name", ["flights.csv", "2023_13.csv", "2023_01_02.csv", "x_01.csv"])
 def test_replace_month_refuses_unclear_names(flights_of, folder, name):
     with pytest.raises(ValueError, match="no month"):
