@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from tarmac.llm import mixing, tokens
+from tarmac.llm import chat, mixing, pii, secrets, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_counts": tokens.op2_token_counts,
+    "op4_secrets": secrets.op4_secrets,
+    "op5_pii": pii.op5_pii,
+    "op10_chat_format": chat.op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_chat_format": chat.OP10_SQL,
+}
