@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import ship, table, text_rows
-from tarmac.llm.secrets import told
+from tarmac.llm.secretscan import told
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, mixing, pii, secrets, tokens
+from tarmac.llm import chat, fingerprints, mixing, packing, pii, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_counts": tokens.op2_token_counts,
-    "op4_secrets": secrets.op4_secrets,
+    "op4_secrets": secretscan.op4_secrets,
     "op5_pii": pii.op5_pii,
+    "op7_packing": packing.op7_packing,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
 }
 
