@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, fingerprints, mixing, packing, pii, secretscan, tokens
+from tarmac.llm import chat, exact, fingerprints, mixing, packing, pii, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_counts": tokens.op2_token_counts,
+    "op3_exact_dedup": exact.op3_exact_dedup,
     "op4_secrets": secretscan.op4_secrets,
     "op5_pii": pii.op5_pii,
     "op7_packing": packing.op7_packing,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_exact_dedup": exact.OP3_SQL,
     "op10_chat_format": chat.OP10_SQL,
 }
