@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, exact, fingerprints, mixing, packing, pii, secretscan, tokens
+from tarmac.llm import chat, exact, fingerprints, mixing, packing, pii, quality, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op4_secrets": secretscan.op4_secrets,
     "op5_pii": pii.op5_pii,
+    "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
