@@ -52,9 +52,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
                 [batch.column("content").cast(pa.binary()), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
 
     rows = text_rows(docs).withColumn("content", _digest())
-    missing = rows.select("content", "text").join(cached_counts(spark, cache_dir, version), "content", "left_anti")
-    distinct = missing.groupBy("content").agg(F.first("text").alias("text"))
-    distinct.mapInArrow(encode, CACHE).write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
+    # distinct first: copies then meet in the map tasks and not in one task of the join
+    distinct = rows.groupBy("content").agg(F.first("text").alias("text"))
+    missing = distinct.join(cached_counts(spark, cache_dir, version), "content", "left_anti")
+    missing.mapInArrow(encode, CACHE).write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
     return (
         rows.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes"))
         .join(cached_counts(spark, cache_dir, version), "content")
