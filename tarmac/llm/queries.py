@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, exact, fingerprints, mixing, packing, pii, quality, secretscan, tokens
+from tarmac.llm import chat, exact, fingerprints, jaccard, mixing, packing, pii, quality, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_pii": pii.op5_pii,
     "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
+    "op8_jaccard": jaccard.op8_jaccard,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
 }
