@@ -96,8 +96,9 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["source", "size", "docs"]].assign(rounds=rounds, extra=extra)
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, copies, taken.
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED,
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, copies, taken, and columns to carry along.
 
     Counts documents by exact length, fits each source's budget on that table of lengths and
     then picks seeded documents of each length. A length's documents are dealt into slices by
@@ -114,7 +115,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     folder = work_folder(spark, "mixing")
     sizes = written(
         docs.select(
-            "doc_id", "source",
+            "doc_id", "source", *carry,
             F.coalesce(F.expr(f"cast(regexp_count(text, r'{WORD}') AS bigint)"), F.lit(0).cast("long")).alias("size"),
             F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(SLICES)).cast("int").alias("slice"),
         ),
@@ -148,7 +149,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
         folder, "decided",
     ).alias("d")
     same = F.col("z.source").eqNullSafe(F.col("d.source")) & (F.col("z.size") == F.col("d.size"))
-    columns = ["doc_id", F.col("z.source"), F.col("z.size"), "source_size", "target"]
+    columns = ["doc_id", F.col("z.source"), F.col("z.size"), "source_size", "target", *carry]
     whole = sizes.alias("z").join(decided, same & (F.col("slice") != F.col("cut"))).select(
         *columns, (F.col("rounds") + (F.col("slice") < F.col("cut")).cast("int")).alias("copies"))
     rank = F.row_number().over(
