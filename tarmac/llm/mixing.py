@@ -51,11 +51,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 
 def fit_budget(sizes: list[int], counts: list[int], budget: int, exact_words: int = EXACT_WORDS) -> list[int]:
-    """How many documents of each length to take so that their words come as near to, but not over, the budget.
+    """How many documents of each length to take so that their words come as near to the budget as they can.
 
     In proportion first, then longest first until `exact_words` are left, and a bounded
-    subset-sum dynamic programme for the rest: bit b of `reach` says that b words can be had.
-    Its cost is bounded by `exact_words` and the longest document, not by the corpus.
+    subset-sum dynamic programme for the rest: bit b of `reach` says that b words can be had,
+    up to twice what is left, as nothing beyond is nearer than taking none. Its cost is bounded
+    by `exact_words` and the longest document, not by the corpus.
     """
     total = sum(s * c for s, c in zip(sizes, counts))
     if budget >= total:
@@ -70,15 +71,18 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int, exact_words: in
             more = min(counts[i] - taken[i], (left - exact_words) // sizes[i])
             taken[i] += more
             left -= more * sizes[i]
-    reach, everything, steps = 1, (1 << (left + 1)) - 1, []
+    reach, everything, steps = 1, (1 << (2 * left + 1)) - 1, []
     for i in order:
-        spare, part = min(counts[i] - taken[i], left // sizes[i]), 1
+        spare, part = min(counts[i] - taken[i], 2 * left // sizes[i]), 1
         while spare > 0 and not reach >> left & 1:
             part = min(part, spare)
             steps.append((reach, i, part))
             reach |= reach << part * sizes[i] & everything
             spare, part = spare - part, part * 2
-    best = reach.bit_length() - 1
+    best = (reach & (1 << left + 1) - 1).bit_length() - 1
+    over = reach >> left + 1
+    if over and (over & -over).bit_length() < left - best:
+        best = left + (over & -over).bit_length()
     for earlier, i, part in reversed(steps):
         if not earlier >> best & 1:
             taken[i] += part
@@ -92,7 +96,7 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
     sizes, counts = pdf["size"].tolist(), pdf["docs"].tolist()
     total, target = sum(s * c for s, c in zip(sizes, counts)), float(pdf["target"].iloc[0])
     rounds = int(target // total) if total else 0
-    extra = fit_budget(sizes, counts, int(target) - rounds * total) if total else [0] * len(sizes)
+    extra = fit_budget(sizes, counts, round(target) - rounds * total) if total else [0] * len(sizes)
     return pdf[["source", "size", "docs"]].assign(rounds=rounds, extra=extra)
 
 
