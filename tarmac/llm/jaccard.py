@@ -31,10 +31,15 @@ HOT_COLUMN = 50_000
 #: Rows of one column compared in one task at once, and rows of a task in that step.
 CHUNK, TASK_ROWS = 2000, 40_000
 SIGNATURE_BITS = 512
+#: Bits of the filter that keeps texts nobody asks for out of a shuffle; when it fills up, more pass.
+FILTER_BITS = 1 << 25
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
+_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * _MIX[0]
     return h ^ (h >> np.uint64(29))
@@ -69,7 +74,7 @@ def signature(shingles: np.ndarray) -> bytes:
     return np.packbits((cells & 1).astype(np.uint8)).tobytes()
 
 
-_SETS = "doc_id {}, content long, lo long, hi long, n long, task int, part int, counts binary"
+_SETS = "doc_id {}, content long, lo long, hi long, n long, sig binary, task int, part int, counts binary"
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -84,14 +89,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         task, counters = TaskContext.get().partitionId(), np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "content", "lo", "hi", "n", "task", "part", "counts"]
+        names = ["doc_id", "content", "lo", "hi", "n", "sig", "task", "part", "counts"]
         id_type = None
         for batch in batches:
             id_type, rows, seen, size = batch.schema.field("doc_id").type, [], [], 0
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text)
                 seen.append(shingles)
-                rows.append((*set_digest(shingles), len(shingles)))
+                rows.append((*set_digest(shingles), len(shingles), signature(shingles)))
                 size += len(shingles)
                 if size > SKETCH:
                     counters += np.bincount((np.concatenate(seen) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
@@ -99,7 +104,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
             if seen:
                 counters += np.bincount((np.concatenate(seen) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
             n = len(rows)
-            columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("content"), *columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                 names=names)
@@ -107,7 +113,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
             parts = counters.astype("<u4").reshape(SKETCH_PARTS, -1)
             n = SKETCH_PARTS
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, id_type), *[pa.nulls(n, pa.int64())] * 4, pa.array([task] * n, pa.int32()),
+                [pa.nulls(n, id_type), *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.binary()), pa.array([task] * n, pa.int32()),
                  pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=names)
 
     rows = text_rows(docs).withColumn("content", F.xxhash64("text"))
@@ -217,10 +223,51 @@ def _whole_sets(batches):
         rows = []
         for text in batch.column("text").to_pylist():
             shingles = shingle_set(text)
-            rows.append((set_digest(shingles)[0], len(shingles), signature(shingles), shingles.tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            rows.append((set_digest(shingles)[0], shingles.tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ([], [], [], []), kinds)], names=["lo", "n", "sig", "shingles"])
+            [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ([], []), (pa.int64(), pa.binary()))], names=["lo", "shingles"])
+
+
+def whole_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, folder: str, name: str) -> DataFrame:
+    """lo, shingles of the classes with these ids (column lo), from the text of one document each.
+
+    A filter of fixed size over the content hashes keeps most texts that nobody asks for out of
+    the shuffle; the join behind it is exact.
+    """
+    asked = written(classes.join(ids, "lo", "left_semi").select("doc_id", "content"), folder, f"{name}-asked")
+    place = F.col("content").bitwiseAND(FILTER_BITS - 1)
+    found = asked.groupBy(F.shiftrightunsigned(place, 6).cast("int").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast((content & {63}) AS int)))").alias("bits")).collect()
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[[r["word"] for r in found]] = [r["bits"] for r in found]
+    held = docs.sparkSession.sparkContext.broadcast(words)
+
+    def passing(batches):
+        bits = held.value
+        for batch in batches:
+            at = batch.column("content").to_numpy() & (FILTER_BITS - 1)
+            yield batch.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))
+
+    rows = text_rows(docs).withColumn("content", F.xxhash64("text"))
+    rows = rows.mapInArrow(passing, rows.schema).alias("d")
+    wanted = asked.alias("f")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.content") == F.col("f.content"))
+    return written(rows.join(wanted, same).select("text").mapInArrow(_whole_sets, "lo long, shingles binary"), folder, name)
+
+
+def _close(batches):
+    """Pairs whose signatures do not rule out a link."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, SIGNATURE_BITS // 8) for c in ("sig_a", "sig_b"))
+        sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        apart = _BITS[a ^ b].sum(axis=1, dtype=np.int64)
+        yield batch.select(["a", "b"]).filter(pa.array(7 * apart <= sizes))
+
+
+def not_ruled_out(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    one = classes.select(F.col("lo").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
+    other = classes.select(F.col("lo").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    return pairs.join(one, "a").join(other, "b").mapInArrow(_close, "a long, b long")
 
 
 def _overlaps(batches):
@@ -245,9 +292,6 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
-
 def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     """All pairs of rows of one column whose components differ and which no bound rules out.
 
@@ -277,7 +321,7 @@ def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def remaining_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
+def remaining_pairs(shared: DataFrame, labels: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
     """Pairs that share a column, lie in different components and that no bound rules out.
 
     A long column is cut into chunks, and each two of its chunks are compared in a task.
@@ -293,7 +337,7 @@ def remaining_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, folde
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("h", "lo", "n", "pos", "comp", "chunk", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"))
     )
-    rows = written(rows, folder, "mixed").join(sets.select("lo", "sig"), "lo")
+    rows = written(rows, folder, "mixed").join(classes.select("lo", "sig"), "lo")
     tasks = max(1, -(-rows.count() // TASK_ROWS))
     return rows.withColumn("task", F.pmod(F.xxhash64("h", "p", "q"), F.lit(tasks))).groupBy("task").applyInArrow(_compare, "a long, b long")
 
@@ -316,28 +360,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ship(spark)
     folder = work_folder(spark, "jaccard")
     described = written(document_sets(docs), folder, "described")
-    members = described.filter("part IS NULL").select("doc_id", "content", "lo", "hi", "n")
+    members = described.filter("part IS NULL").drop("task", "part", "counts")
     rows = members.filter("n > 0")
     total = rows.agg(F.sum(prefix_size_sql("n"))).collect()[0][0] or 0
     blocks = max(1, -(-total // BLOCK))
     tiles = _tiles(docs, merged_sketch(described), blocks)
     shared = written(tiles.groupBy("block").applyInArrow(_multiply, _SHARED), folder, "shared")
-    star = written(shared.filter("ok").select(*_ordered("lo", "pivot")).distinct(), folder, "star")
-
-    # one document for each set that shares a column, with its whole set
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content"))
-    first = rows.groupBy("lo").agg(best.alias("best")).select("lo", "best.doc_id", "best.content")
-    active = first.join(shared.select("lo").distinct(), "lo", "left_semi").alias("f")
-    texts = text_rows(docs).withColumn("content", F.xxhash64("text")).alias("d")
-    fetched = texts.join(
-        active, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.content") == F.col("f.content"))).select("text")
-    sets = written(
-        fetched.mapInArrow(_whole_sets, "lo long, n long, sig binary, shingles binary").dropDuplicates(["lo"]), folder, "sets")
-
-    links = written(verified(star, sets), folder, "links")
-    labels = components(links, folder, "near")
-    more = remaining_pairs(shared, labels, sets, folder).distinct().join(star, ["a", "b"], "left_anti")
-    further = written(verified(more, sets), folder, "further")
+    # one document for each distinct set
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "n", "sig"))
+    classes = rows.groupBy("lo").agg(best.alias("best")).select("lo", *[f"best.{c}" for c in ("doc_id", "content", "n", "sig")])
+    classes = written(classes, folder, "classes")
+
+    def checked(pairs: DataFrame, name: str) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("lo")).distinct()
+        return written(verified(pairs, whole_sets(docs, classes, ends, folder, f"{name}-sets")), folder, f"{name}-links")
+
+    star = shared.filter("ok").select(*_ordered("lo", "pivot")).distinct()
+    star = written(not_ruled_out(star, classes), folder, "star")
+    labels = components(checked(star, "star"), folder, "near")
+    more = remaining_pairs(shared, labels, classes, folder).distinct().join(star, ["a", "b"], "left_anti")
+    further = checked(written(more, folder, "more"), "more")
     comp = labels.select(F.col("id"), "comp")
     ends = further.join(comp.select(F.col("id").alias("a"), F.col("comp").alias("comp_a")), "a", "left").join(
         comp.select(F.col("id").alias("b"), F.col("comp").alias("comp_b")), "b", "left")
