@@ -22,5 +22,5 @@ _DROPPED = ", ".join(f"'{word}'" for word in ("", *STOP_WORDS))
 
 def search_tokens(*parts: str) -> str:
     """Distinct lower-case words of all parts, sorted; NULL parts are skipped."""
-    words = f"split(lower(concat_ws(' ', {', '.join(parts)})), '[^a-z0-9]+')"
+    words = f"split(lower(concat_ws(' ', {', '.join(parts)})), r'[^\\p{{L}}\\p{{N}}]+')"
     return f"sort_array(array_except({words}, array({_DROPPED})))"

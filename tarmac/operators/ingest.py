@@ -116,7 +116,11 @@ def ingest_flights(raw: DataFrame) -> DataFrame:
 
 
 def with_flight_id(flights: DataFrame) -> DataFrame:
-    """A 64-bit id from the business key: the same row gets the same id on every load."""
+    """A 64-bit id from the business key: the same row gets the same id on every load.
+
+    A label, not the identity: among 10^12 flights a few ten thousand share one. What must
+    tell flights apart (insert, audit look-ups) compares the business key.
+    """
     key = ", ".join(f"coalesce(CAST({k} AS STRING), '\\0')" for k in BUSINESS_KEY)
     return flights.selectExpr(
         f"xxhash64({key}) AS id", *[f"`{c}`" for c in flights.columns if c != "id"]
@@ -211,14 +215,23 @@ def file_stats(checked: DataFrame, inserted: DataFrame) -> DataFrame:
     )
 
 
-def dry_run(raw: DataFrame, order: Sequence[str] = SOURCE_COLUMNS, sample: int = 1000) -> DataFrame:
-    """Parse the first rows only and report the failures; writes nothing."""
-    head = parse_flights(raw.orderBy(*order).limit(sample))
-    skipped = head.agg(F.expr("count_if(NOT is_valid) AS skipped"))
-    total = raw.agg(F.expr("count(1) AS total_rows"))
-    both = total.unionByName(skipped, allowMissingColumns=True)
-    return both.agg(F.max("total_rows").alias("total_rows"), F.max("skipped").alias("skipped")).selectExpr(
-        "total_rows", "0L AS inserted", "skipped", "0L AS errors"
+def dry_run(
+    raw: DataFrame, sample: int | None = None, order: Sequence[str] = SOURCE_COLUMNS
+) -> DataFrame:
+    """Parse every row and report the failures per source file; writes nothing.
+
+    With `sample`, only that many first rows of each file are parsed.
+    """
+    parsed, counted = parse_flights(raw), "NOT is_valid"
+    if sample is not None:
+        by = ", ".join(c for c in order if c in raw.columns and c != "source_file")
+        first = f"row_number() OVER (PARTITION BY source_file ORDER BY {by}) <= {int(sample)}"
+        parsed, counted = parse_flights(raw.selectExpr("*", f"{first} AS _sampled")), "_sampled AND NOT is_valid"
+    return parsed.groupBy("source_file").agg(
+        F.expr("count(1) AS total_rows"),
+        F.expr("0L AS inserted"),
+        F.expr(f"count_if({counted}) AS skipped"),
+        F.expr("0L AS errors"),
     )
 
 

@@ -8,19 +8,14 @@ from pyspark.sql import functions as F
 from tarmac.functions import measures as m
 from tarmac.functions.dates import MONTH, date_range
 from tarmac.functions.numeric import decimals_to_double
-from tarmac.operators.views import with_route_ends
+from tarmac.operators.views import head, with_route_ends
 
 DEFAULT_ROUTES = 20
-MAX_ROUTES = 100
 MIN_LIVE_ROUTE_FLIGHTS = 20
 ON_TIME_TARGET = 80
 CANCELLATION_TARGET = 3
 
 
-def _route_limit(limit: int | None) -> int:
-    return limit if limit is not None and 0 < limit <= MAX_ROUTES else DEFAULT_ROUTES
-
-
 _ROUTE_COLUMNS = (
     "origin", "destination", "origin_city", "dest_city", "origin_lat", "origin_lon",
     "dest_lat", "dest_lon", "total_flights", "avg_arr_delay",
@@ -28,18 +23,16 @@ _ROUTE_COLUMNS = (
 
 
 def _most_flown(routes: DataFrame, limit: int | None) -> DataFrame:
-    return routes.orderBy(F.desc("total_flights"), "origin", "destination").limit(
-        _route_limit(limit)
-    )
+    return head(routes.orderBy(F.desc("total_flights"), "origin", "destination"), limit)
 
 
-def top_routes(summary: DataFrame, limit: int | None = None) -> DataFrame:
-    """The head of the route summary table."""
+def top_routes(summary: DataFrame, limit: int | None = DEFAULT_ROUTES) -> DataFrame:
+    """The head of the route summary table; None for all of it."""
     return _most_flown(summary, limit).select(*_ROUTE_COLUMNS)
 
 
 def top_routes_live(
-    flights: DataFrame, airports: DataFrame, limit: int | None = None
+    flights: DataFrame, airports: DataFrame, limit: int | None = DEFAULT_ROUTES
 ) -> DataFrame:
     """The same report straight from the flights, with a lower volume limit."""
     routes = m.measures(flights, ["origin", "destination"]).filter(
@@ -56,8 +49,8 @@ def top_routes_live(
     return decimals_to_double(_most_flown(named, limit))
 
 
-def ranking_head(ranking: DataFrame, top: int = 20) -> DataFrame:
-    return ranking.orderBy("rank_position", F.expr("airline_code").asc_nulls_last()).limit(top)
+def ranking_head(ranking: DataFrame, top: int | None = 20) -> DataFrame:
+    return head(ranking.orderBy("rank_position", F.expr("airline_code").asc_nulls_last()), top)
 
 
 def trend_for(trend: DataFrame, airline: str) -> DataFrame:
@@ -79,16 +72,12 @@ def trend_for_carriers(trend: DataFrame, airlines: tuple[str, ...] = ("AA", "DL"
     return trend.filter(F.col("airline_code").isin(*airlines)).orderBy("airline_code", "month")
 
 
-def riskiest_routes(risk: DataFrame, top: int = 20) -> DataFrame:
-    return risk.orderBy(F.expr("risk_score").desc_nulls_first(), "origin", "destination").limit(top)
+def riskiest_routes(risk: DataFrame, top: int | None = 20) -> DataFrame:
+    return head(risk.orderBy(F.expr("risk_score").desc_nulls_first(), "origin", "destination"), top)
 
 
-def recent_daily_ops(daily: DataFrame, airline: str = "AA", days: int = 30) -> DataFrame:
-    return (
-        daily.filter(F.col("airline_code") == airline)
-        .orderBy(F.desc("flight_date"))
-        .limit(days)
-    )
+def recent_daily_ops(daily: DataFrame, airline: str = "AA", days: int | None = 30) -> DataFrame:
+    return head(daily.filter(F.col("airline_code") == airline).orderBy(F.desc("flight_date")), days)
 
 
 def kpi_bands(score: DataFrame) -> DataFrame:

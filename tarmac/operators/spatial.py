@@ -6,8 +6,6 @@ distances come in afterwards, on the reduced rows.
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from tarmac.functions import geo
 from tarmac.functions import measures as m
 from tarmac.functions.dates import date_range
 from tarmac.functions.numeric import decimals_to_double, ratio, round_double, rounded
-from tarmac.operators.views import with_route_ends
+from tarmac.operators.views import head, with_route_ends
 
 # The hubs compared, and the report limits.
 HUBS = ("JFK", "LAX", "ORD", "ATL", "DFW")
@@ -25,7 +23,6 @@ MIN_SHORT_ROUTE_FLIGHTS = 500
 SHORT_ROUTE_M = 500_000
 TOP_ROUTES = 20
 TOP_NEARBY = 15
-CLUSTER_PARTITIONS = 8
 SAMPLE_CITIES = 5
 
 _ROUTE_M = geo.distance_m("origin_lon", "origin_lat", "dest_lon", "dest_lat")
@@ -66,16 +63,13 @@ def hub_distances(flights: DataFrame, airports: DataFrame) -> DataFrame:
     ).orderBy(F.expr("distance_km").desc_nulls_first(), "origin", "destination")
 
 
-def busiest_routes(flights: DataFrame, airports: DataFrame) -> DataFrame:
+def busiest_routes(
+    flights: DataFrame, airports: DataFrame, top: int | None = TOP_ROUTES
+) -> DataFrame:
     """The flown routes with most flights, with coordinates and GeoJSON for a map."""
     routes = m.measures(flights.filter(m.COMPLETED), ["origin", "destination"])
-    busiest = (
-        with_route_ends(routes, airports)
-        .orderBy(F.desc("total_flights"), "origin", "destination")
-        .limit(TOP_ROUTES)
-    )
-    return decimals_to_double(
-        busiest.selectExpr(
+    located = decimals_to_double(
+        with_route_ends(routes, airports).selectExpr(
             "origin",
             "destination",
             "origin_name",
@@ -93,6 +87,8 @@ def busiest_routes(flights: DataFrame, airports: DataFrame) -> DataFrame:
             f"{_km(f'({_ROUTE_M})')} AS distance_km",
         )
     )
+    # order and limit last, so that the plan is a top-k
+    return head(located.orderBy(F.desc("total_flights"), "origin", "destination"), top)
 
 
 def airports_within(
@@ -104,6 +100,7 @@ def airports_within(
     lat: float = JFK_POINT[1],
     radius_m: float = 800_000,
     exclude: str = "JFK",
+    top: int | None = TOP_NEARBY,
 ) -> DataFrame:
     """Busy airports near a point, the most delayed first."""
     metres = geo.distance_m("lon", "lat", f"{float(lon)}D", f"{float(lat)}D")
@@ -119,7 +116,7 @@ def airports_within(
         .filter(f"total_flights >= {MIN_DEPARTURES}")
         .join(near, "iata_code")
     )
-    return decimals_to_double(
+    nearby = decimals_to_double(
         departures.selectExpr(
             "iata_code",
             "name",
@@ -129,13 +126,12 @@ def airports_within(
             f"{m.AVG_ARR_DELAY} AS avg_arr_delay",
             f"{m.CANCELLATION_RATE} AS cancellation_rate",
         )
-        .orderBy(F.expr("avg_arr_delay").desc_nulls_first(), "iata_code")
-        .limit(TOP_NEARBY)
     )
+    return head(nearby.orderBy(F.expr("avg_arr_delay").desc_nulls_first(), "iata_code"), top)
 
 
 def short_route_delay(
-    flights: DataFrame, airports: DataFrame, start: str, end: str
+    flights: DataFrame, airports: DataFrame, start: str, end: str, top: int | None = TOP_ROUTES
 ) -> DataFrame:
     """Delay per kilometre of busy routes shorter than 500 km."""
     flown = date_range(flights, start, end).filter(m.COMPLETED)
@@ -155,38 +151,91 @@ def short_route_delay(
             f"CAST({m.AVG_ARR_DELAY} AS DOUBLE) AS avg_delay",
         )
     )
-    return (
-        short.selectExpr("*", "avg_delay / nullif(distance_km, 0D) AS delay_per_km")
-        .orderBy(F.expr("delay_per_km").desc_nulls_last(), "origin", "destination")
-        .limit(TOP_ROUTES)
+    per_km = short.selectExpr("*", "avg_delay / nullif(distance_km, 0D) AS delay_per_km")
+    return head(per_km.orderBy(F.expr("delay_per_km").desc_nulls_last(), "origin", "destination"), top)
+
+
+# Squared distance of two points in degrees; products of these decimals are exact.
+_POINT = "DECIMAL(13,8)"
+
+
+def _squared(lon: str, lat: str) -> str:
+    dx, dy = f"(lon_d - CAST({lon} AS {_POINT}))", f"(lat_d - CAST({lat} AS {_POINT}))"
+    return f"({dx} * {dx} + {dy} * {dy})"
+
+
+def _means(clustered: DataFrame) -> list[tuple]:
+    """The centre of each cluster, rounded to the eighth digit; one row per cluster comes back."""
+    by = clustered.groupBy("cluster_id").agg(
+        F.expr(f"CAST(round(sum(lon_d) / count(1), 8) AS {_POINT}) AS lon"),
+        F.expr(f"CAST(round(sum(lat_d) / count(1), 8) AS {_POINT}) AS lat"),
     )
+    return [(r["lon"], r["lat"]) for r in by.orderBy("cluster_id").collect()]
 
 
-def cluster_airports(airports: DataFrame, k: int = 6, country: str = "US", seed: int = 7) -> DataFrame:
-    """Located airports of a country with a k-means `cluster_id` on longitude and latitude.
+def _assigned(points: DataFrame, centres: list[tuple]) -> DataFrame:
+    """Each point with the index of the nearest centre, the first of equals."""
+    each = ", ".join(f"struct({_squared(lon, lat)} AS d, {i} AS i)" for i, (lon, lat) in enumerate(centres))
+    return points.selectExpr("* EXCEPT (cluster_id)", f"array_min(array({each})).i AS cluster_id")
 
-    Rows get a fixed layout first (hashed by code, sorted), so that the seeded start is
-    the same on every run.
+
+def cluster_airports(
+    airports: DataFrame, k: int = 6, country: str | None = "US", rounds: int = 200
+) -> DataFrame:
+    """Located airports of a country (None: all) with a `cluster_id` by k-means on longitude and latitude.
+
+    The start is fixed: the airport farthest from the mean of all, then k - 1 times the one
+    farthest from those chosen, equals by code. Rounds of assignment and means follow until no
+    centre moves. All on exact decimals, so that the result does not depend on the order of
+    summation; only the k centres come to the driver. With fewer airports than k, each place is
+    chosen once and the clusters are fewer.
     """
-    located = _located(airports).filter(F.col("country") == country)
-    if k == 1:  # below the least number of clusters the estimator takes
-        return located.withColumn("cluster_id", F.lit(0))
-    points = VectorAssembler(inputCols=["lon", "lat"], outputCol="point").transform(
-        located.repartition(CLUSTER_PARTITIONS, "iata_code").sortWithinPartitions("iata_code")
+    located = _located(airports)
+    if country is not None:
+        located = located.filter(F.col("country") == country)
+    points = located.selectExpr(
+        "*", f"CAST(lon AS {_POINT}) AS lon_d", f"CAST(lat AS {_POINT}) AS lat_d", "0 AS cluster_id"
     )
-    model = KMeans(k=k, seed=seed, featuresCol="point", predictionCol="cluster_id").fit(points)
-    return model.transform(points).drop("point")
+    from_all, centres = _means(points), []
+    for _ in range(k):
+        near = ", ".join(_squared(lon, lat) for lon, lat in centres or from_all)
+        nearest = f"array_min(array({near}))"
+        far = points.selectExpr("lon_d", "lat_d", "iata_code", f"{nearest} AS d").orderBy(F.desc("d"), "iata_code")
+        best = far.limit(1).collect()
+        if not best or (centres and best[0]["d"] == 0):
+            break
+        centres.append((best[0]["lon_d"], best[0]["lat_d"]))
+    if not centres:
+        return points.drop("lon_d", "lat_d")
+    for _ in range(rounds):
+        moved = _means(_assigned(points, centres))
+        if moved == centres:
+            break
+        centres = moved
+    return _assigned(points, centres).drop("lon_d", "lat_d")
+
+
+def _weighted(column: str, weight: str) -> str:
+    """Weighted mean of exact decimals, with four digits."""
+    total = f"sum(CAST({column} AS DECIMAL(10,6)) * CAST({weight} AS DECIMAL(12,0)))"
+    return f"CAST(round({total} / sum({weight}), 4) AS DECIMAL(9,4))"
 
 
 def airport_clusters(
-    flights: DataFrame, airports: DataFrame, start: str, end: str, k: int = 6
+    flights: DataFrame,
+    airports: DataFrame,
+    start: str,
+    end: str,
+    k: int = 6,
+    country: str | None = "US",
+    cities: int = SAMPLE_CITIES,
 ) -> DataFrame:
     """Traffic and delay per airport cluster.
 
     The centre weighs each airport by its flights (an airport without any counts once).
     The first city names by alphabet come from the airport table alone.
     """
-    clustered = cluster_airports(airports, k)
+    clustered = cluster_airports(airports, k, country)
     departures = m.measures(date_range(flights, start, end), ["origin AS iata_code"]).selectExpr(
         "iata_code", "total_flights", "arr_sum", "arr_n"
     )
@@ -199,8 +248,8 @@ def airport_clusters(
             F.expr("sum(coalesce(total_flights, 0)) AS total_flights"),
             F.expr("sum(arr_sum) AS arr_sum"),
             F.expr("sum(arr_n) AS arr_n"),
-            F.expr(f"sum(lon * {weight}) / sum({weight}) AS _lon"),
-            F.expr(f"sum(lat * {weight}) / sum({weight}) AS _lat"),
+            F.expr(f"{_weighted('lon', weight)} AS _lon"),
+            F.expr(f"{_weighted('lat', weight)} AS _lat"),
         )
     )
     # The row-number limit is applied in each task first, so few names per cluster travel.
@@ -209,7 +258,7 @@ def airport_clusters(
         .select("cluster_id", "city")
         .distinct()
         .selectExpr("*", "row_number() OVER (PARTITION BY cluster_id ORDER BY city) AS _place")
-        .filter(f"_place <= {SAMPLE_CITIES}")
+        .filter(f"_place <= {cities}")
         .groupBy("cluster_id")
         .agg(F.expr("array_join(sort_array(collect_list(city)), ', ') AS _cities"))
     )
@@ -219,7 +268,7 @@ def airport_clusters(
             "airport_count",
             "total_flights",
             f"{m.AVG_ARR_DELAY} AS avg_delay",
-            "format_string('POINT(%s %s)', _lon, _lat) AS cluster_centroid",
+            "concat('POINT(', CAST(_lon AS STRING), ' ', CAST(_lat AS STRING), ')') AS cluster_centroid",
             "coalesce(_cities, '') AS sample_cities",
         )
     ).orderBy(F.expr("avg_delay").desc_nulls_first(), "cluster_id")

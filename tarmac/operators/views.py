@@ -19,6 +19,15 @@ MIN_CARRIER_ROUTE_FLIGHTS = 20
 CARRIER_ROUTE = ("origin", "destination", "airline_code")
 
 
+def head(ordered: DataFrame, rows: int | None) -> DataFrame:
+    """The first rows of a report; None for all of them."""
+    if rows is None:
+        return ordered
+    if rows < 1:
+        raise ValueError(f"a report has at least one row, not {rows}")
+    return ordered.limit(rows)
+
+
 def airline_monthly_trend(flights: DataFrame) -> DataFrame:
     """Punctuality per airline and month with the previous month and the rank in the month."""
     monthly = m.measures(flights, [MONTH, "airline_code"]).selectExpr(

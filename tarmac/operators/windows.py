@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import measures as m
 from tarmac.functions.dates import MONTH, date_range
 from tarmac.functions.numeric import decimals_to_double, mean, pct, ratio, rounded
+from tarmac.operators.views import head
 
 MIN_ROUTE_MONTH_FLIGHTS = 50
 TOP_SURGES = 50
@@ -72,7 +73,9 @@ def moving_averages(flights: DataFrame, start: str, end: str) -> DataFrame:
     ).orderBy(F.expr("airline_code").asc_nulls_last(), "flight_date")
 
 
-def delay_surges(flights: DataFrame, start: str, end: str) -> DataFrame:
+def delay_surges(
+    flights: DataFrame, start: str, end: str, top: int | None = TOP_SURGES
+) -> DataFrame:
     """The largest changes of a route's mean delay against its previous busy month."""
     busy = (
         m.measures(date_range(flights, start, end), [MONTH, "origin", "destination"])
@@ -101,9 +104,8 @@ def delay_surges(flights: DataFrame, start: str, end: str) -> DataFrame:
             f" WHEN {change} < -10 THEN 'improved' ELSE 'stable' END AS trend",
         )
         .orderBy(F.expr(f"abs({change})").desc_nulls_last(), "month", "origin", "destination")
-        .limit(TOP_SURGES)
     )
-    return decimals_to_double(largest)
+    return decimals_to_double(head(largest, top))
 
 
 def delay_distribution(flights: DataFrame) -> DataFrame:

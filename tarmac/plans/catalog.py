@@ -54,8 +54,19 @@ def _audit_without_stamp(d: Data) -> DataFrame:
 
 def _upsert_airports(d: Data) -> DataFrame:
     """The fixed airports keep their row unless the listing has the same code."""
-    new = d.listed_airports.select(*d.airports.columns)
-    return ingest.upsert(d.airports, new)
+    return d.upserted_airports
+
+
+def _file_stats(d: Data) -> DataFrame:
+    """From the staged rows, so that the text is parsed and checked once."""
+    checked = d.checked_flights
+    good = ingest.accepted(checked.filter("is_valid")).drop("is_valid")
+    return ingest.file_stats(checked, ingest.insert_flights(good, _existing(d)))
+
+
+def _partition_stats(d: Data) -> DataFrame:
+    stats = tables.partition_stats(d.spark, d.flights_path, YEARS)
+    return stats.selectExpr("partition_name", "row_count", "total_bytes > 0 AS has_files")
 
 
 def _upsert_airlines(d: Data) -> DataFrame:
@@ -96,16 +107,6 @@ def _load_summary(d: Data) -> DataFrame:
     return tables.load_summary(d.airports, d.airlines, d.flights, d.audit)
 
 
-def _summary_frames(d: Data) -> dict[str, DataFrame]:
-    return {
-        "airline_summary": views.airline_summary(d.flights, d.airlines),
-        "delay_heatmap": views.delay_heatmap(d.flights),
-        "top_routes": views.top_routes(d.flights, d.airports),
-        "monthly_trend": views.monthly_trend(d.flights, d.airlines),
-        "route_performance": views.route_performance(d.flights, d.airlines),
-    }
-
-
 CATALOG: dict[str, Query] = {
     # sources, sinks and tables
     "read_flights_csv": round_trips.read_flights_csv,
@@ -116,12 +117,12 @@ CATALOG: dict[str, Query] = {
     "upsert_airlines": _upsert_airlines,
     "insert_flights": lambda d: _inserted(d).drop("source_block"),
     "load_summary": _load_summary,
-    "file_stats": lambda d: ingest.file_stats(_checked(d), _inserted(d)),
+    "file_stats": _file_stats,
     "load_flights": round_trips.load_flights,
     "dry_run": lambda d: ingest.dry_run(d.raw_flights),
     "refresh_summaries": round_trips.refresh_summaries,
-    "summary_counts": lambda d: tables.count_rows(_summary_frames(d), "summary_name"),
-    "partition_stats": lambda d: tables.partition_stats(d.spark, d.flights_path),
+    "summary_counts": lambda d: tables.summary_counts(d.spark, d.summaries),
+    "partition_stats": _partition_stats,
     "partition_for_date": _partition_for_date,
     # ingest
     "ingest_flights": _ingest_flights,
@@ -165,7 +166,9 @@ CATALOG: dict[str, Query] = {
     "g1_airport_distances": lambda d: spatial.hub_distances(d.flights, d.airports),
     "g2_busiest_routes": lambda d: spatial.busiest_routes(d.flights, d.airports),
     "g3_airports_within": lambda d: spatial.airports_within(d.flights, d.airports, *YEAR),
-    "g4_airport_clusters": lambda d: spatial.airport_clusters(d.flights, d.airports, *YEAR),
+    "g4_airport_clusters": lambda d: spatial.airport_clusters(
+        d.flights, d.upserted_airports, *YEAR, country=None
+    ),
     "g5_short_route_delay": lambda d: spatial.short_route_delay(d.flights, d.airports, *YEAR),
     # quality checks
     "q1_out_of_range": lambda d: quality.out_of_range(d.flights),
@@ -174,8 +177,10 @@ CATALOG: dict[str, Query] = {
     "q2_duplicate_keys_dirty": lambda d: quality.duplicate_keys(d.dirty_flights),
     "q3_month_distribution": lambda d: quality.month_distribution(d.flights),
     "q4_audit_coverage": lambda d: quality.audit_coverage(d.flights, d.audit),
+    # repeated flights that the stored audit has not logged
+    "q4_audit_coverage_dirty": lambda d: quality.audit_coverage(d.dirty_flights, d.audit),
     # saved queries
-    "top_routes": lambda d: reports.top_routes(views.top_routes(d.flights, d.airports)),
+    "top_routes": lambda d: reports.top_routes(tables.read_summary(d.spark, d.summaries, "top_routes")),
     "top_routes_live": lambda d: reports.top_routes_live(d.flights, d.airports, 50),
     "ranking_top20": lambda d: reports.ranking_head(
         kpi.airline_ranking(d.flights, d.airlines, *YEAR)
@@ -193,7 +198,7 @@ CATALOG: dict[str, Query] = {
     "b_count_year": lambda d: reports.count_between(d.flights, *YEAR),
     "b_monthly_direct": lambda d: reports.monthly_delay(d.flights),
     "b_monthly_slice": lambda d: reports.monthly_slice(
-        views.monthly_trend(d.flights, d.airlines)
+        tables.read_summary(d.spark, d.summaries, "monthly_trend")
     ),
     # streams
     "stream_delay_audit": round_trips.stream_delay_audit,

@@ -8,17 +8,28 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.functions.parsing import missing_to_null
-from tarmac.operators.audit import delay_audit
-from tarmac.operators.ingest import RAW_FLIGHT_COLUMNS, ingest_airlines, ingest_airports
+from tarmac.operators.ingest import (
+    RAW_FLIGHT_COLUMNS,
+    check_constraints,
+    ingest_airlines,
+    ingest_airports,
+    parse_flights,
+    upsert,
+)
 from tarmac.plans import fixtures
 from tarmac.plans.workdir import work_root
 from tarmac.sources import files
 from tarmac.sources.tables import (
     FLIGHT_COLUMNS,
+    SUMMARIES,
     current_path,
+    months_of,
     publish,
+    read_audit,
     read_current,
     read_flights,
+    rebuild_audit,
+    refresh_summaries,
     write_flights,
 )
 
@@ -79,7 +90,35 @@ class Data:
 
     @property
     def audit(self) -> DataFrame:
-        return delay_audit(self.flights)
+        """The stored audit table, written once from the flights as a load does."""
+        path = f"{self.root}/audit"
+        with _lock:
+            if not files.exists(self.spark, f"{path}/_SUCCESS"):
+                rebuild_audit(self.spark, self.flights_path, path, months_of(self.flights))
+        return read_audit(self.spark, path)
+
+    @property
+    def summaries(self) -> str:
+        """Folder of the five stored summaries, refreshed once."""
+        root = f"{self.root}/summaries"
+        with _lock:
+            if current_path(self.spark, root, list(SUMMARIES)[-1]) is None:
+                refresh_summaries(self.flights, self.airlines, self.airports, root)
+        return root
+
+    @property
+    def checked_flights(self) -> DataFrame:
+        """Every raw row, parsed and checked against the ingested dimensions; staged once, as a load does."""
+        with _lock:
+            if current_path(self.spark, self.root, "staged_checked") is None:
+                parsed = parse_flights(self.raw_flights)
+                publish(check_constraints(parsed, self.loaded_airlines, self.airports), self.root, "staged_checked")
+        return read_current(self.spark, self.root, "staged_checked")
+
+    @property
+    def upserted_airports(self) -> DataFrame:
+        """The fixed airports with the listing put in."""
+        return upsert(self.airports, self.listed_airports.select(*self.airports.columns))
 
     @property
     def dirty_flights(self) -> DataFrame:

@@ -151,7 +151,7 @@ SELECT
   CASE p_partkey % 5 WHEN 0 THEN 'large_airport' WHEN 3 THEN 'small_airport'
        WHEN 4 THEN 'heliport' ELSE 'medium_airport' END AS type,
   CASE WHEN p_partkey % 71 = 0 THEN NULL
-       ELSE (' The ' || p_name || ' of ' || CAST(p_partkey AS STRING)) END AS name,
+       WHEN p_partkey % 11 = 0 THEN ('São ' || p_name || '–Zürich') ELSE (' The ' || p_name || ' of ' || CAST(p_partkey AS STRING)) END AS name,
   CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN ' ' ELSE p_brand END AS municipality,
   CASE WHEN p_partkey % 19 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN 'USA' ELSE 'CA' END AS iso_country,
   CASE WHEN p_partkey % 29 = 0 THEN 'junk' WHEN p_partkey % 31 = 0 THEN NULL

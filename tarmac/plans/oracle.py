@@ -199,7 +199,7 @@ _STOP = ", ".join(f"'{w}'" for w in ("", *STOP_WORDS))
 
 
 def tokens(text: str) -> str:
-    split = f"regexp_split_to_array(lower({text}), '[^a-z0-9]+')"
+    split = f"regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+')"
     return f"list_sort(list_distinct(list_filter({split}, lambda w: w NOT IN ({_STOP}))))"
 
 
@@ -228,6 +228,56 @@ ENDS = "JOIN airports o ON o.iata_code = r.origin JOIN airports d ON d.iata_code
 LOCATED = "o.lon IS NOT NULL AND o.lat IS NOT NULL AND d.lon IS NOT NULL AND d.lat IS NOT NULL"
 ROUTE_M = metres("o.lon", "o.lat", "d.lon", "d.lat")
 
+def _half(total: str, parts: str) -> str:
+    """Whole quotient, half away from zero."""
+    return f"(sign({total}) * ((2 * abs({total}) + {parts}) // (2 * {parts})))::HUGEINT"
+
+
+def _decimal(units: str) -> str:
+    """Text of a number given in ten-thousandths."""
+    return (
+        f"CASE WHEN {units} < 0 THEN '-' ELSE '' END || CAST(abs({units}) // 10000 AS VARCHAR) || '.' "
+        f"|| lpad(CAST(abs({units}) % 10000 AS VARCHAR), 4, '0')"
+    )
+
+
+_APART = "list_transform(c, lambda k: (x - k.x) * (x - k.x) + (y - k.y) * (y - k.y))"
+# k-means in whole hundred-millionths of a degree: a row per round, with the list of centres.
+CLUSTERED = f"""ups AS (
+  SELECT iata_code, city, lon, lat FROM listed UNION ALL
+  SELECT iata_code, city, lon, lat FROM airports WHERE iata_code NOT IN (SELECT iata_code FROM listed)
+), pts AS (
+  SELECT iata_code, city, CAST(CAST(CAST(lon AS DECIMAL(13,8)) AS DECIMAL(38,8)) * 100000000 AS HUGEINT) AS x,
+    CAST(CAST(CAST(lat AS DECIMAL(13,8)) AS DECIMAL(38,8)) * 100000000 AS HUGEINT) AS y
+  FROM ups WHERE lon IS NOT NULL AND lat IS NOT NULL
+), chosen AS (
+  WITH RECURSIVE seeds AS (
+    SELECT 0 AS step, [{{'x': {_half("sum(x)", "count(*)")}, 'y': {_half("sum(y)", "count(*)")}}}] AS c FROM pts
+    UNION ALL
+    SELECT step + 1, CASE WHEN step = 0 THEN [best] ELSE list_append(c, best) END FROM (
+      SELECT step, any_value(c) AS c, arg_min({{'x': x, 'y': y}}, {{'d': -d, 'code': iata_code}}) AS best
+      FROM (SELECT step, c, x, y, iata_code, list_min({_APART}) AS d FROM seeds, pts WHERE step < 6)
+      GROUP BY step)
+  ) SELECT c FROM seeds WHERE step = 6
+), settled AS (
+  WITH RECURSIVE lloyd AS (
+    SELECT 0 AS step, c, FALSE AS done FROM chosen
+    UNION ALL
+    SELECT step + 1, moved, moved = c FROM (
+      SELECT step, any_value(c) AS c, list({{'x': mx, 'y': my}} ORDER BY cid) AS moved FROM (
+        SELECT step, any_value(c) AS c, cid, {_half("sum(x)", "count(*)")} AS mx, {_half("sum(y)", "count(*)")} AS my
+        FROM (SELECT step, c, x, y, list_position({_APART}, list_min({_APART})) AS cid
+              FROM lloyd, pts WHERE NOT done AND step < 200)
+        GROUP BY step, cid)
+      GROUP BY step)
+  ) SELECT c FROM lloyd ORDER BY step DESC LIMIT 1
+), clustered AS (
+  SELECT iata_code, city, x // 100 AS x, y // 100 AS y,
+    CAST(list_position({_APART}, list_min({_APART})) - 1 AS INT) AS cluster_id
+  FROM pts, settled
+)"""
+
+
 # ---------------------------------------------------------------- shared report bodies
 
 RANKING = f"""ranking AS (
@@ -333,19 +383,19 @@ ROUTE_PERFORMANCE = f"""route_performance AS (
 )"""
 
 QUALITY = f"""quality AS (
-  WITH base AS (SELECT * FROM flights WHERE {IN_YEAR}), counts AS (
-    SELECT 'total_rows' AS metric_name, count(*) AS metric_value FROM base
-    UNION ALL SELECT 'null_dep_time', count(*) FROM base WHERE dep_time IS NULL
-    UNION ALL SELECT 'null_arr_time', count(*) FROM base WHERE arr_time IS NULL
-    UNION ALL SELECT 'cancelled_rows', count(*) FROM base WHERE cancelled
-    UNION ALL SELECT 'negative_distance', count(*) FROM base WHERE distance_miles <= 0
-    UNION ALL SELECT 'missing_delay_breakdown_on_delayed', count(*) FROM base
-      WHERE NOT cancelled AND arr_delay_min > 15 AND COALESCE(carrier_delay, weather_delay,
-        nas_delay, security_delay, late_aircraft_delay) IS NULL
+  WITH one_row AS (
+    SELECT count(*) AS total_rows, {n("dep_time IS NULL")} AS null_dep_time,
+      {n("arr_time IS NULL")} AS null_arr_time, {n("cancelled")} AS cancelled_rows,
+      {n("distance_miles <= 0")} AS negative_distance,
+      {n("NOT cancelled AND arr_delay_min > 15 AND COALESCE(carrier_delay, weather_delay, nas_delay, "
+         "security_delay, late_aircraft_delay) IS NULL")} AS missing_delay_breakdown_on_delayed
+    FROM flights WHERE {IN_YEAR}
+  ), metrics AS (
+    UNPIVOT one_row ON COLUMNS(*) INTO NAME metric_name VALUE metric_value
   )
   SELECT metric_name, metric_value,
-    {dbl("100.0 * metric_value / NULLIF((SELECT count(*) FROM base), 0)", 3)} AS metric_percent
-  FROM counts
+    {dbl("100.0 * metric_value / NULLIF((SELECT total_rows FROM one_row), 0)", 3)} AS metric_percent
+  FROM metrics
 )"""
 
 AUDIT = """audit AS (
@@ -412,9 +462,19 @@ def _build() -> dict[str, str]:
             max({shifted}) AS last_date
         FROM flights GROUP BY 1""")
     q["replace_month"] = statement(f"""
-        , march AS (SELECT * FROM flights WHERE month(flight_date) = 3 AND distance_miles < 1000
-                    QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1)
-        SELECT * FROM flights WHERE month(flight_date) <> 3 UNION ALL SELECT * FROM march""")
+        , known AS (SELECT iata_code FROM airports UNION SELECT iata_code FROM listed),
+        short AS (SELECT * FROM flights WHERE month(flight_date) = 3 AND distance_miles < 1000
+          AND distance_miles > 0 AND origin <> destination AND origin IN (FROM known)
+          AND destination IN (FROM known) AND airline_code IN (SELECT iata_code FROM airlines)),
+        march AS (SELECT * FROM short QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1),
+        moved AS (SELECT * REPLACE (id + 1000000000000 AS id, 'X' AS flight_number,
+            CAST(flight_date + INTERVAL 1 MONTH AS DATE) AS flight_date) FROM short
+          WHERE (id + 1000000000000) % 5 = 0),
+        added AS (SELECT * FROM moved QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1),
+        stored AS (SELECT * FROM flights WHERE month(flight_date) <> 3
+          UNION ALL SELECT * FROM march UNION ALL SELECT * FROM added)
+        SELECT *, CAST(CASE WHEN month(flight_date) IN (3, 4) AND NOT cancelled
+            AND arr_delay_min IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS audit_rows FROM stored""", *AIRPORT_INGEST)
     q["upsert_airports"] = statement("""
         SELECT iata_code, name, city, country, lon, lat, elevation_ft FROM listed UNION ALL
         SELECT * FROM airports WHERE iata_code NOT IN (SELECT iata_code FROM listed)""", *AIRPORT_INGEST)
@@ -437,23 +497,44 @@ def _build() -> dict[str, str]:
         SELECT c.source_file, count(*) AS total_rows, COALESCE(any_value(inserted), 0) AS inserted,
           {n("NOT is_valid")} AS skipped, {n("is_valid AND reject_reason IS NOT NULL")} AS errors
         FROM checked c LEFT JOIN added a ON a.source_file = c.source_file GROUP BY c.source_file""", *INSERT)
-    union_all = f"""SELECT flight_date, arr_delay_min, cancelled FROM inserted UNION ALL
-        SELECT flight_date, arr_delay_min, cancelled FROM flights WHERE flight_date < DATE '2023-07-01'"""
     q["load_flights"] = statement(f"""
-        , stored AS ({union_all})
-        SELECT strftime(flight_date, '%Y-%m') AS flight_month,
-          CASE WHEN arr_delay_min > 60 THEN 'severe' WHEN arr_delay_min > 15 THEN 'major'
-               WHEN arr_delay_min > 0 THEN 'minor' ELSE 'on_time' END AS delay_category,
-          count(*) AS row_count, CAST(sum(arr_delay_min) AS BIGINT) AS minutes
-        FROM stored WHERE NOT cancelled AND arr_delay_min IS NOT NULL GROUP BY ALL""", *INSERT)
+        , added AS (SELECT source_file, count(*) AS inserted FROM inserted GROUP BY source_file),
+        per_file AS (
+          SELECT c.source_file, count(*) AS total_rows, COALESCE(any_value(inserted), 0) AS inserted,
+            {n("NOT is_valid")} AS skipped, {n("is_valid AND reject_reason IS NOT NULL")} AS errors
+          FROM checked c LEFT JOIN added a ON a.source_file = c.source_file GROUP BY c.source_file),
+        stored AS (SELECT flight_date, arr_delay_min, cancelled FROM inserted UNION ALL
+          SELECT flight_date, arr_delay_min, cancelled FROM flights WHERE flight_date < DATE '2023-07-01'),
+        months AS (
+          SELECT strftime(flight_date, '%Y_%m') || '.csv' AS source_file, count(*) AS stored_flights,
+            {n("NOT cancelled AND arr_delay_min IS NOT NULL")} AS audit_rows,
+            CAST(sum(arr_delay_min) FILTER (WHERE NOT cancelled) AS BIGINT) AS audit_minutes
+          FROM stored GROUP BY 1)
+        SELECT * FROM per_file JOIN months USING (source_file)""", *INSERT)
     q["dry_run"] = statement(f"""
-        , head AS (SELECT * FROM marked ORDER BY source_file, source_row LIMIT 1000)
-        SELECT (SELECT count(*) FROM marked) AS total_rows, CAST(0 AS BIGINT) AS inserted,
-          {n("NOT is_valid")} AS skipped, CAST(0 AS BIGINT) AS errors FROM head""", *INGEST)
-    q["refresh_summaries"] = statement("""
-        SELECT t.*, s.total_flights AS airline_flights, s.severe_delay_count, s.data_from, s.data_to
-        FROM monthly_trend t JOIN airline_summary s ON s.airline_code = t.airline_code""",
-        MONTHLY_TREND, AIRLINE_SUMMARY)
+        SELECT source_file, count(*) AS total_rows, CAST(0 AS BIGINT) AS inserted,
+          {n("NOT is_valid")} AS skipped, CAST(0 AS BIGINT) AS errors
+        FROM marked GROUP BY source_file""", *INGEST)
+    checks = {
+        "airline_summary": ("airline_summary", "total_flights", "avg_arr_delay_min", "on_time_pct"),
+        "delay_heatmap": ("heatmap", "flight_count", "avg_arr_delay", "delay_rate_pct"),
+        "top_routes": ("routes", "total_flights", "avg_arr_delay", "on_time_pct"),
+        "monthly_trend": ("monthly_trend", "total_flights", "avg_arr_delay", "on_time_pct"),
+        "route_performance": ("route_performance", "total_flights", "avg_arr_delay", "cancellation_rate"),
+    }
+    q["refresh_summaries"] = statement(" UNION ALL ".join(f"""
+        SELECT '{name}' AS summary_name, count(*) AS row_count, CAST(sum({flights}) AS BIGINT) AS flights,
+          CAST(sum(CAST({delay} AS DECIMAL(18,2))) AS DOUBLE) AS delay_sum,
+          CAST(sum(CAST({rate} AS DECIMAL(18,2))) AS DOUBLE) AS rate_sum FROM {table}"""
+        for name, (table, flights, delay, rate) in checks.items()),
+        AIRLINE_SUMMARY, HEATMAP, TOP_ROUTES, MONTHLY_TREND, ROUTE_PERFORMANCE)
+    q["partition_stats"] = statement("""
+        , names AS (SELECT 'flights_2023_' || lpad(CAST(m AS VARCHAR), 2, '0') AS partition_name
+          FROM range(1, 13) AS r(m) UNION ALL SELECT 'flights_default'),
+        counted AS (SELECT 'flights_' || strftime(flight_date, '%Y_%m') AS partition_name, count(*) AS k
+          FROM flights GROUP BY 1)
+        SELECT partition_name, COALESCE(k, 0) AS row_count, COALESCE(k, 0) > 0 AS has_files
+        FROM names LEFT JOIN counted USING (partition_name)""")
     q["summary_counts"] = statement("""
         SELECT 'airline_summary' AS summary_name, count(*) AS row_count FROM airline_summary
         UNION ALL SELECT 'delay_heatmap', count(*) FROM heatmap
@@ -597,6 +678,22 @@ def _build() -> dict[str, str]:
         WHERE m <= 800000 AND a.iata_code <> 'JFK' AND {IN_YEAR}
         GROUP BY a.iata_code, a.name, a.city, m HAVING count(f.id) >= 1000
         ORDER BY avg_arr_delay DESC NULLS FIRST, a.iata_code LIMIT 15""")
+    centre = [_decimal(_half(f"sum({axis} * w)", "(100 * sum(w))")) for axis in "xy"]
+    q["g4_airport_clusters"] = statement(f"""
+        , departures AS (SELECT origin, count(*) AS k, sum(arr_delay_min) FILTER (WHERE NOT cancelled) AS s,
+            {n("NOT cancelled AND arr_delay_min IS NOT NULL")} AS m
+          FROM flights WHERE {IN_YEAR} GROUP BY origin),
+        weighed AS (SELECT c.*, COALESCE(k, 0) AS k, s, m, CAST(greatest(COALESCE(k, 0), 1) AS HUGEINT) AS w
+          FROM clustered c LEFT JOIN departures ON origin = iata_code),
+        cities AS (SELECT DISTINCT cluster_id, city FROM clustered WHERE city IS NOT NULL),
+        named AS (SELECT cluster_id, string_agg(city, ', ' ORDER BY city) AS sample_cities FROM (
+            SELECT * FROM cities QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY city) <= 5)
+          GROUP BY cluster_id)
+        SELECT cluster_id, count(*) AS airport_count, CAST(sum(k) AS BIGINT) AS total_flights,
+          {dbl("sum(s) / NULLIF(sum(m), 0)")} AS avg_delay,
+          'POINT(' || {centre[0]} || ' ' || {centre[1]} || ')' AS cluster_centroid,
+          COALESCE(any_value(sample_cities), '') AS sample_cities
+        FROM weighed LEFT JOIN named USING (cluster_id) GROUP BY cluster_id""", *AIRPORT_INGEST, CLUSTERED)
     q["g5_short_route_delay"] = statement(f"""
         , r AS (SELECT origin, destination, count(*) AS total_flights, {dbl(ARR)} AS avg_delay FROM flights
           WHERE NOT cancelled AND {IN_YEAR} GROUP BY origin, destination HAVING count(*) >= 500),
@@ -616,6 +713,10 @@ def _build() -> dict[str, str]:
         SELECT {SEVERE} AS severe_flights,
           (SELECT count(*) FROM audit WHERE delay_category = 'severe') AS severe_logged FROM flights""", AUDIT)
 
+    q["q4_audit_coverage_dirty"] = statement(f"""
+        SELECT {SEVERE} AS severe_flights,
+          (SELECT count(*) FROM audit WHERE delay_category = 'severe') AS severe_logged FROM dirty""", AUDIT, DIRTY)
+
     q["top_routes"] = statement(f"""
         SELECT {ROUTE_REPORT_COLUMNS} FROM routes
         ORDER BY total_flights DESC, origin, destination LIMIT 20""", TOP_ROUTES)
@@ -655,6 +756,5 @@ def _build() -> dict[str, str]:
 
 
 def oracle_statements() -> dict[str, str]:
-    """Statements by query name. Missing: `partition_stats` (file sizes) and
-    `g4_airport_clusters` (k-means starts from random centres)."""
+    """Statements by query name, for all queries."""
     return _build()

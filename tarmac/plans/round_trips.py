@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators import ingest
 from tarmac.plans.data import YEARS, Data
-from tarmac.sources import csv, load, tables
+from tarmac.sources import csv, files, load, tables
 from tarmac.streaming import jobs
 
 
@@ -46,19 +46,34 @@ def read_airports_csv(d: Data) -> DataFrame:
     return csv.read_airports_csv(d.spark, f"{folder}/*.csv")
 
 
+def _write_monthly_csv(d: Data, folder: str) -> None:
+    """One CSV file per month, named as such files are, rows in their order."""
+    raw = d.raw_flights_text
+    for name in sorted(r[0] for r in raw.select("source_file").distinct().collect()):
+        month = raw.filter(F.col("source_file") == name).coalesce(1).sortWithinPartitions("source_row")
+        _write_csv(month.select(*ingest.RAW_FLIGHT_COLUMNS), f"{folder}/parts/{name}")
+        part = files.glob(d.spark, f"{folder}/parts/{name}/part-*.csv")[0]
+        files.make_folder(d.spark, f"{folder}/csv")
+        files.rename(d.spark, part, f"{folder}/csv/{name}")
+
+
 def load_flights(d: Data) -> DataFrame:
-    """Raw CSV files through the whole load, on top of half a year already stored."""
+    """Monthly raw CSV files through the whole load, on top of half a year already stored.
+
+    The report per file, with what the stored flights and their audit hold of its month.
+    """
     folder = _folder(d, "load")
-    _write_csv(d.raw_flights_text.select(*ingest.RAW_FLIGHT_COLUMNS), f"{folder}/csv")
+    _write_monthly_csv(d, folder)
     stored = d.plain_flights.filter("flight_date < DATE'2023-07-01'")
     tables.write_flights(stored, f"{folder}/flights", YEARS)
     paths = csv.flight_files(d.spark, f"{folder}/csv")
-    load.load_flight_files(d.spark, paths, folder, d.loaded_airlines, d.airports, YEARS)
-    return (
-        tables.read_audit(d.spark, f"{folder}/audit")
-        .groupBy("flight_month", "delay_category")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("delay_minutes").alias("minutes"))
-    )
+    report = load.load_flight_files(d.spark, paths, folder, d.loaded_airlines, d.airports, YEARS)
+    name = "concat(replace(flight_month, '-', '_'), '.csv') AS source_file"
+    flights = tables.read_flights(d.spark, f"{folder}/flights").groupBy(F.expr(name)).agg(
+        F.count(F.lit(1)).alias("stored_flights"))
+    audit = tables.read_audit(d.spark, f"{folder}/audit").groupBy(F.expr(name)).agg(
+        F.count(F.lit(1)).alias("audit_rows"), F.sum("delay_minutes").alias("audit_minutes"))
+    return report.join(flights, "source_file").join(audit, "source_file")
 
 
 def write_flights(d: Data) -> DataFrame:
@@ -73,25 +88,58 @@ def write_flights(d: Data) -> DataFrame:
 
 
 def replace_month(d: Data) -> DataFrame:
-    """March is replaced by the flights of March under 1000 miles, as a reload would."""
-    path = _folder(d, "replaced")
-    flights = d.plain_flights
-    tables.write_flights(flights, path, YEARS)
-    march = flights.filter((F.month("flight_date") == 3) & (F.col("distance_miles") < 1000))
-    tables.replace_month(march, path, "2023_03.csv", YEARS, order=("id",))
-    return tables.read_flights(d.spark, path).drop("created_at", "flight_month")
+    """March is replaced by its own flights under 1000 miles, read from the table itself.
+
+    The file also has a copy of each such flight under another number, dated into April, and the
+    audit follows: the stored flights and how many audit rows each has.
+    """
+    root = _folder(d, "replaced")
+    path, audit = f"{root}/flights", f"{root}/audit"
+    tables.write_flights(d.plain_flights, path, YEARS)
+    tables.rebuild_audit(d.spark, path, audit, ["2023-03", "2023-04"])
+    stored = tables.read_flights(d.spark, path).drop("created_at", "flight_month")
+    march = stored.filter((F.month("flight_date") == 3) & (F.col("distance_miles") < 1000))
+    moved = march.selectExpr(
+        "* EXCEPT (id, flight_date, flight_number)", "id + 1000000000000 AS id",
+        "CAST(flight_date + INTERVAL 1 MONTH AS DATE) AS flight_date", "'X' AS flight_number",
+    ).filter("id % 5 = 0")
+    tables.replace_month(
+        march.unionByName(moved), path, "2023_03.csv", YEARS, ("id",), audit, d.airlines, d.upserted_airports)
+    logged = tables.read_audit(d.spark, audit).groupBy("flight_id").agg(F.count(F.lit(1)).alias("audit_rows"))
+    flights = tables.read_flights(d.spark, path).drop("created_at", "flight_month")
+    return flights.join(logged, F.col("id") == F.col("flight_id"), "left").drop("flight_id").withColumn(
+        "audit_rows", F.coalesce("audit_rows", F.lit(0).cast("long")))
+
+
+#: Per summary: its count of flights, and two of its measures.
+SUMMARY_CHECKS = {
+    "airline_summary": ("total_flights", "avg_arr_delay_min", "on_time_pct"),
+    "delay_heatmap": ("flight_count", "avg_arr_delay", "delay_rate_pct"),
+    "top_routes": ("total_flights", "avg_arr_delay", "on_time_pct"),
+    "monthly_trend": ("total_flights", "avg_arr_delay", "on_time_pct"),
+    "route_performance": ("total_flights", "avg_arr_delay", "cancellation_rate"),
+}
+
+
+def checked_summaries(summaries: dict[str, DataFrame]) -> DataFrame:
+    """Per summary: rows, flights, and exact sums of two measures."""
+    out = None
+    for name, df in summaries.items():
+        flights, delay, rate = SUMMARY_CHECKS[name]
+        row = df.agg(
+            F.expr("count(1) AS row_count"), F.expr(f"sum({flights}) AS flights"),
+            F.expr(f"CAST(sum(CAST({delay} AS DECIMAL(18,2))) AS DOUBLE) AS delay_sum"),
+            F.expr(f"CAST(sum(CAST({rate} AS DECIMAL(18,2))) AS DOUBLE) AS rate_sum"),
+        ).selectExpr(f"'{name}' AS summary_name", "*")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def refresh_summaries(d: Data) -> DataFrame:
+    """All five summaries, refreshed and read back."""
     root = _folder(d, "summaries")
     tables.refresh_summaries(d.flights, d.airlines, d.airports, root)
-    return tables.read_summary(d.spark, root, "monthly_trend").drop("airline_name").join(
-        tables.read_summary(d.spark, root, "airline_summary").select(
-            "airline_code", "airline_name", F.col("total_flights").alias("airline_flights"),
-            "severe_delay_count", "data_from", "data_to",
-        ),
-        "airline_code",
-    )
+    return checked_summaries({name: tables.read_summary(d.spark, root, name) for name in tables.SUMMARIES})
 
 
 def stream_delay_audit(d: Data) -> DataFrame:

@@ -24,6 +24,22 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(jpath) or [])
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.mkdirs(jpath)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, jpath = _fs(spark, old)
+    if not fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):

@@ -18,6 +18,7 @@ def load_flight_files(
     airlines: DataFrame,
     airports: DataFrame,
     years: Iterable[int],
+    replace: bool = False,
 ) -> DataFrame:
     """Load CSV files into `root/flights` and `root/audit`; return the rows per file.
 
@@ -26,6 +27,9 @@ def load_flight_files(
     appended. A load that died half-way is simply run again: rows already stored are
     ignored as duplicates, and the touched audit months are rebuilt from the flights.
     Files without the required columns are reported with one error and no rows.
+
+    With `replace`, the month that each file is named after is replaced by the file's rows;
+    rows of other months are added as new. Staged tables of earlier loads are removed.
     """
     years = list(years)
     groups, unusable = csv.split_by_columns(spark, paths)
@@ -40,11 +44,22 @@ def load_flight_files(
     )
     checked = tables.read_current(spark, root, "staged_checked")
     good = ingest.accepted(checked.filter("is_valid")).drop("is_valid")
+    if replace:
+        months = {path.rsplit("/", 1)[-1]: tables.month_of_file(path) for path in usable}
+        named = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
+        new = tables.replace_months(
+            good.withColumn("_own_month", named[F.col("source_file")]),
+            f"{root}/flights", sorted(set(months.values())), years, audit_path=f"{root}/audit",
+        )
+        tables.prune(spark, root, "staged_checked", keep=1)
+        return ingest.file_stats(checked, new).unionByName(report)
     tables.publish(tables.new_flights(good, f"{root}/flights", years), root, "staged_new")
     new = tables.read_current(spark, root, "staged_new")
     tables.write_flights(new, f"{root}/flights", years)
     touched = tables.months_of(tables.with_partition(good, years))
     tables.rebuild_audit(spark, f"{root}/flights", f"{root}/audit", touched)
+    for name in ("staged_checked", "staged_new"):
+        tables.prune(spark, root, name, keep=1)
     return ingest.file_stats(checked, new).unionByName(report)
 
 

@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 from tarmac.functions.dates import DEFAULT_PARTITION, month_label
 from tarmac.operators import views
 from tarmac.operators.audit import delay_audit
-from tarmac.operators.ingest import SOURCE_COLUMNS, insert_flights, upsert, with_flight_id
+from tarmac.operators.ingest import (
+    SOURCE_COLUMNS,
+    accepted,
+    check_constraints,
+    insert_flights,
+    upsert,
+    with_flight_id,
+)
+from tarmac.operators.quality import BUSINESS_KEY
 from tarmac.sources import files
 
 FLIGHTS_SCHEMA = (
@@ -91,9 +99,7 @@ def rebuild_audit(spark: SparkSession, flights: str, audit: str, months: Sequenc
     repeated, and removes the audit rows of flights that were replaced.
     """
     picked = read_flights(spark, flights).filter(F.col("flight_month").isin(*months))
-    _laid_out(delay_audit(picked, "flight_month")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("flight_month").parquet(audit)
+    _overwrite_months(delay_audit(picked, "flight_month"), audit)
 
 
 def _write_months(rows: DataFrame, path: str, mode: str) -> None:
@@ -161,38 +167,88 @@ def replace_month(
     years: Iterable[int],
     order: Sequence[str] = SOURCE_COLUMNS,
     audit_path: str | None = None,
+    airlines: DataFrame | None = None,
+    airports: DataFrame | None = None,
 ) -> None:
     """Replace the month a file is named after by the rows of that file.
 
-    The month's folder is overwritten as a whole, also when the file has no row for
-    it; rows of other months in the file are added like any insert. The audit table, if
-    named, gets the same months replaced.
+    The month is replaced as a whole, also when the file has no row for it; rows of other
+    months in the file are added like any insert. The audit table, if named, gets the same
+    months replaced. With both dimensions given, rows that break a constraint stay out.
     """
     month = month_of_file(file_name)
+    if airlines is not None and airports is not None:
+        new = accepted(check_constraints(new, airlines, airports))
+    replace_months(new.withColumn("_own_month", F.lit(month)), path, [month], years, order, audit_path)
+
+
+def replace_months(
+    new: DataFrame,
+    path: str,
+    months: Sequence[str],
+    years: Iterable[int],
+    order: Sequence[str] = SOURCE_COLUMNS,
+    audit_path: str | None = None,
+) -> DataFrame:
+    """Replace whole months; `_own_month` of a row names the month that its file stands for.
+
+    The input is read once, into a staged table, and the rows to write are staged before
+    anything is replaced, so the input may be the table itself and a failed call can be
+    repeated. Returns the rows written, with the other columns of `new`.
+    """
     years = check_years(years)
-    if int(month[:4]) not in years:
-        raise ValueError(f"month {month} is not in a declared year")
-    spark = new.sparkSession
-    inside = F.col("flight_month") == month
-    placed = with_partition(new, years)
-    own, others = placed.filter(inside), placed.filter(~inside)
+    for month in months:
+        if int(month[:4]) not in years:
+            raise ValueError(f"month {month} is not in a declared year")
+    spark, stage = new.sparkSession, f"{path.rstrip('/')}_staged"
+    publish(with_partition(new, years), stage, "arrived")
+    arrived = read_current(spark, stage, "arrived")
+    is_own, replaced = F.expr("flight_month <=> _own_month"), F.col("flight_month").isin(*months)
+    rest = arrived.filter(~is_own).drop("_own_month")
     nothing = spark.createDataFrame([], FLIGHTS_SCHEMA)
-    rows = _as_flights(insert_flights(own, nothing, order))
-    _overwrite_folder(rows, f"{path}/flight_month={month}")
-    append_new_flights(others, path, years, order)
+    own = insert_flights(arrived.filter(is_own).drop("_own_month"), nothing, order)
+    publish(own, stage, "own")
+    own = read_current(spark, stage, "own")
+    known = own.select(*BUSINESS_KEY)
+    if files.child_names(spark, path):
+        touched = months_of(rest)
+        stored = read_flights(spark, path).filter(~replaced & F.col("flight_month").isin(*touched))
+        known = known.unionByName(stored.select(*BUSINESS_KEY))
+    publish(own.unionByName(insert_flights(rest, known, order)), stage, "rows")
+    rows = read_current(spark, stage, "rows")
+    flights = _as_flights(rows)
+    inside = flights.filter(replaced)
+    _overwrite_months(inside, path)
+    for month in set(months) - set(months_of(inside)):
+        _overwrite_folder(nothing, f"{path}/flight_month={month}")
+    _write_months(flights.filter(~replaced), path, "append")
     if audit_path is not None:
-        stored = read_flights(spark, path).filter(inside)
-        _overwrite_folder(delay_audit(stored, "flight_month"), f"{audit_path}/flight_month={month}")
-        if other_months := months_of(others):
-            rebuild_audit(spark, path, audit_path, other_months)
+        rebuild_audit(spark, path, audit_path, months_of(rows))
+        stored = read_flights(spark, path).filter(replaced)
+        for month in set(months) - set(months_of(delay_audit(stored, "flight_month"))):
+            _overwrite_folder(spark.createDataFrame([], AUDIT_SCHEMA), f"{audit_path}/flight_month={month}")
+    for name in ("arrived", "own", "rows"):
+        prune(spark, stage, name, keep=1)
+    return rows
+
+
+def _overwrite_months(rows: DataFrame, path: str) -> None:
+    """Replace the months that the rows have, leaving the others."""
+    (
+        _laid_out(rows)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("flight_month")
+        .parquet(path)
+    )
 
 
 def _overwrite_folder(rows: DataFrame, folder: str) -> None:
     _laid_out(rows).drop("flight_month").write.mode("overwrite").parquet(folder)
 
 
-def partition_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Exact rows and bytes per partition.
+def partition_stats(spark: SparkSession, path: str, years: Iterable[int] = ()) -> DataFrame:
+    """Exact rows and bytes per partition; months of declared years and the default are listed even if empty.
 
     File sizes are counted once per file: the per-file pre-aggregation sends one row
     per file and task.
@@ -202,9 +258,13 @@ def partition_stats(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("flight_month", F.expr("_metadata.file_path AS file"))
         .agg(F.expr("count(1) AS row_count"), F.expr("max(_metadata.file_size) AS file_bytes"))
     )
-    return (
-        by_file.groupBy(F.expr(f"{_partition_name('flight_month')} AS partition_name"))
-        .agg(F.expr("sum(row_count) AS row_count"), F.expr("sum(file_bytes) AS total_bytes"))
+    found = by_file.groupBy(F.expr(f"{_partition_name('flight_month')} AS partition_name")).agg(
+        F.expr("sum(row_count) AS row_count"), F.expr("sum(file_bytes) AS total_bytes")
+    )
+    declared = [f"flights_{y}_{m:02d}" for y in check_years(years) for m in range(1, 13)]
+    names = spark.createDataFrame([(n,) for n in [*declared, f"flights_{DEFAULT_PARTITION}"]], "partition_name string")
+    return names.join(found, "partition_name", "full").selectExpr(
+        "partition_name", "coalesce(row_count, 0) AS row_count", "coalesce(total_bytes, 0) AS total_bytes"
     )
 
 
@@ -233,6 +293,20 @@ def publish(df: DataFrame, root: str, name: str) -> str:
     return target
 
 
+def prune(spark: SparkSession, root: str, name: str, keep: int = 3) -> None:
+    """Remove all but the newest `keep` committed versions of a table, and older unfinished ones.
+
+    Readers of an older version fail then, so keep as many as refreshes can overlap with them.
+    """
+    versions = files.child_names(spark, f"{root}/{name}")
+    committed = [v for v in versions if files.exists(spark, f"{root}/{name}/{v}/_SUCCESS")]
+    if len(committed) > keep:
+        oldest_kept = committed[-keep]
+        for version in versions:
+            if version < oldest_kept:
+                files.delete(spark, f"{root}/{name}/{version}")
+
+
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
     """Newest committed version, or None."""
     for version in reversed(files.child_names(spark, f"{root}/{name}")):

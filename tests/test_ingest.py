@@ -124,9 +124,16 @@ def test_file_stats_add_up(raw_of, dims, flights_of):
     assert sorted(rows(stats)) == [("2023_01.csv", 4, 1, 1, 1), ("2023_02.csv", 1, 1, 0, 0), ("bad.csv", 1, 0, 1, 0)]
 
 
-def test_dry_run_looks_at_the_first_rows_only(raw_of):
-    raw = raw_of(*[{}] * 3, {"FL_DATE": "junk"}, {"FL_DATE": "junk"})
-    assert rows(ingest.dry_run(raw, sample=4)) == [(5, 0, 1, 0)]
+def test_dry_run_looks_at_every_row_of_every_file(raw_of):
+    last = {"source_file": "2023_12.csv"}
+    raw = raw_of(*[{}] * 3, last, {**last, "FL_DATE": "junk"}, {**last, "FL_DATE": "junk"})
+    assert sorted(rows(ingest.dry_run(raw))) == [("2023_01.csv", 3, 0, 0, 0), ("2023_12.csv", 3, 0, 2, 0)]
+    assert sorted(rows(ingest.dry_run(raw, sample=2))) == [("2023_01.csv", 3, 0, 0, 0), ("2023_12.csv", 3, 0, 1, 0)]
+
+
+def test_search_tokens_keep_accented_letters(spark):
+    df = spark.sql("SELECT 'São Paulo–Guarulhos' AS name, 'Zürich' AS city, 'GRU' AS iata_code, 'BR' AS country")
+    assert ingest.airport_search_tokens(df).first().search_tokens == ["br", "gru", "guarulhos", "paulo", "são", "zürich"]
 
 
 AIRPORT_SCHEMA = (

@@ -221,6 +221,11 @@ def test_bands(flights_of):
     assert (got.on_time_band, got.cancellation_band) == ("good", "bad")  # 3 % is not below 3
 
 
-@pytest.mark.parametrize(("asked", "given"), [(None, 20), (0, 20), (101, 20), (100, 100), (5, 5)])
-def test_route_limit(asked, given):
-    assert reports._route_limit(asked) == given
+def test_route_limit(spark):
+    columns = ", ".join(f"0 AS {c}" for c in reports._ROUTE_COLUMNS if c not in ("origin", "total_flights"))
+    summary = spark.range(200).selectExpr("CAST(id AS STRING) AS origin", "id AS total_flights", *columns.split(", "))
+    assert [reports.top_routes(summary, n).count() for n in (150, 5, None)] == [150, 5, 200]
+    assert reports.top_routes(summary).count() == 20
+    for wrong in (0, -1):
+        with pytest.raises(ValueError, match="at least one row"):
+            reports.top_routes(summary, wrong)

@@ -52,6 +52,41 @@ def test_replace_month(spark, flights_of, folder):
     assert sorted(rows(got.groupBy("flight_month", "delay_category").count())) == [("2023-01", "severe", 1), ("2023-02", "on_time", 2)]
 
 
+def test_a_month_can_be_replaced_from_the_table_itself(spark, flights_of, folder):
+    path = f"{folder}/t"
+    tables.write_flights(flights_of({}, {"flight_number": "2"}, {"flight_date": "2023-02-01"}), path, YEARS)
+    own = stored(spark, path).filter("flight_number = '2'")
+    tables.replace_month(own, path, "2023_01.csv", YEARS, order=("id",))
+    assert by_month(spark, path) == {"2023-01": 1, "2023-02": 1}
+
+
+def test_replace_month_leaves_out_rows_that_break_a_constraint(spark, flights_of, folder, data):
+    path = f"{folder}/t"
+    new = flights_of({}, {"flight_number": "2", "distance_miles": -5}, {"flight_number": "3", "origin": "QQQ"})
+    tables.replace_month(new, path, "2023_01.csv", YEARS, ("id",), None, data.airlines, data.airports)
+    assert by_month(spark, path) == {"2023-01": 1}
+
+
+def test_a_reload_replaces_the_months_of_its_files(spark, data, folder):
+    for name, origin in (("2023_01.csv", "JFK"), ("2023_02.csv", "BOS")):
+        write(f"{folder}/csv", name, HEADER, line(HEADER, ORIGIN=origin), line(HEADER, ORIGIN=origin, FL_DATE="2023-02-03"))
+    paths = csv.flight_files(spark, f"{folder}/csv")
+    tables.write_flights(data.plain_flights.filter("month(flight_date) <= 3"), f"{folder}/flights", YEARS)
+    before = by_month(spark, f"{folder}/flights")
+    report = load.load_flight_files(spark, paths, folder, data.airlines, data.airports, YEARS, replace=True)
+    assert sorted(tuple(r)[:3] for r in report.collect()) == [("2023_01.csv", 2, 2), ("2023_02.csv", 2, 2)]
+    assert by_month(spark, f"{folder}/flights") == {"2023-01": 2, "2023-02": 2, "2023-03": before["2023-03"]}
+
+
+def test_old_versions_are_removed(spark, folder):
+    for n in range(5):
+        tables.publish(spark.range(n + 1), folder, "t")
+    (Path(folder) / "t" / "v00_unfinished").mkdir()
+    tables.prune(spark, folder, "t", keep=2)
+    assert len(list((Path(folder) / "t").iterdir())) == 2
+    assert tables.read_current(spark, folder, "t").count() == 5
+
+
 def test_replace_month_by_an_empty_file_clears_it(spark, flights_of, folder):
     path = f"{folder}/t"
     tables.write_flights(flights_of({}, {"flight_date": "2023-02-01"}), path, YEARS)
@@ -78,8 +113,10 @@ def test_replace_month_refuses_unclear_names(flights_of, folder, name):
 
 
 def test_partition_stats_are_exact(spark, data):
-    stats = {r.partition_name: r for r in tables.partition_stats(spark, data.flights_path).collect()}
-    assert sorted(stats) == [f"flights_2023_{m:02d}" for m in range(1, 13)]
+    stats = {r.partition_name: r for r in tables.partition_stats(spark, data.flights_path, (2022, 2023)).collect()}
+    months = [f"flights_{y}_{m:02d}" for y in (2022, 2023) for m in range(1, 13)]
+    assert sorted(stats) == [*months, "flights_default"]
+    assert stats["flights_2022_05"].row_count == stats["flights_default"].total_bytes == 0
     assert sum(r.row_count for r in stats.values()) == data.flights.count()
     size = sum(p.stat().st_size for p in Path(data.flights_path.removeprefix("file:")).glob("flight_month=2023-03/*.parquet"))
     assert stats["flights_2023_03"].total_bytes == size
