@@ -14,6 +14,9 @@ from tarmac.operators.ingest import RAW_FLIGHT_COLUMNS, SOURCE_COLUMNS
 from tarmac.sources import files
 
 
+CARRIER = "OP_UNIQUE_CARRIER"
+
+
 def _header(line: str) -> list[str]:
     """Unique column names of a header line; blank and repeated names get a position."""
     names: list[str] = []
@@ -94,6 +97,18 @@ def read_flights_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, scans)
 
 
+def read_carriers_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The carrier column of every file that has one, whatever else the file lacks."""
+    scans = [
+        _scan(spark, group, columns, multi_line=False).selectExpr(f"{missing_to_null(CARRIER)} AS {CARRIER}")
+        for columns, group in _by_header(spark, paths).items()
+        if CARRIER in columns
+    ]
+    if not scans:
+        raise ValueError("no file has the carrier column")
+    return reduce(DataFrame.unionByName, scans)
+
+
 def read_airports_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """All columns under lower-case names; quoted fields may hold line breaks."""
     paths = files.glob(spark, pattern)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -60,7 +61,14 @@ def first_line(spark: SparkSession, path: str) -> str:
 
 
 def first_lines(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> dict[str, str]:
-    """First line of each file; the files are opened side by side."""
+    """First line of each file, empty for one that cannot be read; the files are opened side by side."""
+
+    def line(path: str) -> str:
+        try:
+            return first_line(spark, path)
+        except Py4JJavaError:
+            return ""
+
     paths = list(paths)
     with ThreadPoolExecutor(threads) as pool:
-        return dict(zip(paths, pool.map(lambda path: first_line(spark, path), paths)))
+        return dict(zip(paths, pool.map(line, paths)))

@@ -74,3 +74,30 @@ def _unusable_report(spark: SparkSession, paths: list[str]) -> DataFrame:
         zero("skipped"),
         F.lit(1).cast("bigint").alias("errors"),
     )
+
+
+def load_all(
+    spark: SparkSession,
+    listing: str,
+    paths: list[str],
+    root: str,
+    years: Iterable[int],
+    replace: bool = False,
+) -> DataFrame:
+    """Listing and flight files to refreshed summaries, as one restartable call.
+
+    Airports and airlines are put in, flights loaded (see `load_flight_files`), the summaries
+    refreshed; the report per file is kept as table `load_report`. Returns the load summary.
+    """
+    years = list(years)
+    listed = ingest.ingest_airports(csv.read_airports_csv(spark, listing))
+    tables.upsert_table(ingest.airport_search_tokens(listed), root, "airports")
+    tables.upsert_table(ingest.ingest_airlines(csv.read_carriers_csv(spark, paths)), root, "airlines")
+    airports, airlines = (tables.read_current(spark, root, name) for name in ("airports", "airlines"))
+    report = load_flight_files(spark, paths, root, airlines, airports, years, replace)
+    tables.publish(report, root, "load_report")
+    flights = tables.read_flights(spark, f"{root}/flights")
+    tables.refresh_summaries(flights, airlines, airports, root)
+    for name in ("airports", "airlines", "load_report", "fine_measures", *tables.SUMMARIES):
+        tables.prune(spark, root, name)
+    return tables.load_summary(airports, airlines, flights, tables.read_audit(spark, f"{root}/audit"))

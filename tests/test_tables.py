@@ -228,3 +228,20 @@ def test_load_is_repeatable(spark, folder):
     assert audit() == first
     expected = delay_audit(stored(spark, f"{folder}/flights"), "flight_month")
     assert sorted(rows(expected)) == first
+
+
+def test_the_whole_load_in_one_call(spark, folder):
+    listing = ["iata_code", "type", "name", "municipality", "iso_country", "latitude_deg", "longitude_deg", "elevation_ft", "tzid"]
+    write(folder, "airports.csv", listing, *[f"{c},large_airport,{c} field,x,US,40.5,-73.5,10,z" for c in ("JFK", "LAX")])
+    write(f"{folder}/csv", "2023_01.csv", HEADER, line(HEADER), line(HEADER, DEST="QQQ"))
+    write(f"{folder}/csv", "2023_02.csv", [csv.CARRIER], "ZZ")
+    (Path(folder) / "csv" / "2023_03.csv").mkdir()  # cannot be opened as a file
+    paths = csv.flight_files(spark, f"{folder}/csv")
+    for _ in range(2):
+        summary = load.load_all(spark, f"{folder}/airports.csv", paths, f"{folder}/lake", YEARS)
+    assert sorted(rows(summary), key=repr) == [
+        ("airlines", None, 2), ("airports", None, 2), ("delay_audit_log", None, 1), ("flights", "2023-01", 1), ("flights", None, 1),
+    ]
+    report = tables.read_current(spark, f"{folder}/lake", "load_report")
+    assert sorted(rows(report)) == [("2023_01.csv", 2, 0, 0, 1), ("2023_02.csv", 0, 0, 0, 1), ("2023_03.csv", 0, 0, 0, 1)]
+    assert len(tables.SUMMARIES) == tables.summary_counts(spark, f"{folder}/lake").count()
