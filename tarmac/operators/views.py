@@ -108,15 +108,30 @@ def airline_summary_from(fine: DataFrame, airlines: DataFrame) -> DataFrame:
     return _shape_airline_summary(m.roll_up(fine, ["airline_code"]), airlines)
 
 
-def delay_heatmap(flights: DataFrame) -> DataFrame:
-    """Weekday (0 = Sunday) by departure hour, over flown departures with a time."""
-    cells = m.measures(
+CELL = ("day_of_week", "hour_of_day")
+
+
+def heatmap_cells(flights: DataFrame, *keys: str) -> DataFrame:
+    """Measures by weekday (0 = Sunday) and departure hour, over flown departures with a time."""
+    return m.measures(
         flights.filter(f"{m.COMPLETED} AND dep_time IS NOT NULL"),
         [
+            *keys,
             "dayofweek(flight_date) - 1 AS day_of_week",
             "CAST(substring(dep_time, 1, 2) AS INT) AS hour_of_day",
         ],
     )
+
+
+def delay_heatmap(flights: DataFrame) -> DataFrame:
+    return _shape_heatmap(heatmap_cells(flights))
+
+
+def delay_heatmap_from(cells: DataFrame) -> DataFrame:
+    return _shape_heatmap(m.roll_up(cells, CELL))
+
+
+def _shape_heatmap(cells: DataFrame) -> DataFrame:
     return decimals_to_double(
         cells.selectExpr(
             "day_of_week",

@@ -751,7 +751,7 @@ def _build() -> dict[str, str]:
     q["stream_delay_audit"] = q["delay_audit"]
     q["stream_insert_flights"] = statement(f"""
         SELECT * FROM flights QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1""")
-    q["stream_refresh"] = q["mv_monthly_trend"]
+    q["stream_refresh"] = q["refresh_summaries"]
     return q
 
 

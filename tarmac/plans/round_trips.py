@@ -146,7 +146,7 @@ def stream_delay_audit(d: Data) -> DataFrame:
     root = _folder(d, "stream-audit")
     stream = jobs.flight_stream(d.spark, d.flights_path, files_per_batch=1000)
     jobs.stream_delay_audit(stream, f"{root}/audit", f"{root}/checkpoint").awaitTermination()
-    return d.spark.read.parquet(f"{root}/audit").drop("logged_at")
+    return tables.read_audit(d.spark, f"{root}/audit").drop("logged_at", "flight_month")
 
 
 def stream_insert_flights(d: Data) -> DataFrame:
@@ -161,9 +161,8 @@ def stream_insert_flights(d: Data) -> DataFrame:
 
 
 def stream_refresh(d: Data) -> DataFrame:
+    """All five summaries, rolled up from what the stream stored batch by batch."""
     root = _folder(d, "stream-refresh")
-    stream = jobs.flight_stream(d.spark, d.flights_path, files_per_batch=1000)
-    jobs.stream_refresh(
-        stream, d.flights_path, f"{root}/measures", f"{root}/checkpoint"
-    ).awaitTermination()
-    return jobs.live_monthly_trend(d.spark, f"{root}/measures", d.airlines)
+    stream = jobs.flight_stream(d.spark, d.flights_path, files_per_batch=6)
+    jobs.stream_refresh(stream, f"{root}/measures", f"{root}/checkpoint").awaitTermination()
+    return checked_summaries(jobs.live_summaries(d.spark, f"{root}/measures", d.airlines, d.airports))

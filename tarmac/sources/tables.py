@@ -113,6 +113,11 @@ def _write_months(rows: DataFrame, path: str, mode: str) -> None:
     )
 
 
+def append_months(rows: DataFrame, path: str) -> None:
+    """Add rows with a `flight_month` to a table by month."""
+    _write_months(rows, path, "append")
+
+
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
     """The schema is declared, so month names are never guessed to be dates."""
     return spark.read.schema(FLIGHTS_SCHEMA).parquet(path)

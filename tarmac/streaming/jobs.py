@@ -1,8 +1,7 @@
 """Structured Streaming jobs over the flights as they arrive.
 
-Each job can be stopped and started again from its checkpoint: the audit is a
-stateless append to an exactly-once file sink, and the two table jobs do only steps
-that give the same table when a batch is replayed.
+Each job can be stopped and started again from its checkpoint: all do only steps that
+give the same table when a batch is replayed.
 """
 
 from __future__ import annotations
@@ -16,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tarmac.functions import measures as m
 from tarmac.functions.dates import MONTH
 from tarmac.operators.audit import delay_audit
-from tarmac.operators.views import airline_summary_from, monthly_trend_from
-from tarmac.sources import tables
+from tarmac.operators import views
+from tarmac.sources import files, tables
+
+AUDIT_KEY = ["flight_id", "flight_date", "airline_code", "origin", "destination", "delay_minutes", "flight_month"]
 
 
 def flight_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -30,12 +31,22 @@ def flight_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 
 
 def stream_delay_audit(flights: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Audit rows of every arriving flight; the batch operator on a stream."""
+    """Audit rows of every arriving flight, added by month to an audit table in the batch layout.
+
+    Rows that the table has already are left out, so a replayed batch adds nothing, and the
+    table can be read, rebuilt and replaced by month like one that a load wrote.
+    """
+
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = delay_audit(batch, "flight_month")
+        if files.child_names(spark, sink):
+            touched = F.col("flight_month").isin(*tables.months_of(batch))
+            rows = rows.join(tables.read_audit(spark, sink).filter(touched), AUDIT_KEY, "left_anti")
+        tables.append_months(rows, sink)
+
     return (
-        delay_audit(flights)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", sink)
+        flights.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -67,49 +78,75 @@ def stream_insert_flights(
     )
 
 
-def month_measures(flights: DataFrame) -> DataFrame:
-    """Sums and counts by partition, month and airline."""
-    return m.measures(flights, ["flight_month", MONTH, "airline_code"])
+def _fine(flights: DataFrame) -> DataFrame:
+    """The grain that four summaries roll up from."""
+    return m.measures(flights, ["flight_month", MONTH, "airline_code", "origin", "destination"])
 
 
-def stream_refresh(
-    arrivals: DataFrame, table: str, measure_table: str, checkpoint: str
-) -> StreamingQuery:
-    """Keep the monthly measures up to date with a flights table.
+def _cells(flights: DataFrame) -> DataFrame:
+    return views.heatmap_cells(flights, "flight_month")
 
-    `arrivals` only tells which months changed. Those are computed afresh from the
-    table and their folders replaced; sums and counts are stored, never rounded
-    ratios. The months of a batch are collected: twelve per year at most.
-    """
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        touched = [r[0] for r in batch.select("flight_month").distinct().collect()]
-        stored = tables.read_flights(spark, table).filter(F.col("flight_month").isin(*touched))
+#: Measure tables of a stream: name and the measures of a batch.
+MEASURE_TABLES = {"fine": _fine, "cells": _cells}
+#: Stands for a batch number where a month was computed as a whole.
+WHOLE_MONTH = -1
+
+
+def _write_measures(flights: DataFrame, root: str, batch_id: int) -> None:
+    for name, measured in MEASURE_TABLES.items():
         (
-            month_measures(stored)
+            measured(flights)
+            .withColumn("batch", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("flight_month")
-            .parquet(measure_table)
+            .partitionBy("flight_month", "batch")
+            .parquet(f"{root}/{name}")
         )
 
+
+def stream_refresh(arrivals: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Keep additive measures up to date with arriving flights, enough for all five summaries.
+
+    A batch is read for its own sums only, which are stored by month and batch number: a
+    replayed batch overwrites itself, and no stored flight is read again. Sums and counts are
+    stored, never rounded ratios; readers roll them up. `recompute_months` folds a month into
+    one part, and follows a month that was replaced.
+    """
     return (
-        arrivals.writeStream.foreachBatch(refresh)
+        arrivals.writeStream.foreachBatch(lambda batch, n: _write_measures(batch, root, n))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_measures(spark: SparkSession, measure_table: str) -> DataFrame:
-    schema = month_measures(spark.createDataFrame([], tables.FLIGHTS_SCHEMA)).schema
-    return spark.read.schema(schema).parquet(measure_table)
+def recompute_months(spark: SparkSession, table: str, root: str, months: Iterable[str]) -> None:
+    """Measures of whole months from the flights table, in place of those by batch.
 
-
-def live_monthly_trend(spark: SparkSession, measure_table: str, airlines: DataFrame) -> DataFrame:
-    return monthly_trend_from(read_measures(spark, measure_table), airlines)
-
-
-def live_airline_summary(spark: SparkSession, measure_table: str, airlines: DataFrame) -> DataFrame:
-    return airline_summary_from(read_measures(spark, measure_table), airlines)
+    Run it while the stream stands still and has taken all that the table holds of the months.
+    """
+    months = list(months)
+    stored = tables.read_flights(spark, table).filter(F.col("flight_month").isin(*months))
+    for name in MEASURE_TABLES:
+        for month in months:
+            files.delete(spark, f"{root}/{name}/flight_month={month}")
+    _write_measures(stored, root, WHOLE_MONTH)
+
+
+def read_measures(spark: SparkSession, root: str, name: str = "fine") -> DataFrame:
+    measured = MEASURE_TABLES[name](spark.createDataFrame([], tables.FLIGHTS_SCHEMA))
+    schema = measured.withColumn("batch", F.lit(0).cast("bigint")).schema
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def live_summaries(spark: SparkSession, root: str, airlines: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:
+    """The five summaries as the stream has them now."""
+    fine = read_measures(spark, root)
+    return {
+        "airline_summary": views.airline_summary_from(fine, airlines),
+        "delay_heatmap": views.delay_heatmap_from(read_measures(spark, root, "cells")),
+        "top_routes": views.top_routes_from(fine, airports),
+        "monthly_trend": views.monthly_trend_from(fine, airlines),
+        "route_performance": views.route_performance_from(fine, airlines),
+    }

@@ -16,11 +16,13 @@ def test_audit_stream_in_many_batches_equals_batch(spark, data, folder):
     query = jobs.stream_delay_audit(stream, f"{folder}/audit", f"{folder}/check")
     query.awaitTermination()
     assert len(query.recentProgress) >= 12
-    got = spark.read.parquet(f"{folder}/audit")
-    assert sorted(rows(got)) == sorted(rows(delay_audit(data.flights)))
+    got = tables.read_audit(spark, f"{folder}/audit")
+    assert sorted(rows(got)) == sorted(rows(delay_audit(data.flights, "flight_month")))
+    replayed = jobs.stream_delay_audit(jobs.flight_stream(spark, data.flights_path), f"{folder}/audit", f"{folder}/other")
+    replayed.awaitTermination()
     again = jobs.stream_delay_audit(jobs.flight_stream(spark, data.flights_path), f"{folder}/audit", f"{folder}/check")
     again.awaitTermination()  # nothing new since the checkpoint
-    assert spark.read.parquet(f"{folder}/audit").count() == got.count()
+    assert tables.read_audit(spark, f"{folder}/audit").count() == delay_audit(data.flights).count()
 
 
 def test_insert_stream_ignores_repeats_however_late(spark, flights_of, folder):
@@ -34,22 +36,35 @@ def test_insert_stream_ignores_repeats_however_late(spark, flights_of, folder):
     assert tables.read_flights(spark, f"{folder}/t").count() == 4
 
 
-def test_refresh_stream_follows_the_table(spark, data, flights_of, folder):
+def test_refresh_stream_follows_the_table(spark, data, folder):
     table, measures = f"{folder}/t", f"{folder}/m"
     half = data.flights.filter(F.col("id") % 2 == 0).drop("flight_month")
     tables.write_flights(half, table, YEARS)
 
-    def refresh():
+    def refresh(checkpoint="check"):
         jobs.stream_refresh(
-            jobs.flight_stream(spark, table, files_per_batch=1), table, measures, f"{folder}/check"
+            jobs.flight_stream(spark, table, files_per_batch=4), measures, f"{folder}/{checkpoint}"
         ).awaitTermination()
+
+    def check():
         flights = tables.read_flights(spark, table)
-        for live, direct in (
-            (jobs.live_monthly_trend, views.monthly_trend), (jobs.live_airline_summary, views.airline_summary),
-        ):
-            got = live(spark, measures, data.airlines)
-            assert sorted(rows(got), key=repr) == sorted(rows(direct(flights, data.airlines)), key=repr)
+        direct = {
+            "airline_summary": views.airline_summary(flights, data.airlines),
+            "delay_heatmap": views.delay_heatmap(flights),
+            "top_routes": views.top_routes(flights, data.airports),
+            "monthly_trend": views.monthly_trend(flights, data.airlines),
+            "route_performance": views.route_performance(flights, data.airlines),
+        }
+        for name, live in jobs.live_summaries(spark, measures, data.airlines, data.airports).items():
+            assert sorted(rows(live), key=repr) == sorted(rows(direct[name]), key=repr), name
 
     refresh()
+    refresh("replayed")  # all batches again
+    check()
     tables.write_flights(data.flights.filter(F.col("id") % 2 == 1).drop("flight_month"), table, YEARS)
     refresh()
+    check()
+    march = tables.read_flights(spark, table).filter("flight_month = '2023-03' AND distance_miles < 900").drop("flight_month")
+    tables.replace_month(march, table, "2023_03.csv", YEARS, order=("id",))
+    jobs.recompute_months(spark, table, measures, ["2023-03"])
+    check()
