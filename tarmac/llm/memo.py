@@ -10,7 +10,7 @@ import re
 import struct
 import sys
 
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 500_000
 #: Longer words are encoded each time, so that the memo stays small in bytes too.
 MEMO_WORD = 60
 _tokenizers: dict[tuple[str, str], object] = {}
