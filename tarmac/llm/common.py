@@ -63,6 +63,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def hash_sample(rows: DataFrame, most: int, *keys) -> DataFrame:
+    """About `most` of the rows, or all if there are no more, by a limit on the hash of their keys.
+
+    The limit follows from the number of rows, so that nothing is sorted or gathered, and the
+    sample is the same on every run.
+    """
+    share = min(1.0, most / max(1, rows.count()))
+    return rows.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def text_rows(docs: DataFrame, *others: str) -> DataFrame:
     """doc_id, text (null as empty) and further columns; what else a table holds is left out."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *others)

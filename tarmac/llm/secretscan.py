@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import table, text_rows
+from tarmac.llm.common import hash_sample, table, text_rows
 
 ASSIGN = (
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -77,13 +77,13 @@ def labelled_samples(docs: DataFrame, ordinary_docs: int = ORDINARY_DOCS) -> tup
     """Random strings and ordinary identifiers (column value), labelled by the fixed patterns.
 
     Random: the secrets that the patterns find, in all documents. Ordinary: the words of
-    `ordinary_docs` documents, picked by hash, with those secrets cut out.
+    about `ordinary_docs` documents, picked by hash, with those secrets cut out.
     """
     rows = text_rows(docs)
     found = rows.select(F.explode(base_spans(F.col("text"))).alias("s"))
     # a password may be a plain word: only values with a digit count as random strings
     random = found.select(secret_value(F.col("s")).alias("value")).filter("value rlike '[0-9]'")
-    picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(ordinary_docs)
+    picked = hash_sample(rows, ordinary_docs, "doc_id", "text")
     clean = picked.select(
         F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ").alias("text")
     )
