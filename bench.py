@@ -4,7 +4,7 @@ Method: the flights are loaded once (timed as `load`), every query then runs onc
 warm up and is timed over three runs, of which the mean counts. Queries are executed in
 full (results go to the no-op sink), not merely planned. Two more entries answer the
 published figures for the airline summary: `airline_summary_7m`, the direct aggregate over
-seven million flights (the loaded ones repeated), and `airline_summary_stored`, the same
+seven million flights (the loaded ones repeated under other numbers), and `airline_summary_stored`, the same
 result collected from the stored summary table.
 """
 
@@ -27,12 +27,10 @@ PUBLISHED_ROWS = 7_000_000
 # Each of these performs a load, a refresh or a stream per call: timed once, after the rest.
 ONCE = (
     "load_flights", "refresh_summaries", "stream_delay_audit", "stream_insert_flights",
-    "stream_refresh",
-)
-SKIPPED = (
-    "read_flights_csv", "read_airports_csv", "write_flights", "replace_month",
-    "q1_out_of_range_dirty", "q2_duplicate_keys_dirty",
+    "stream_refresh", "read_flights_csv", "read_airports_csv", "write_flights", "replace_month",
+    "g4_airport_clusters",
 )
+SKIPPED = ("q1_out_of_range_dirty", "q2_duplicate_keys_dirty", "q4_audit_coverage_dirty")
 
 
 def execute(name: str, data: Data) -> float:
@@ -52,7 +50,10 @@ def timed(action: Callable[[], object]) -> float:
 
 def airline_summary_times(data: Data, rows: int) -> dict[str, float]:
     copies = -(-PUBLISHED_ROWS // max(rows, 1))
-    repeated = data.plain_flights.selectExpr("*", f"explode(sequence(1, {copies})) AS copy")
+    numbered = data.plain_flights.selectExpr("*", f"explode(sequence(1, {copies})) AS copy")
+    repeated = numbered.selectExpr(
+        "* EXCEPT (id, flight_number)", f"id * {copies} + copy AS id", "concat(flight_number, '-', copy) AS flight_number"
+    )
     path = f"{data.root}/repeated"
     tables.write_flights(repeated, path, YEARS, mode="overwrite")
     root = f"{data.root}/stored"
