@@ -25,9 +25,11 @@ WORDS = 5
 SKETCH = 1 << 20
 SKETCH_PARTS = 64
 #: Incidences gathered by one column block, and the tile size at which a map task hands on.
-BLOCK = 1_000_000
+BLOCK = 500_000
 #: Columns that the sketch puts above this are dealt over all blocks.
 HOT_COLUMN = 50_000
+#: In columns of up to so many rows, rows without a possible partner are left out at once.
+SHORT_COLUMN = 64
 #: Rows of one column compared in one task at once, and rows of a task in that step.
 CHUNK, TASK_ROWS = 2000, 40_000
 SIGNATURE_BITS = 512
@@ -193,8 +195,20 @@ def _may_link(na, i, nb, j):
 _SHARED = "h long, lo long, n long, pos long, pivot long, ok boolean"
 
 
+def _with_partner(column: np.ndarray, long: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Rows that the bounds let link with another row of their column; all rows of long columns."""
+    found, at = long.copy(), np.flatnonzero(~long)
+    for d in range(1, SHORT_COLUMN):
+        at = at[at + d < len(column)]
+        at = at[column[at] == column[at + d]]
+        to = at + d
+        may = _may_link(n[at], pos[at], n[to], pos[to])
+        found[at[may]] = found[to[may]] = True
+    return found
+
+
 def _multiply(key: tuple, tiles: pa.Table) -> pa.Table:
-    """One column block: the columns with two rows or more, and in each the pair of every row with a pivot.
+    """One column block: the rows that may link with another of their column, and the pair of each with a pivot.
 
     The pivot is the row of smallest priority, the same in all columns that it stands in, so
     that a group of near copies is drawn together by few pairs.
@@ -211,7 +225,8 @@ def _multiply(key: tuple, tiles: pa.Table) -> pa.Table:
     starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
     sizes = np.diff(np.append(starts, len(h)))
     pivot = np.repeat(starts, sizes)
-    wanted = np.repeat(sizes > 1, sizes) | (key[0].as_py() < 0)
+    wanted = _with_partner(np.repeat(np.arange(len(starts)), sizes), np.repeat(sizes > SHORT_COLUMN, sizes), n, pos)
+    wanted |= key[0].as_py() < 0
     ok = _may_link(n, pos, n[pivot], pos[pivot]) & (lo != lo[pivot])
     return pa.table({
         "h": h.view(np.int64)[wanted], "lo": lo[wanted], "n": n[wanted], "pos": pos[wanted],

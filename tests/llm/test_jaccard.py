@@ -55,7 +55,7 @@ def test_query_equals_brute_force(spark):
 @pytest.fixture
 def small_blocks(monkeypatch):
     """So small that every column is hot, dealt over blocks, cut into chunks and compared in many tasks."""
-    for name, value in {"BLOCK": 200, "HOT_COLUMN": 3, "CHUNK": 4, "TASK_ROWS": 50}.items():
+    for name, value in {"BLOCK": 200, "HOT_COLUMN": 3, "CHUNK": 4, "TASK_ROWS": 50, "SHORT_COLUMN": 3}.items():
         monkeypatch.setattr(jaccard, name, value)
 
 
