@@ -7,9 +7,10 @@ import re
 from pyspark.sql import functions as F
 
 from tarmac.llm import pii, secretscan
-from tests.conftest import SF_DIR
 from tests.llm.conftest import by_id
 
+SF_DIR = "/root/testdata/sf0.01"  # the smallest one holds too few
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
 
