@@ -76,6 +76,11 @@ def signature(shingles: np.ndarray) -> bytes:
     return np.packbits((cells & 1).astype(np.uint8)).tobytes()
 
 
+def _texts(batch: pa.RecordBatch):
+    """One text at a time, as a batch of long ones is large."""
+    return (text.as_py() for text in batch.column("text"))
+
+
 _SETS = "doc_id {}, content long, lo long, hi long, n long, sig binary, task int, part int, counts binary"
 
 
@@ -95,7 +100,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
         id_type = None
         for batch in batches:
             id_type, rows, seen, size = batch.schema.field("doc_id").type, [], [], 0
-            for text in batch.column("text").to_pylist():
+            for text in _texts(batch):
                 shingles = shingle_set(text)
                 seen.append(shingles)
                 rows.append((*set_digest(shingles), len(shingles), signature(shingles)))
@@ -152,7 +157,7 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         counters = held.value
         seen, parts, size = set(), [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
+            for text in _texts(batch):
                 shingles = shingle_set(text)
                 n = len(shingles)
                 lo = set_digest(shingles)[0]
@@ -236,7 +241,7 @@ def _multiply(key: tuple, tiles: pa.Table) -> pa.Table:
 def _whole_sets(batches):
     for batch in batches:
         rows = []
-        for text in batch.column("text").to_pylist():
+        for text in _texts(batch):
             shingles = shingle_set(text)
             rows.append((set_digest(shingles)[0], shingles.tobytes()))
         yield pa.RecordBatch.from_arrays(
