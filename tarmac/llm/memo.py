@@ -1,6 +1,7 @@
 """Per-worker tokenizer state: loaded once per Python worker and reused by its tasks.
 
-The memos hold the encodings of single words. They are bounded: a full memo is emptied.
+The memos hold the encodings of single words. They are bounded: a full memo takes no more
+words, and is emptied when it no longer knows most of the words that come.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import re
 import struct
 import sys
 
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 #: Longer words are encoded each time, so that the memo stays small in bytes too.
 MEMO_WORD = 60
 _tokenizers: dict[tuple[str, str], object] = {}
@@ -32,12 +33,14 @@ class Memo(dict):
         """The encodings of these words; those that are not known yet are encoded once and kept."""
         new = list(words.difference(self))
         found = {word: self[word] for word in words if word in self}
-        if len(self) + len(new) > MEMO_ENTRIES:
+        if len(self) >= MEMO_ENTRIES and len(new) > 0.8 * len(words):
             self.clear()
+        room = MEMO_ENTRIES - len(self)
         for i in range(0, len(new), 5000):
             part = dict(zip(new[i:i + 5000], self.encode_words(new[i:i + 5000])))
             found.update(part)
-            self.update((w, e) for w, e in part.items() if len(w) <= MEMO_WORD)
+            if i < room:
+                self.update((w, e) for w, e in part.items() if len(w) <= MEMO_WORD)
         return found
 
 
@@ -114,7 +117,7 @@ def worker_tokenizer(kind: str, path: str):
     return _tokenizers[key]
 
 
-def chunks(texts: list[str], most: int = 4_000_000):
+def chunks(texts: list[str], most: int = 2_000_000):
     """Runs of texts of about so many characters at most, so that memory doesn't follow the batch."""
     run, size = [], 0
     for text in texts:
