@@ -15,6 +15,8 @@ STATE_STORE = {
     # one bound for all stores of an executor, however many partitions it holds
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # many small stores would each set megabytes of disk aside
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 FEED = "key string, doc_id {}, n_chars long, text_sha256 string, locator string"
 
