@@ -29,10 +29,16 @@ def _joined(docs: DataFrame, chosen: DataFrame, keys: tuple[str, ...], how: str)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go. A doc_id goes if any of its rows is rejected."""
-    found = classify_quality(docs, table(spark, sf_dir, "labels"))
-    rejected = written(found.filter("NOT kept").select("doc_id").distinct(), work_folder(spark, "rejected"), "ids")
-    return _joined(docs, rejected, ("doc_id",), "left_anti")
+    """Documents that the quality classifier rejects go.
+
+    A verdict holds for rows of equal doc_id (null too), language and text, not for others of that doc_id.
+    """
+    # hashes, as ids beside nulls turn into floating-point numbers in pandas
+    keys = ("__id", "__content")
+    keyed = docs.withColumns({"__id": F.xxhash64("doc_id"), "__content": F.xxhash64("lang", "text")})
+    found = classify_quality(keyed, table(spark, sf_dir, "labels"), carry=keys)
+    rejected = written(found.filter("NOT kept").select(*keys).distinct(), work_folder(spark, "rejected"), "ids")
+    return _joined(keyed, rejected, keys, "left_anti").select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +54,22 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the smallest doc_id stays; documents without words all stay."""
-    found = jaccard_components(docs)
-    gone = written(
-        found.filter("NOT doc_id <=> component_id").select("doc_id").distinct(), work_folder(spark, "gone"), "ids")
-    return _joined(docs, gone, ("doc_id",), "left_anti")
+    """Of each group of linked documents one stays, the smallest by doc_id (nulls last) and hash of the text.
+
+    Of rows that repeat its doc_id and text, one stays. Documents without words all stay.
+    """
+    keys, folder = ("doc_id", "__content"), work_folder(spark, "near")
+    keyed = docs.withColumn("__content", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = written(
+        jaccard_components(docs, with_first=True).withColumnRenamed("content", "__content").filter("n_shingles > 0")
+        .groupBy(*keys, "first").agg(F.count("*").alias("rows")), folder, "found")
+    kept = _joined(keyed, found.filter("NOT first"), keys, "left_anti")
+    repeated = found.filter("first AND rows > 1")
+    # after the exact stage there are none
+    if not repeated.isEmpty():
+        once = _joined(kept, repeated, keys, "left_semi").dropDuplicates([*keys])
+        kept = _joined(kept, repeated, keys, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

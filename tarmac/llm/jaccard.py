@@ -362,8 +362,11 @@ def remaining_pairs(shared: DataFrame, labels: DataFrame, classes: DataFrame, fo
     return rows.withColumn("task", F.pmod(F.xxhash64("h", "p", "q"), F.lit(tasks))).groupBy("task").applyInArrow(_compare, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id.
+def jaccard_components(docs: DataFrame, with_first: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id; with_first: also content and first.
+
+    content is the 64-bit hash of the text, first tells whether the row has the smallest
+    (doc_id, content) of its component, null ids last; repeated rows have it alike.
 
     Documents with equal sets are one row of the matrix. Groups of near copies are first drawn
     together by pairs with pivots; then every pair of different components that shares a
@@ -406,16 +409,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ends = ends.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
     joined = components(ends, folder, "joined").select(F.col("id").alias("comp"), F.col("comp").alias("whole"))
     # sets in neither table of labels are components of their own
-    sizes = rows.groupBy("lo").agg(F.min("doc_id").alias("first_id"))
+    sizes = rows.groupBy("lo").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("head"))
     named = (
         sizes.join(comp.withColumnRenamed("id", "lo"), "lo", "left").withColumn("comp", F.coalesce("comp", "lo"))
-        .join(joined, "comp", "left").select("lo", "first_id", F.coalesce("whole", "comp").alias("whole"))
+        .join(joined, "comp", "left").select("lo", "head", F.coalesce("whole", "comp").alias("whole"))
     )
     named = written(named, folder, "named-sets")
-    smallest = named.groupBy("whole").agg(F.min("first_id").alias("component_id"))
-    by_set = written(named.join(smallest, "whole").select("lo", "component_id"), folder, "components")
-    found = rows.join(by_set, "lo").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    smallest = named.groupBy("whole").agg(F.min("head").alias("head"))
+    by_set = written(named.drop("head").join(smallest, "whole").select("lo", "head"), folder, "components")
+    first = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("content") == F.col("head.content"))
+    more = ("content", first.alias("first")) if with_first else ()
+    found = rows.join(by_set, "lo").select("doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), *more)
+    more = ("content", F.lit(True).alias("first")) if with_first else ()
+    alone = members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *more)
     return found.unionByName(alone)
 
 
