@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, exact, fingerprints, jaccard, mixing, packing, pii, quality, secretscan, tokens
+from tarmac.llm import chat, exact, fingerprints, infilling, jaccard, mixing, packing, pii, quality, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_jaccard": jaccard.op8_jaccard,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
+    "op12_fill_in_middle": infilling.op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact.OP3_SQL,
     "op10_chat_format": chat.OP10_SQL,
+    "op12_fill_in_middle": infilling.OP12_SQL,
 }
