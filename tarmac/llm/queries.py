@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, exact, fingerprints, infilling, jaccard, mixing, packing, pii, quality, secretscan, tokens
+from tarmac.llm import chat, collocations, exact, fingerprints, infilling, jaccard, mixing, packing, pii, quality, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
     "op12_fill_in_middle": infilling.op12_fill_in_middle,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact.OP3_SQL,
     "op10_chat_format": chat.OP10_SQL,
     "op12_fill_in_middle": infilling.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
