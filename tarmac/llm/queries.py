@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, collocations, exact, fingerprints, infilling, jaccard, mixing, packing, pii, quality, secretscan, tokens
+from tarmac.llm import chat, collocations, exact, fingerprints, infilling, jaccard, minhash, mixing, packing, pii, quality, secretscan, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_jaccard": jaccard.op8_jaccard,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_minhash": minhash.op11_minhash,
     "op12_fill_in_middle": infilling.op12_fill_in_middle,
     "op13_collocations": collocations.op13_collocations,
 }

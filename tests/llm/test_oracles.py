@@ -15,5 +15,5 @@ def test_equals_oracle(spark, name):
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {"pipeline", *QUERIES} <= set(entry.queries())
