@@ -6,6 +6,8 @@ distances come in afterwards, on the reduced rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,6 +132,58 @@ def airports_within(
     return head(nearby.orderBy(F.expr("avg_arr_delay").desc_nulls_first(), "iata_code"), top)
 
 
+#: Least and largest radius of a sphere that is used for bounds, in metres, and the slack put on them.
+_POLE_RADIUS_M, _SLACK = 6_356_752.0, 1.01
+
+
+def _grid_cells(lat: str, radius_m: float) -> str:
+    """How many cells the latitude band of a point is cut into around the globe.
+
+    A cell is as wide as two points of this band or the next ones can lie apart in longitude
+    within the radius: by the haversine, the sine of half of it is that of half the angle of the
+    radius over the cosine of the highest latitude. Around a pole one cell holds all.
+    """
+    height = radius_m / 110_000.0
+    edge = f"(floor(({lat} + 90) / {height!r}D) * {height!r}D - 90)"
+    highest = f"least(90D, greatest(abs({edge} - {height!r}D), abs({edge} + {2 * height!r}D)) + 0.3D)"
+    share = f"({math.sin(min(math.pi / 2, _SLACK * radius_m / (2 * _POLE_RADIUS_M)))!r}D / greatest(1e-9D, cos(radians({highest}))))"
+    width = f"degrees(2 * asin(least(1D, {share})))"
+    return f"CAST(greatest(1D, floor(360D / {width})) AS INT)"
+
+
+def pairs_within(centres: DataFrame, points: DataFrame, radius_m: float) -> DataFrame:
+    """Pairs of a centre and a point (columns code, lon, lat) not farther apart than the radius: centre, point, metres.
+
+    An equi-join on grid cells: a point lies in one cell, a centre asks for those around its own
+    in three bands of latitude, over the antimeridian too; only pairs that meet in a cell are
+    measured. Rows without a location pair with nothing.
+    """
+    height = radius_m / 110_000.0
+    cell = "CAST(least(floor((lon + 180) / 360 * _cells), _cells - 1) AS INT)"
+    located = "lon IS NOT NULL AND lat IS NOT NULL"
+    band = f"CAST(floor((lat + 90) / {height!r}D) AS INT)"
+    placed = points.filter(located).selectExpr(
+        "code AS point", "lon AS point_lon", "lat AS point_lat", "lon", f"{band} AS band", f"{_grid_cells('lat', radius_m)} AS _cells"
+    ).selectExpr("* EXCEPT (lon, _cells)", f"{cell} AS cell")
+    asked = centres.filter(located).selectExpr("code AS centre", "lon", "lat", f"explode(sequence({band} - 1, {band} + 1)) AS band")
+    # a latitude in the middle of the band that is asked
+    asked = asked.selectExpr("*", f"{_grid_cells(f'((band + 0.5D) * {height!r}D - 90)', radius_m)} AS _cells").selectExpr(
+        "centre", "lon", "lat", "band",
+        f"explode(array_distinct(transform(array(-1, 0, 1), i -> pmod({cell} + i, _cells)))) AS cell")
+    metres = geo.distance_m("lon", "lat", "point_lon", "point_lat")
+    return asked.join(placed, ["band", "cell"]).selectExpr("centre", "point", f"{metres} AS metres").filter(
+        f"metres <= {float(radius_m)!r}D")
+
+
+def airports_around_each(airports: DataFrame, radius_m: float = 300_000) -> DataFrame:
+    """Per located airport with another one in reach: how many there are, and the nearest (equals by code)."""
+    places = _located(airports).selectExpr("iata_code AS code", "lon", "lat")
+    near = pairs_within(places, places, radius_m).filter("centre <> point")
+    return near.groupBy(F.col("centre").alias("iata_code")).agg(
+        F.expr("count(1) AS airports_near"), F.expr("min(struct(metres, point)) AS _nearest")
+    ).selectExpr("iata_code", "airports_near", "_nearest.point AS nearest", f"{_km('_nearest.metres')} AS nearest_km")
+
+
 def short_route_delay(
     flights: DataFrame, airports: DataFrame, start: str, end: str, top: int | None = TOP_ROUTES
 ) -> DataFrame:
@@ -170,7 +224,7 @@ def _means(clustered: DataFrame) -> list[tuple]:
         F.expr(f"CAST(round(sum(lon_d) / count(1), 8) AS {_POINT}) AS lon"),
         F.expr(f"CAST(round(sum(lat_d) / count(1), 8) AS {_POINT}) AS lat"),
     )
-    return [(r["lon"], r["lat"]) for r in by.orderBy("cluster_id").collect()]
+    return [(r["lon"], r["lat"]) for r in sorted(by.collect(), key=lambda r: r["cluster_id"])]
 
 
 def _assigned(points: DataFrame, centres: list[tuple]) -> DataFrame:
@@ -187,7 +241,8 @@ def cluster_airports(
     The start is fixed: the airport farthest from the mean of all, then k - 1 times the one
     farthest from those chosen, equals by code. Rounds of assignment and means follow until no
     centre moves. All on exact decimals, so that the result does not depend on the order of
-    summation; only the k centres come to the driver. With fewer airports than k, each place is
+    summation; only the k centres come to the driver. The table is read in every round, so it had
+    better be a stored one. Centres that still move after `rounds` raise an error. With fewer airports than k, each place is
     chosen once and the clusters are fewer.
     """
     located = _located(airports)
@@ -200,11 +255,11 @@ def cluster_airports(
     for _ in range(k):
         near = ", ".join(_squared(lon, lat) for lon, lat in centres or from_all)
         nearest = f"array_min(array({near}))"
-        far = points.selectExpr("lon_d", "lat_d", "iata_code", f"{nearest} AS d").orderBy(F.desc("d"), "iata_code")
-        best = far.limit(1).collect()
-        if not best or (centres and best[0]["d"] == 0):
+        far = points.selectExpr("lon_d", "lat_d", "iata_code", f"-{nearest} AS less")
+        best = far.agg(F.expr("min(struct(less, iata_code, lon_d, lat_d)) AS best")).collect()[0]["best"]
+        if best is None or (centres and best["less"] == 0):
             break
-        centres.append((best[0]["lon_d"], best[0]["lat_d"]))
+        centres.append((best["lon_d"], best["lat_d"]))
     if not centres:
         return points.drop("lon_d", "lat_d")
     for _ in range(rounds):
@@ -212,6 +267,8 @@ def cluster_airports(
         if moved == centres:
             break
         centres = moved
+    else:
+        raise RuntimeError(f"the centres still move after {rounds} rounds")
     return _assigned(points, centres).drop("lon_d", "lat_d")
 
 

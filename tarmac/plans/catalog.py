@@ -11,7 +11,7 @@ from tarmac.operators import ingest, kpi, quality, reports, spatial, views, wind
 from tarmac.operators.audit import delay_audit
 from tarmac.plans import round_trips
 from tarmac.plans.data import YEAR, YEARS, Data
-from tarmac.sources import tables
+from tarmac.sources import footers, tables
 
 Query = Callable[[Data], DataFrame]
 
@@ -37,11 +37,8 @@ def _inserted(d: Data) -> DataFrame:
 
 
 def _ingest_constraints(d: Data) -> DataFrame:
-    checked = _checked(d).filter("is_valid")
-    return checked.groupBy("reject_reason").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("source_row") % 1000).alias("row_check"),
-    )
+    """Every parsed row with what it breaks; NULL for the good ones."""
+    return _checked(d).filter("is_valid").drop("is_valid", "source_block")
 
 
 def _ingest_flights(d: Data) -> DataFrame:
@@ -107,6 +104,10 @@ def _load_summary(d: Data) -> DataFrame:
     return tables.load_summary(d.airports, d.airlines, d.flights, d.audit)
 
 
+def _insert_filtered(d: Data) -> DataFrame:
+    return round_trips.insert_flights_filtered(d, _insertable(d), _existing(d)).drop("source_block")
+
+
 CATALOG: dict[str, Query] = {
     # sources, sinks and tables
     "read_flights_csv": round_trips.read_flights_csv,
@@ -116,6 +117,7 @@ CATALOG: dict[str, Query] = {
     "upsert_airports": _upsert_airports,
     "upsert_airlines": _upsert_airlines,
     "insert_flights": lambda d: _inserted(d).drop("source_block"),
+    "insert_flights_filtered": _insert_filtered,
     "load_summary": _load_summary,
     "file_stats": _file_stats,
     "load_flights": round_trips.load_flights,
@@ -124,6 +126,9 @@ CATALOG: dict[str, Query] = {
     "summary_counts": lambda d: tables.summary_counts(d.spark, d.summaries),
     "partition_stats": _partition_stats,
     "partition_for_date": _partition_for_date,
+    "partition_rows_footers": lambda d: footers.partition_rows(round_trips.footer_stats(d), YEARS),
+    "month_distribution_footers": lambda d: footers.month_distribution(round_trips.footer_stats(d)),
+    "count_year_footers": lambda d: footers.count_whole_months(round_trips.footer_stats(d), *YEAR),
     # ingest
     "ingest_flights": _ingest_flights,
     "ingest_constraints": _ingest_constraints,
@@ -132,7 +137,11 @@ CATALOG: dict[str, Query] = {
     "search_tokens_airports": _search_tokens_airports,
     "search_tokens_airlines": _search_tokens_airlines,
     "search_index": _search_index,
+    "search_all_words": lambda d: round_trips.search(d, ["blue", "Brand"]),
+    "search_any_word": lambda d: round_trips.search(d, ["hot", "air", "lines"], every=False),
+    "search_prefix": lambda d: round_trips.search(d, ["brand", "b"], prefix=True),
     "delete_airports": _delete_airports,
+    "deleted_airports": round_trips.deleted_airports,
     "delay_audit": _audit_without_stamp,
     # parameterised KPIs
     "airline_score": lambda d: kpi.airline_score(d.flights, "AA", *YEAR),
@@ -166,8 +175,9 @@ CATALOG: dict[str, Query] = {
     "g1_airport_distances": lambda d: spatial.hub_distances(d.flights, d.airports),
     "g2_busiest_routes": lambda d: spatial.busiest_routes(d.flights, d.airports),
     "g3_airports_within": lambda d: spatial.airports_within(d.flights, d.airports, *YEAR),
+    "g3_airports_around_each": lambda d: spatial.airports_around_each(d.stored_airports),
     "g4_airport_clusters": lambda d: spatial.airport_clusters(
-        d.flights, d.upserted_airports, *YEAR, country=None
+        d.flights, d.stored_airports, *YEAR, country=None
     ),
     "g5_short_route_delay": lambda d: spatial.short_route_delay(d.flights, d.airports, *YEAR),
     # quality checks
@@ -203,7 +213,9 @@ CATALOG: dict[str, Query] = {
     # streams
     "stream_delay_audit": round_trips.stream_delay_audit,
     "stream_insert_flights": round_trips.stream_insert_flights,
+    "stream_insert_recent": round_trips.stream_insert_recent,
     "stream_refresh": round_trips.stream_refresh,
+    "stream_refresh_corrected": round_trips.stream_refresh_corrected,
 }
 
 

@@ -90,11 +90,15 @@ class Data:
 
     @property
     def audit(self) -> DataFrame:
-        """The stored audit table, written once from the flights as a load does."""
-        path = f"{self.root}/audit"
+        """The stored audit table, written once from the flights as a load does.
+
+        Months are overwritten one by one, which leaves no mark of success, so it is marked here.
+        """
+        path, mark = f"{self.root}/audit", f"{self.root}/audit_stored"
         with _lock:
-            if not files.exists(self.spark, f"{path}/_SUCCESS"):
+            if not files.exists(self.spark, mark):
                 rebuild_audit(self.spark, self.flights_path, path, months_of(self.flights))
+                files.make_folder(self.spark, mark)
         return read_audit(self.spark, path)
 
     @property
@@ -120,6 +124,14 @@ class Data:
         """The fixed airports with the listing put in."""
         return upsert(self.airports, self.listed_airports.select(*self.airports.columns))
 
+    @property
+    def stored_airports(self) -> DataFrame:
+        """The upserted airports as a stored table, for what reads them again and again."""
+        with _lock:
+            if current_path(self.spark, self.root, "airports") is None:
+                publish(self.upserted_airports, self.root, "airports")
+        return read_current(self.spark, self.root, "airports")
+
     @property
     def dirty_flights(self) -> DataFrame:
         return self._sql(fixtures.DIRTY_FLIGHTS, flights=self.plain_flights)

@@ -49,10 +49,11 @@ ON_TIME = share(PUNCTUAL, FLOWN)
 CANCELLED = share(n("cancelled"), "count(*)")
 
 
-def statement(body: str, *extra: str) -> str:
-    """A query over flights, airports, airlines and more CTEs given as `name AS (...)`."""
+def statement(body: str, *extra: str, flights: str = "SELECT * FROM derived") -> str:
+    """A query over flights, airports, airlines and more CTEs given as `name AS (...)`; `flights` may change the derived ones."""
     parts = [
-        f"flights AS ({fixtures.duckdb_sql(fixtures.FLIGHTS)})",
+        f"derived AS ({fixtures.duckdb_sql(fixtures.FLIGHTS)})",
+        f"flights AS ({flights})",
         f"airports AS ({fixtures.AIRPORTS})",
         f"airlines AS ({fixtures.AIRLINES})",
         *extra,
@@ -449,6 +450,53 @@ def _delay_causes() -> str:
     FROM minutes GROUP BY delay_cause"""
 
 
+#: Per summary: its CTE, its keys, its measures that are numbers and those that are not.
+TALL = {
+    "airline_summary": ("airline_summary", "airline_code", (
+        "total_flights completed_flights cancelled_flights on_time_pct avg_arr_delay_min avg_dep_delay_min "
+        "cancellation_rate severe_delay_count"), "airline_name data_from data_to"),
+    "delay_heatmap": ("heatmap", "day_of_week, hour_of_day", "flight_count avg_arr_delay avg_dep_delay delay_rate_pct", ""),
+    "top_routes": ("routes", "origin, destination", (
+        "origin_lon origin_lat dest_lon dest_lat total_flights completed_flights avg_arr_delay avg_distance_miles "
+        "on_time_pct cancellation_rate"), "origin_name dest_name origin_city dest_city"),
+    "monthly_trend": ("monthly_trend", "month, airline_code", (
+        "total_flights avg_arr_delay on_time_pct cancellation_rate total_carrier_delay_min total_weather_delay_min "
+        "total_nas_delay_min total_late_aircraft_delay_min"), "airline_name"),
+    "route_performance": ("route_performance", "origin, destination, airline_code", (
+        "total_flights avg_arr_delay on_time_pct cancellation_rate"), "airline_name"),
+}
+SUMMARY_TABLES = (AIRLINE_SUMMARY, HEATMAP, TOP_ROUTES, MONTHLY_TREND, ROUTE_PERFORMANCE)
+
+
+def _tall() -> str:
+    """Every value of the five summaries: summary, key, measure and the value as a number or as text."""
+    parts = []
+    for name, (table, keys, numbers, texts) in TALL.items():
+        values = [f"{{'m': '{c}', 'v': CAST({c} AS DOUBLE), 't': CAST(NULL AS VARCHAR)}}" for c in numbers.split()]
+        values += [f"{{'m': '{c}', 'v': CAST(NULL AS DOUBLE), 't': CAST({c} AS VARCHAR)}}" for c in texts.split()]
+        parts.append(f"""
+          SELECT summary_name, key, u.m AS measure, u.v AS value, u.t AS text FROM (
+            SELECT '{name}' AS summary_name, concat_ws('|', {keys}) AS key, unnest([{", ".join(values)}]) AS u FROM {table})""")
+    return " UNION ALL ".join(parts)
+
+
+def _search(matches: str, wanted: str = "") -> str:
+    """Codes by the words that they answer, numbered by `matches`."""
+    return f"""
+        , postings AS (
+          SELECT unnest({AIRPORT_TOKENS}) AS token, 'airport' AS entity, iata_code AS code FROM listed
+          UNION ALL SELECT unnest({CARRIER_TOKENS}), 'airline', iata_code FROM carriers),
+        answered AS (SELECT entity, code, unnest(list_filter([{matches}], lambda w: w IS NOT NULL)) AS word FROM postings)
+        SELECT entity, code, CAST(count(DISTINCT word) AS INT) AS matched FROM answered GROUP BY entity, code {wanted}"""
+
+
+#: Flights after the corrections of the stream's query.
+CORRECTED = """
+  SELECT * REPLACE (FALSE AS cancelled, CASE WHEN cancelled THEN 0 ELSE dep_delay_min END AS dep_delay_min,
+    CASE WHEN cancelled THEN 0 ELSE arr_delay_min END AS arr_delay_min)
+  FROM derived WHERE distance_miles IS NULL OR distance_miles <= 2000"""
+
+
 def _build() -> dict[str, str]:
     q: dict[str, str] = {}
     cols = ", ".join(f'"{c}"' for c in RAW_FLIGHT_COLUMNS)
@@ -468,8 +516,7 @@ def _build() -> dict[str, str]:
           AND destination IN (FROM known) AND airline_code IN (SELECT iata_code FROM airlines)),
         march AS (SELECT * FROM short QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1),
         moved AS (SELECT * REPLACE (id + 1000000000000 AS id, 'X' AS flight_number,
-            CAST(flight_date + INTERVAL 1 MONTH AS DATE) AS flight_date) FROM short
-          WHERE (id + 1000000000000) % 5 = 0),
+            CAST(flight_date + INTERVAL 1 MONTH AS DATE) AS flight_date) FROM short),
         added AS (SELECT * FROM moved QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1),
         stored AS (SELECT * FROM flights WHERE month(flight_date) <> 3
           UNION ALL SELECT * FROM march UNION ALL SELECT * FROM added)
@@ -515,19 +562,7 @@ def _build() -> dict[str, str]:
         SELECT source_file, count(*) AS total_rows, CAST(0 AS BIGINT) AS inserted,
           {n("NOT is_valid")} AS skipped, CAST(0 AS BIGINT) AS errors
         FROM marked GROUP BY source_file""", *INGEST)
-    checks = {
-        "airline_summary": ("airline_summary", "total_flights", "avg_arr_delay_min", "on_time_pct"),
-        "delay_heatmap": ("heatmap", "flight_count", "avg_arr_delay", "delay_rate_pct"),
-        "top_routes": ("routes", "total_flights", "avg_arr_delay", "on_time_pct"),
-        "monthly_trend": ("monthly_trend", "total_flights", "avg_arr_delay", "on_time_pct"),
-        "route_performance": ("route_performance", "total_flights", "avg_arr_delay", "cancellation_rate"),
-    }
-    q["refresh_summaries"] = statement(" UNION ALL ".join(f"""
-        SELECT '{name}' AS summary_name, count(*) AS row_count, CAST(sum({flights}) AS BIGINT) AS flights,
-          CAST(sum(CAST({delay} AS DECIMAL(18,2))) AS DOUBLE) AS delay_sum,
-          CAST(sum(CAST({rate} AS DECIMAL(18,2))) AS DOUBLE) AS rate_sum FROM {table}"""
-        for name, (table, flights, delay, rate) in checks.items()),
-        AIRLINE_SUMMARY, HEATMAP, TOP_ROUTES, MONTHLY_TREND, ROUTE_PERFORMANCE)
+    q["refresh_summaries"] = statement(_tall(), *SUMMARY_TABLES)
     q["partition_stats"] = statement("""
         , names AS (SELECT 'flights_2023_' || lpad(CAST(m AS VARCHAR), 2, '0') AS partition_name
           FROM range(1, 13) AS r(m) UNION ALL SELECT 'flights_default'),
@@ -550,9 +585,9 @@ def _build() -> dict[str, str]:
         FROM named""")
 
     q["ingest_flights"] = statement(f"SELECT {FLIGHT_FIELDS}, source_file, source_row FROM parsed", *INGEST)
-    q["ingest_constraints"] = statement("""
-        SELECT reject_reason, count(*) AS row_count, CAST(sum(source_row % 1000) AS BIGINT) AS row_check
-        FROM checked WHERE is_valid GROUP BY reject_reason""", *INGEST, CARRIERS, CHECKED)
+    q["ingest_constraints"] = statement(f"""
+        SELECT {FLIGHT_FIELDS}, source_file, source_row, reject_reason
+        FROM checked WHERE is_valid""", *INGEST, CARRIERS, CHECKED)
     q["ingest_airports"] = statement("SELECT * FROM listed", *AIRPORT_INGEST)
     q["ingest_airlines"] = statement("SELECT * FROM carriers", RAW_TEXT, RAW, CARRIERS)
     q["search_tokens_airports"] = statement(
@@ -752,6 +787,48 @@ def _build() -> dict[str, str]:
     q["stream_insert_flights"] = statement(f"""
         SELECT * FROM flights QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY id) = 1""")
     q["stream_refresh"] = q["refresh_summaries"]
+    q["stream_refresh_corrected"] = statement(_tall(), *SUMMARY_TABLES, flights=CORRECTED)
+    q["stream_insert_recent"] = statement(f"""
+        , arrivals AS (SELECT *, CAST(floor((dayofyear(flight_date) + (id // 10) % 75 + again) / 80) AS INT) AS arrival
+          FROM flights, (VALUES (0), (100)) AS v(again)),
+        days AS (SELECT arrival, max(flight_date) AS latest FROM arrivals GROUP BY arrival),
+        passed AS (SELECT arrival, max(latest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 31 AS mark
+          FROM days),
+        firsts AS (SELECT * FROM arrivals QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY arrival, id) = 1)
+        SELECT f.* EXCLUDE (again, arrival), coalesce(f.flight_date <= p.mark, FALSE) AS is_late
+        FROM firsts AS f JOIN passed AS p USING (arrival)""")
+    q["insert_flights_filtered"] = q["insert_flights"]
+    q["partition_rows_footers"] = statement("""
+        , names AS (SELECT 'flights_2023_' || lpad(CAST(m AS VARCHAR), 2, '0') AS partition_name
+          FROM range(1, 13) AS r(m) UNION ALL SELECT 'flights_default'),
+        counted AS (SELECT 'flights_' || strftime(flight_date, '%Y_%m') AS partition_name, count(*) AS k,
+          min(flight_date) AS first_date, max(flight_date) AS last_date FROM flights GROUP BY 1)
+        SELECT partition_name, COALESCE(k, 0) AS row_count, first_date, last_date
+        FROM names LEFT JOIN counted USING (partition_name)""")
+    q["month_distribution_footers"] = statement(
+        "SELECT strftime(flight_date, '%Y-%m') AS month, count(*) AS row_count FROM flights GROUP BY 1")
+    q["count_year_footers"] = q["b_count_year"]
+    in_texts = (*AIRPORT_INGEST, RAW_TEXT, RAW, CARRIERS)
+    q["search_all_words"] = statement(_search(
+        "CASE WHEN token = 'blue' THEN 1 END, CASE WHEN token = 'brand' THEN 2 END",
+        "HAVING count(DISTINCT word) = 2"), *in_texts)
+    q["search_any_word"] = statement(_search(
+        "CASE WHEN token = 'hot' THEN 1 END, CASE WHEN token = 'air' THEN 2 END, CASE WHEN token = 'lines' THEN 3 END"), *in_texts)
+    q["search_prefix"] = statement(_search(
+        "CASE WHEN token = 'brand' THEN 1 END, CASE WHEN token LIKE 'b%' THEN 2 END",
+        "HAVING count(DISTINCT word) = 2"), *in_texts)
+    stored = """ups AS (SELECT iata_code, name, city, country, lon, lat, elevation_ft FROM listed UNION ALL
+          SELECT * FROM airports WHERE iata_code NOT IN (SELECT iata_code FROM listed))"""
+    q["deleted_airports"] = statement("""
+        SELECT *, TRUE AS refused FROM ups WHERE iata_code IN (SELECT origin FROM flights)
+          OR iata_code IN (SELECT destination FROM flights)""", *AIRPORT_INGEST, stored)
+    apart = metres("a.lon", "a.lat", "b.lon", "b.lat")
+    q["g3_airports_around_each"] = statement(f"""
+        , located AS (SELECT * FROM ups WHERE lon IS NOT NULL AND lat IS NOT NULL),
+        near AS (SELECT a.iata_code, b.iata_code AS other, {apart} AS m
+          FROM located a, located b WHERE a.iata_code <> b.iata_code AND {apart} <= 300000)
+        SELECT iata_code, count(*) AS airports_near, arg_min(other, {{'m': m, 'o': other}}) AS nearest,
+          round(min(m) / 1000, 1) AS nearest_km FROM near GROUP BY iata_code""", *AIRPORT_INGEST, stored)
     return q
 
 

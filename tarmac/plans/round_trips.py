@@ -11,10 +11,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators import ingest
+from tarmac.operators import ingest, lookup
 from tarmac.plans.data import YEARS, Data
-from tarmac.sources import csv, files, load, tables
-from tarmac.streaming import jobs
+from tarmac.sources import csv, files, footers, key_filters, load, tables
+from tarmac.streaming import corrections, event_time, jobs
 
 
 def _folder(d: Data, name: str) -> str:
@@ -102,7 +102,7 @@ def replace_month(d: Data) -> DataFrame:
     moved = march.selectExpr(
         "* EXCEPT (id, flight_date, flight_number)", "id + 1000000000000 AS id",
         "CAST(flight_date + INTERVAL 1 MONTH AS DATE) AS flight_date", "'X' AS flight_number",
-    ).filter("id % 5 = 0")
+    )
     tables.replace_month(
         march.unionByName(moved), path, "2023_03.csv", YEARS, ("id",), audit, d.airlines, d.upserted_airports)
     logged = tables.read_audit(d.spark, audit).groupBy("flight_id").agg(F.count(F.lit(1)).alias("audit_rows"))
@@ -111,27 +111,33 @@ def replace_month(d: Data) -> DataFrame:
         "audit_rows", F.coalesce("audit_rows", F.lit(0).cast("long")))
 
 
-#: Per summary: its count of flights, and two of its measures.
-SUMMARY_CHECKS = {
-    "airline_summary": ("total_flights", "avg_arr_delay_min", "on_time_pct"),
-    "delay_heatmap": ("flight_count", "avg_arr_delay", "delay_rate_pct"),
-    "top_routes": ("total_flights", "avg_arr_delay", "on_time_pct"),
-    "monthly_trend": ("total_flights", "avg_arr_delay", "on_time_pct"),
-    "route_performance": ("total_flights", "avg_arr_delay", "cancellation_rate"),
+#: Key columns of each summary.
+SUMMARY_KEYS = {
+    "airline_summary": ("airline_code",),
+    "delay_heatmap": ("day_of_week", "hour_of_day"),
+    "top_routes": ("origin", "destination"),
+    "monthly_trend": ("month", "airline_code"),
+    "route_performance": ("origin", "destination", "airline_code"),
 }
 
 
-def checked_summaries(summaries: dict[str, DataFrame]) -> DataFrame:
-    """Per summary: rows, flights, and exact sums of two measures."""
+def tall(summaries: dict[str, DataFrame]) -> DataFrame:
+    """All values of all rows: summary, key, measure, and the value as a number or else as text."""
     out = None
     for name, df in summaries.items():
-        flights, delay, rate = SUMMARY_CHECKS[name]
-        row = df.agg(
-            F.expr("count(1) AS row_count"), F.expr(f"sum({flights}) AS flights"),
-            F.expr(f"CAST(sum(CAST({delay} AS DECIMAL(18,2))) AS DOUBLE) AS delay_sum"),
-            F.expr(f"CAST(sum(CAST({rate} AS DECIMAL(18,2))) AS DOUBLE) AS rate_sum"),
-        ).selectExpr(f"'{name}' AS summary_name", "*")
-        out = row if out is None else out.unionByName(row)
+        keys = SUMMARY_KEYS[name]
+        values = []
+        for column, kind in df.dtypes:
+            if column not in keys:
+                number = kind in ("bigint", "int", "double")
+                values.append(F.struct(
+                    F.lit(column).alias("measure"),
+                    (F.col(column) if number else F.lit(None)).cast("double").alias("value"),
+                    (F.lit(None) if number else F.col(column)).cast("string").alias("text")))
+        rows = df.select(
+            F.lit(name).alias("summary_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
+            F.inline(F.array(*values)))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -139,7 +145,7 @@ def refresh_summaries(d: Data) -> DataFrame:
     """All five summaries, refreshed and read back."""
     root = _folder(d, "summaries")
     tables.refresh_summaries(d.flights, d.airlines, d.airports, root)
-    return checked_summaries({name: tables.read_summary(d.spark, root, name) for name in tables.SUMMARIES})
+    return tall({name: tables.read_summary(d.spark, root, name) for name in tables.SUMMARIES})
 
 
 def stream_delay_audit(d: Data) -> DataFrame:
@@ -165,4 +171,74 @@ def stream_refresh(d: Data) -> DataFrame:
     root = _folder(d, "stream-refresh")
     stream = jobs.flight_stream(d.spark, d.flights_path, files_per_batch=6)
     jobs.stream_refresh(stream, f"{root}/measures", f"{root}/checkpoint").awaitTermination()
-    return checked_summaries(jobs.live_summaries(d.spark, f"{root}/measures", d.airlines, d.airports))
+    return tall(jobs.live_summaries(d.spark, f"{root}/measures", d.airlines, d.airports))
+
+
+#: Days of flight dates that arrive together, of a flight's longest way to its arrival, and between its two arrivals.
+TOGETHER, LONGEST_WAY, AGAIN = 80, 75, 100
+ARRIVAL = f"CAST(floor((dayofyear(flight_date) + (id DIV 10) % {LONGEST_WAY} + repeated * {AGAIN}) / {TOGETHER}) AS INT)"
+
+
+def stream_insert_recent(d: Data) -> DataFrame:
+    """Every flight arrives twice, some weeks late; the second time and what is behind the watermark are told apart."""
+    root = _folder(d, "stream-recent")
+    arrivals = d.plain_flights.withColumn("repeated", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("arrival", F.expr(ARRIVAL))
+    for n in sorted(r[0] for r in arrivals.select("arrival").distinct().collect()):
+        # one after the other, as the stream takes files by their time
+        arrivals.filter(F.col("arrival") == n).drop("arrival", "repeated").coalesce(8).write.mode("append").parquet(f"{root}/arrivals/n={n:03d}")
+        stream = jobs.flight_stream(d.spark, f"{root}/arrivals/*", files_per_batch=1000)
+        event_time.stream_insert_recent(stream, root, f"{root}/checkpoint", YEARS).awaitTermination()
+    return event_time.read_recent(d.spark, root).drop("created_at", "flight_month")
+
+
+def stream_refresh_corrected(d: Data) -> DataFrame:
+    """All five summaries after corrections that arrive as signed changes, no month computed again.
+
+    Cancelled flights are replaced by flown ones without delay, flights of more than 2000 miles
+    leave, and March arrives as a replacement of itself.
+    """
+    root = _folder(d, "stream-corrected")
+    flights = d.flights.drop("created_at")
+    flown = flights.filter("cancelled").withColumns(
+        {"cancelled": F.lit(False), "dep_delay_min": F.lit(0), "arr_delay_min": F.lit(0)})
+    parts = [
+        corrections.entering(flights),
+        corrections.leaving(flights.filter("cancelled")).unionByName(corrections.entering(flown)),
+        corrections.month_replacement(
+            flights.filter("flight_month = '2023-03' AND NOT cancelled").unionByName(flown.filter("flight_month = '2023-03'")),
+            flights.filter("flight_month = '2023-03' AND NOT cancelled").unionByName(flown.filter("flight_month = '2023-03'")), "2023-03"),
+        corrections.leaving(flights.filter("NOT cancelled AND distance_miles > 2000").unionByName(flown.filter("distance_miles > 2000"))),
+    ]
+    for n, part in enumerate(parts):
+        part.withColumn("created_at", F.lit(None).cast("timestamp")).write.parquet(f"{root}/changes/n={n}")
+    stream = d.spark.readStream.schema(corrections.CHANGES_SCHEMA).option("maxFilesPerTrigger", 8).parquet(f"{root}/changes/*")
+    corrections.stream_corrections(stream, f"{root}/measures", f"{root}/checkpoint").awaitTermination()
+    return tall(corrections.corrected_summaries(d.spark, f"{root}/measures", d.airlines, d.airports))
+
+
+def insert_flights_filtered(d: Data, new: DataFrame, existing: DataFrame) -> DataFrame:
+    """The new rows, of which only those that the stored months' key filters may know meet stored keys."""
+    root = _folder(d, "filtered")
+    tables.write_flights(existing, f"{root}/flights", YEARS)
+    key_filters.rebuild_filters(d.spark, f"{root}/flights", f"{root}/keys")
+    return key_filters.new_flights_filtered(new, f"{root}/flights", f"{root}/keys", YEARS)
+
+
+def search(d: Data, words: list[str], **how) -> DataFrame:
+    """Codes of both dimensions by the words of their texts, from postings stored by ranges of words."""
+    path = f"{_folder(d, 'postings')}/postings"
+    lookup.write_postings(ingest.search_index(d.listed_airports, ingest.ingest_airlines(d.raw_flights)), path)
+    return lookup.find(lookup.read_postings(d.spark, path), words, **how)
+
+
+def deleted_airports(d: Data) -> DataFrame:
+    """All stored airports are to be deleted: those that flights use are refused, the others go."""
+    root = _folder(d, "deleted")
+    tables.publish(d.upserted_airports, root, "airports")
+    refused = tables.delete_airports(d.upserted_airports, d.flights, root)
+    left = tables.read_current(d.spark, root, "airports")
+    return left.join(refused.withColumn("refused", F.lit(True)), "iata_code", "left")
+
+
+def footer_stats(d: Data) -> DataFrame:
+    return footers.footer_stats(d.spark, d.flights_path)

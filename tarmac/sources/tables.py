@@ -22,6 +22,7 @@ from tarmac.operators.ingest import (
     SOURCE_COLUMNS,
     accepted,
     check_constraints,
+    delete_airports as mark_deletable,
     insert_flights,
     upsert,
     with_flight_id,
@@ -336,6 +337,21 @@ def upsert_table(new: DataFrame, root: str, name: str, key: str = "iata_code") -
     publish(upsert(old, new, key), root, name)
 
 
+def delete_airports(candidates: DataFrame, flights: DataFrame, root: str, name: str = "airports") -> DataFrame:
+    """Delete the candidate codes that no flight uses from a dimension table, as a new version.
+
+    Returns the codes that were refused, because flights use them.
+    """
+    marked = mark_deletable(candidates.select("iata_code").distinct(), flights)
+    spark, stage = candidates.sparkSession, f"{root}/{name}_deletions"
+    publish(marked, stage, "marked")
+    marked = read_current(spark, stage, "marked")
+    rest = read_current(spark, root, name).join(marked.filter("deletable").select("iata_code"), "iata_code", "left_anti")
+    publish(rest, root, name)
+    prune(spark, stage, "marked", keep=1)
+    return marked.filter("NOT deletable").select("iata_code")
+
+
 # ---------------------------------------------------------------- summaries
 
 # Declared, so that opening a summary needs no look into its files.
