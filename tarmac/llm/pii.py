@@ -75,7 +75,8 @@ def base_and_added(text: str):
     if DIGIT.search(text) is None:
         return
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        # without leading zeros first, as there may be thousands of them
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in (part.lstrip("0") for part in m[0].split("."))):
             yield 1, m.start(), m.end()
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -116,7 +117,8 @@ def find_personal_data(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
 
     Kinds are indexes into KINDS. Patterns propose; part ranges, digit counts, the Luhn check
     of cards and the mod-97 check of IBANs confirm; context words within `REACH` characters move
-    the score. Spans under `min_score` are left out; the default keeps every confirmed one.
+    the score. Spans that the method adds (IBANs) are left out under `min_score`; those of the
+    fixed patterns stay, whatever their score. The default keeps every confirmed span.
 
     Null text counts as empty and has no spans. Null and repeated doc_ids are rows like others.
     An empty table gives an empty result. Columns other than doc_id and text are not read.
@@ -124,7 +126,8 @@ def find_personal_data(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = text_rows(docs).mapInArrow(_find, f"doc_id {kind}, spans {SPANS}")
-    return found.withColumn("spans", F.filter("spans", lambda s: s.score >= min_score))
+    added = KINDS.index("iban")
+    return found.withColumn("spans", F.filter("spans", lambda s: (s.kind < added) | (s.score >= min_score)))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +136,6 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[number(i).alias(f"n_{KINDS[i]}") for i in range(4)],
         F.sha2(told(F.filter("spans", lambda s: s.kind < 4), KINDS), 256).alias("base_sha256"),
-        told(F.col("spans"), KINDS).alias("spans"),
+        told(F.col("spans"), KINDS).alias("spans"), (F.size("spans") > 0).alias("found"),
         F.array_join(F.transform("spans", lambda s: s.score.cast("string")), ",").alias("scores"),
     )

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import hash_sample, table, text_rows
+from tarmac.llm.common import table, text_rows
 
 ASSIGN = (
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -21,8 +21,6 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Mean log-likelihood ratio per character pair from which a token counts as random.
 MIN_SCORE = 0.7
-#: Documents, picked by hash, whose ordinary words train the model of identifiers.
-ORDINARY_DOCS = 2000
 #: Pseudo-counts of each pair: random strings start out uniform, identifiers rare.
 RANDOM_PRIOR, ORDINARY_PRIOR = 20.0, 0.5
 
@@ -65,26 +63,26 @@ def secret_value(span: Column) -> Column:
 
 
 def _pairs(values: DataFrame) -> DataFrame:
-    """Counts of adjacent characters of the alphabet, at most the square of its size."""
-    pair = F.explode(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1))), lambda i: F.substring("value", i, 2))
-    )
+    """Counts of adjacent characters of the alphabet, at most the square of its size; repeated values are cut up once."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1))), lambda i: F.substring("value", i, 2))
     wanted = "^[" + ALPHABET.replace("-", "\\-") + "]{2}$"
-    return values.select(pair.alias("pair")).filter(F.col("pair").rlike(wanted)).groupBy("pair").count()
+    return (
+        values.groupBy("value").agg(F.count("*").alias("times")).select(F.explode(pairs).alias("pair"), "times")
+        .filter(F.col("pair").rlike(wanted)).groupBy("pair").agg(F.sum("times").alias("count"))
+    )
 
 
-def labelled_samples(docs: DataFrame, ordinary_docs: int = ORDINARY_DOCS) -> tuple[DataFrame, DataFrame]:
+def labelled_samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Random strings and ordinary identifiers (column value), labelled by the fixed patterns.
 
-    Random: the secrets that the patterns find, in all documents. Ordinary: the words of
-    about `ordinary_docs` documents, picked by hash, with those secrets cut out.
+    Random: the secrets that the patterns find. Ordinary: all other words, those secrets cut
+    out. Both are taken from all documents.
     """
     rows = text_rows(docs)
     found = rows.select(F.explode(base_spans(F.col("text"))).alias("s"))
     # a password may be a plain word: only values with a digit count as random strings
     random = found.select(secret_value(F.col("s")).alias("value")).filter("value rlike '[0-9]'")
-    picked = hash_sample(rows, ordinary_docs, "doc_id", "text")
-    clean = picked.select(
+    clean = rows.select(
         F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ").alias("text")
     )
     ordinary = clean.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("value"))

@@ -126,3 +126,15 @@ def test_odd_rows(odd, no_docs):
         assert sum(map(len, found.values())) == odd.count()
         assert all(list(r["spans"]) == [] for i in (4, 5, 6, None) for r in found[i])
         assert scan(no_docs).count() == 0
+
+
+def test_an_address_of_thousands_of_zeros(docs_of):
+    texts = ["0" * 5000 + ".1.1.1", "1.2.3." + "0" * 9999 + "255", "9" * 5000 + ".1.1.1", "1.1.1." + "0" * 6000]
+    found = by_id(pii.find_personal_data(docs_of(*texts)))
+    assert [len([s for s in found[i][0]["spans"] if s["kind"] == 1]) for i in range(4)] == [1, 1, 0, 1]
+
+
+def test_a_least_score_leaves_base_spans(docs_of):
+    texts = ["order 10.0.0.1 here", "example GB82 WEST 1234 5698 7654 32"]
+    found = by_id(pii.find_personal_data(docs_of(*texts), min_score=0.95))
+    assert len(found[0][0]["spans"]) == 1 and found[1][0]["spans"] == []
