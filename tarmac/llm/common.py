@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,3 +78,24 @@ def hash_sample(rows: DataFrame, most: int, *keys) -> DataFrame:
 def text_rows(docs: DataFrame, *others: str) -> DataFrame:
     """doc_id, text (null as empty) and further columns; what else a table holds is left out."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *others)
+
+
+def release_memory() -> None:
+    """Hand what a Python worker no longer uses back to the system, as idle workers outlive their stage."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """A function over batches that releases memory when its task ends."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run

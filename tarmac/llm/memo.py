@@ -7,6 +7,7 @@ words, and is emptied when it no longer knows most of the words that come.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import struct
 import sys
@@ -65,9 +66,19 @@ class WordIds(Memo):
     """Ids of texts, as little-endian 32-bit bytes, by a tokenizer that cuts lower-case words.
 
     Latin text is cut here just as the tokenizer's own pattern cuts it, and each distinct word
-    goes through the library once per worker. Anything else goes through the library whole.
+    goes through the library once per worker. Anything else goes through the library whole, and
+    so does every text if the tokenizer's file does not state just the steps that are cut here.
     """
 
+    #: The steps of a file whose words can be cut here (fixed values of the tokenizer's format).
+    NORMALIZER = {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    WORD_END = "</w>"
+
     #: Here NFC changes nothing, lower-casing goes letter by letter and white space is plain.
     PLAIN = re.compile("[\t\n\v\f\r -~¡-įı-ſ]*")
     #: Letters, single numbers, the pattern's endings, other marks.
@@ -81,7 +92,12 @@ class WordIds(Memo):
 
         self.model = tokenizers.Tokenizer.from_file(path)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.ends = {i for token, i in self.model.get_vocab().items() if token.endswith("</w>")}
+        self.ends = {i for token, i in self.model.get_vocab().items() if token.endswith(self.WORD_END)}
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        self.cuts = (
+            steps["normalizer"] == self.NORMALIZER and steps["pre_tokenizer"] == self.PRE_TOKENIZER
+            and steps["model"].get("end_of_word_suffix") == self.WORD_END and steps["model"].get("continuing_subword_prefix") is None)
 
     def encode(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
@@ -98,7 +114,7 @@ class WordIds(Memo):
         return found if len(found) == len(words) and start == len(ids) else [self.encode(w) for w in words]
 
     def plain(self, text: str) -> bool:
-        return self.PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+        return self.cuts and self.PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self.CUT.findall(text.lower()) if self.plain(text) else None for text in texts]

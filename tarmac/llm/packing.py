@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import memo
-from tarmac.llm.common import ship, table, text_rows, work_folder, written
+from tarmac.llm.common import lean, ship, table, text_rows, work_folder, written
 
 LENGTH = 4096
 END_ID = 1
 #: Pieces that one task packs; groups are cut by a stored running number, so none is larger by much.
 GROUP_PIECES = 50_000
-ROUNDS = 3
 PIECES = "task int, number long, doc_id {}, piece int, start long, length long, ids_crc32 long"
-PLACED = "task int, number long, sequence_id long, offset long, open boolean"
+PLACED = "task int, number long, sequence_id long, offset long, open boolean, bins long, bound long"
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -55,7 +54,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_
                 )
                 number += len(rows)
 
-    return text_rows(docs).mapInArrow(cut, PIECES.format(kind))
+    return text_rows(docs).mapInArrow(lean(cut), PIECES.format(kind))
 
 
 def _runs(column: pa.Array):
@@ -122,25 +121,30 @@ def _pack_group(capacity: int, first_id: int):
         pdf = pdf.sort_values(["length", "task", "number"], ascending=[False, True, True])
         lengths = pdf["length"].to_numpy()
         bins, offsets, fills = best_fit_decreasing(lengths, capacity)
-        certified = len(fills) == bin_bound(lengths, capacity)
+        bound = bin_bound(lengths, capacity)
+        certified = len(fills) == bound
         open_bins = fills < (0.97 * capacity if not certified else fills.min() + 1)
         open_bins &= fills < capacity
         group = int(pdf["group"].iloc[0])
         return pd.DataFrame({
             "task": pdf["task"], "number": pdf["number"],
             "sequence_id": first_id + (group << 24) + bins, "offset": offsets, "open": open_bins[bins],
+            "bins": len(fills), "bound": bound,
         })
 
     return pack
 
 
-def pack(pieces: DataFrame, folder: str, length: int = LENGTH, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, folder: str, length: int = LENGTH, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Places of all pieces: task, number, sequence_id, offset.
 
     Each group is packed best-fit decreasing and its bin count held against the bound. In the
     next round, the documents of open bins meet those of other groups in fewer groups. Rounds
-    end when one group is left or the round has saved no bin. Bins hold the same documents after
+    end when one group is left or a round has saved no bin. Bins hold the same documents after
     a retry, as groups are cut from the written table.
+
+    The written tables `round0`, `round1` and so on in the folder hold each group's number of
+    bins and its bound (columns bins and bound); `certificates` reads them.
     """
     keys = pieces.filter(F.col("length") < length).select("task", "number", "length")
     whole = pieces.filter(F.col("length") >= length).select(
@@ -149,24 +153,37 @@ def pack(pieces: DataFrame, folder: str, length: int = LENGTH, group_pieces: int
         (-(F.col("task").cast("long") * (1 << 36) + F.col("number")) - 1).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    done, left = [whole], keys.count()
-    for round_ in range(rounds):
+    columns = ["task", "number", "sequence_id", "offset"]
+    done, left, open_bins, round_ = [whole], keys.count(), None, 0
+    while True:
         groups = max(1, -(-left // group_pieces))
         dealt = keys.withColumn("group", F.pmod(F.xxhash64("task", "number", F.lit(round_)), F.lit(groups)))
         placed = written(
             dealt.groupBy("group").applyInPandas(_pack_group(length, round_ << 56), PLACED), folder, f"round{round_}")
-        last = groups == 1 or round_ == rounds - 1
-        done.append((placed if last else placed.filter("NOT open")).drop("open"))
-        if last:
+        bins = placed.groupBy("sequence_id").agg(F.first("open").alias("open"), F.count("*").alias("rows")).agg(
+            F.count("*"), F.count_if("open"), F.coalesce(F.sum(F.when(F.col("open"), F.col("rows"))), F.lit(0))
+        ).collect()[0] if groups > 1 else None
+        # a single group has met all others; as many bins as before were not worth their round
+        if bins is None or bins[1] == 0 or (open_bins is not None and bins[0] >= open_bins):
+            done.append(placed.select(*columns))
             break
+        done.append(placed.filter("NOT open").select(*columns))
         keys = keys.join(placed.filter("open").select("task", "number"), ["task", "number"])
-        left = placed.filter("open").count()
+        open_bins, left, round_ = bins[1], bins[2], round_ + 1
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
     return result
 
 
+def certificates(spark: SparkSession, folder: str, round_: int = 0) -> DataFrame:
+    """Per group of a round: its first sequence_id, bins, the bound that no packing of it goes below, and certified."""
+    placed = spark.read.parquet(f"{folder}/round{round_}")
+    return placed.groupBy(F.shiftright("sequence_id", 24).alias("group")).agg(
+        F.min("sequence_id").alias("first_id"), F.first("bins").alias("bins"), F.first("bound").alias("bound")
+    ).select("first_id", "bins", "bound", (F.col("bins") == F.col("bound")).alias("certified"))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 

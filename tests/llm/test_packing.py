@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import tokenizers
 
-from tarmac.llm.packing import best_fit_decreasing, bin_bound, op7_packing, pack, pack_documents
+from tarmac.llm.packing import best_fit_decreasing, bin_bound, certificates, op7_packing, pack, pack_documents
 from tests.conftest import SF_DIR
 from tests.llm.conftest import LONG
 
@@ -80,6 +80,8 @@ def test_groups_exchange_what_is_left_open(spark, folder):
     placed = pack(pieces, folder, length=100, group_pieces=200).join(pieces, ["task", "number"]).collect()
     assert len(placed) == len(rows)
     used = check_places(placed, 100)
+    told = certificates(spark, folder).collect()
+    assert len(told) == 15 and all(r["bound"] <= r["bins"] and r["certified"] == (r["bins"] == r["bound"]) for r in told)
     alone = -(-sum(r[2] for r in rows) // 100)
     assert used <= 1.02 * max(alone, bin_bound(np.array([r[2] for r in rows]), 100))
 
@@ -92,3 +94,13 @@ def test_odd_rows(odd, no_docs):
     assert sum(r["length"] for r in rows if r["doc_id"] == 7) == len(ids) + 1 > 4 * 4096
     assert len([r for r in rows if r["doc_id"] == 1]) == 2
     assert pack_documents(no_docs, WORDS).count() == 0
+
+
+def test_any_tokenizer_gives_the_ids_of_its_library(docs_of):
+    """Only a tokenizer that states the steps cut here has its words cut here."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = tokenizers.Tokenizer.from_file(path)
+    texts = ["Hello World", "two  blanks", "it's 2024, isn't it", "ÉTÉ größe", "", "a\nb\tc", "x<|endoftext|>y"]
+    rows = pack_documents(docs_of(*texts), path).collect()
+    told = {r["doc_id"]: r["ids_crc32"] for r in rows}
+    assert told == {i: zlib.crc32(np.array(model.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for i, t in enumerate(texts)}
