@@ -9,8 +9,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegralType
 
-from tarmac.llm.common import ship, table, text_rows, work_folder, written
+from tarmac.llm.common import hash_sample, lean, ship, table, text_rows, work_folder, written
 
 #: Width of the vector of paragraphs (64-bit sums) and of the vector of phrases (16-bit sums).
 LANES, CELLS = 8, 128
@@ -19,6 +21,8 @@ PHRASE = 3
 BUCKET_CHARS = 8_000_000
 #: More buckets than this would make the list of their limits too long; beyond, buckets grow.
 BUCKETS = 20_000
+#: Sampled ids per bucket from which limits of ids that are no whole numbers are taken.
+SAMPLED = 20
 _SEEDS = tuple(range(LANES // 2))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -100,16 +104,35 @@ def _edited(text: str, following: str | None) -> str:
     return text[:len(text) - half] + (following or "")[:half] if half else text
 
 
-def _bucket(limits: list) -> F.Column:
-    """How many of the sorted limits are not above the doc_id, by halving steps; null ids come last."""
+def _limits(rows: DataFrame, buckets: int) -> list[tuple]:
+    """Sorted (doc_id, content) at which a bucket begins; an id that would fill several is cut by its contents' hashes."""
+    ids, cuts = rows.select("doc_id").filter("doc_id IS NOT NULL"), [i / buckets for i in range(1, buckets)]
+    if isinstance(rows.schema["doc_id"].dataType, IntegralType):
+        found = [int(x) for x in rows.stat.approxQuantile("doc_id", cuts, 0.1 / buckets)] if cuts else []
+    else:
+        drawn = hash_sample(rows.filter("doc_id IS NOT NULL"), SAMPLED * buckets, "doc_id", "content") if cuts else ids.limit(0)
+        drawn = [r[0] for r in drawn.select("doc_id").orderBy("doc_id").collect()]
+        found = [drawn[int(cut * len(drawn))] for cut in cuts] if drawn else []
+    return [(x, (i << 64) // found.count(x) - (1 << 63)) for x in dict.fromkeys(found) for i in range(found.count(x))]
+
+
+def _bucket(limits: list[tuple], null_buckets: int) -> F.Column:
+    """How many of the sorted limits are not above (doc_id, content), by halving steps; null ids come last, by content."""
+    share = F.col("content").cast("double") / 2.0**64 + 0.5
+    nulls = len(limits) + F.least(F.floor(share * null_buckets), F.lit(null_buckets - 1)).cast("int")
     if not limits:
-        return F.lit(0)
-    array, steps = F.lit(limits), [1 << i for i in reversed(range(len(limits).bit_length()))]
+        return F.when(F.col("doc_id").isNull(), nulls).otherwise(0)
+    ids, contents = (F.lit(list(column)) for column in zip(*limits))
+    steps = [1 << i for i in reversed(range(len(limits).bit_length()))]
+
+    def not_above(at: F.Column) -> F.Column:
+        limit = F.get(ids, at)
+        return (limit < F.col("doc_id")) | ((limit == F.col("doc_id")) & (F.get(contents, at) <= F.col("content")))
+
     found = F.aggregate(
         F.array(*[F.lit(step) for step in steps]), F.lit(0),
-        lambda at, step: at + F.when(F.get(array, at + step - 1) <= F.col("doc_id"), step).otherwise(0),
-    )
-    return F.when(F.col("doc_id").isNull(), F.lit(len(limits))).otherwise(found)
+        lambda at, step: at + F.when(not_above(at + step - 1), step).otherwise(0))
+    return F.when(F.col("doc_id").isNull(), nulls).otherwise(found)
 
 
 def neighbours(docs: DataFrame, folder: str, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
@@ -117,29 +140,30 @@ def neighbours(docs: DataFrame, folder: str, bucket_chars: int = BUCKET_CHARS) -
 
     Columns bucket, borrowed, doc_id, text; partitions hold whole buckets, sorted so that each
     row is followed by its next one. The last bucket borrows from the first. Limits and first
-    rows are at most one number per bucket, and there are at most BUCKETS of them.
+    rows are at most one number per bucket, and there are at most BUCKETS of them. Rows without
+    an id, or many of one id, fill several buckets in order of their contents' hashes.
     """
-    rows = text_rows(docs)
-    total = rows.agg(F.sum(F.length("text"))).collect()[0][0] or 0
-    buckets = int(min(BUCKETS, max(1, -(-total // bucket_chars))))
-    cuts = [i / buckets for i in range(1, buckets)]
-    limits = sorted(set(rows.stat.approxQuantile("doc_id", cuts, 0.1 / buckets))) if cuts else []
-    dealt = rows.withColumn("bucket", _bucket([int(x) for x in limits]))
-    firsts = dealt.groupBy("bucket").agg(F.min("doc_id").alias("first_id"))
+    rows = text_rows(docs).withColumn("content", F.xxhash64("text"))
+    total, unnamed = rows.agg(
+        F.sum(F.length("text")), F.sum(F.when(F.col("doc_id").isNull(), F.length("text")))).collect()[0]
+    buckets = int(min(BUCKETS, max(1, -(-(total or 0) // bucket_chars))))
+    null_buckets = max(1, round(buckets * (unnamed or 0) / max(1, total or 0)))
+    dealt = rows.withColumn("bucket", _bucket(_limits(rows, max(1, buckets - null_buckets + 1)), null_buckets))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
+    firsts = dealt.groupBy("bucket").agg(F.min(first).alias("first"))
     order = Window.orderBy("bucket")
     before = firsts.select(
-        "bucket", "first_id",
+        "bucket", F.col("first.doc_id").alias("first_id"), F.col("first.content").alias("first_content"),
         F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias("lender"),
     )
     before = F.broadcast(written(before, folder, "firsts")).alias("f")
-    borrowed = (
-        dealt.alias("d")
-        .join(before, (F.col("d.bucket") == F.col("f.bucket")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .select(F.col("lender").alias("bucket"), F.lit(1).alias("borrowed"), "doc_id", "text")
-    )
-    everything = dealt.select("bucket", F.lit(0).alias("borrowed"), "doc_id", "text").unionByName(borrowed)
-    return everything.repartition("bucket").sortWithinPartitions(
-        "bucket", "borrowed", F.col("doc_id").asc_nulls_last(), "text")
+    is_first = (F.col("d.bucket") == F.col("f.bucket")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (
+        F.col("content") == F.col("first_content"))
+    borrowed = dealt.alias("d").join(before, is_first).select(
+        F.col("lender").alias("bucket"), F.lit(1).alias("borrowed"), "doc_id", "text", "content")
+    everything = dealt.select("bucket", F.lit(0).alias("borrowed"), "doc_id", "text", "content").unionByName(borrowed)
+    return everything.repartition(buckets, "bucket").sortWithinPartitions(
+        "bucket", "borrowed", F.col("doc_id").asc_nulls_last(), "content").drop("content")
 
 
 _COLUMNS = (
@@ -175,17 +199,18 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last half replaced by the beginning of the next document by doc_id
-    (nulls last, equal ids by text; after the last comes the first). Null text counts as empty;
+    (nulls last, equal ids by a hash of their texts; after the last comes the first). Null text counts as empty;
     an empty text has the fingerprint of no paragraphs and is like other empty ones only.
     Repeated rows are documents of their own and neighbours of each other. An empty table gives
-    an empty result. Columns other than doc_id and text are not read.
+    an empty result. Columns other than doc_id and text are not read. Ids may be of any type
+    that can be sorted. Copies of one row, id and text, stay in one bucket.
     """
     spark = docs.sparkSession
     ship(spark)
     kind = docs.schema["doc_id"].dataType
     columns = _COLUMNS.format(kind.simpleString())
     schema = pa.schema([
-        ("doc_id", pa.int64() if kind.simpleString() == "bigint" else pa.int32()), ("n_chars", pa.int64()),
+        ("doc_id", to_arrow_type(kind)), ("n_chars", pa.int64()),
         ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
         ("near_edited", pa.float64()), ("near_next", pa.float64()),
     ])
@@ -200,7 +225,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), schema.types)], schema=schema)
 
-    return neighbours(docs, work_folder(spark, "fingerprints")).mapInArrow(compare, columns)
+    return neighbours(docs, work_folder(spark, "fingerprints")).mapInArrow(lean(compare), columns)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.llm.fingerprints import Fingerprint, fingerprint_documents, neighbours, op9_fingerprints
 from tests.conftest import SF_DIR
@@ -78,3 +79,27 @@ def test_odd_rows(odd, no_docs, docs_of):
     assert fingerprint_documents(no_docs).count() == 0
     one = fingerprint_documents(docs_of("only one")).collect()[0]
     assert one["edited_sha256"] == hashlib.sha256(b"onlyonly").hexdigest() and one["near_next"] == 1.0
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date", "decimal(20,2)"])
+def test_ids_of_other_types(spark, folder, kind):
+    rows = [(f"{2000 + i}-01-01" if kind == "date" else str(i + 10), f"text of number {i} and more") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    texts = [t for _, t in rows]
+    found = sorted(fingerprint_documents(docs).collect())
+    assert [r["edited_sha256"] for r in found] == [hashlib.sha256(t.encode()).hexdigest() for t in edited(texts)]
+    buckets = neighbours(docs, folder, bucket_chars=200).filter("borrowed = 0").groupBy("bucket").count().collect()
+    assert len(buckets) > 3
+
+
+def test_many_rows_of_one_id_or_none_fill_many_buckets(spark, folder):
+    rows = [(7, f"one id {i}") for i in range(300)] + [(None, f"no id {i}") for i in range(300)] + [(i, f"own {i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = neighbours(docs, folder, bucket_chars=300).filter("borrowed = 0")
+    sizes = {r["doc_id"]: r["buckets"] for r in dealt.groupBy("doc_id").agg(F.countDistinct("bucket").alias("buckets")).collect()}
+    assert sizes[7] > 5 and sizes[None] > 5
+    found = fingerprint_documents(docs).collect()
+    assert len(found) == len(rows)
+    # every row is followed by one row: each text but those without halves is edited by another one's beginning
+    follows = neighbours(docs, folder + "x", bucket_chars=300).collect()
+    assert sum(r["borrowed"] for r in follows) >= len({r["bucket"] for r in follows})
