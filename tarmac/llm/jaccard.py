@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ship, table, text_rows, work_folder, written
+from tarmac.llm.common import lean, ship, table, text_rows, work_folder, written
 from tarmac.llm.graph import components
 
 WORDS = 5
@@ -124,7 +124,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                  pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=names)
 
     rows = text_rows(docs).withColumn("content", F.xxhash64("text"))
-    return rows.mapInArrow(describe, _SETS.format(kind))
+    return rows.mapInArrow(lean(describe), _SETS.format(kind))
 
 
 def _sum_parts(key: tuple, rows: pa.Table) -> pa.Table:
@@ -189,7 +189,7 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         tiles = [pa.array([c[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()) for c in columns]
         return pa.RecordBatch.from_arrays([pa.array(block[starts], pa.int32()), *tiles], names=["block", "h", "lo", "n", "pos"])
 
-    return text_rows(docs).mapInArrow(cut, "block int, h binary, lo binary, n binary, pos binary")
+    return text_rows(docs).mapInArrow(lean(cut), "block int, h binary, lo binary, n binary, pos binary")
 
 
 def _may_link(na, i, nb, j):
@@ -272,7 +272,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, folder: str,
     rows = rows.mapInArrow(passing, rows.schema).alias("d")
     wanted = asked.alias("f")
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.content") == F.col("f.content"))
-    return written(rows.join(wanted, same).select("text").mapInArrow(_whole_sets, "lo long, shingles binary"), folder, name)
+    return written(rows.join(wanted, same).select("text").mapInArrow(lean(_whole_sets), "lo long, shingles binary"), folder, name)
 
 
 def _close(batches):
