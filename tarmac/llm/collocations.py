@@ -17,8 +17,8 @@ SCALE = 2_000_000
 INSIDE = 80
 UNKNOWN = "und"
 #: Characters of text whose windows are made distinct at once.
-RUN_CHARS = 4_000_000
-#: Bits of the filter of frequent pairs: 16 for each, within these bounds; when it fills up, more pass.
+RUN_CHARS = 1_000_000
+#: Bits of a filter of frequent phrases: 16 for each, within these bounds; when it fills up, more pass.
 FEW_BITS, MOST_BITS = 1 << 16, 1 << 27
 #: Bytes of one part of the filter.
 PART = 1 << 16
@@ -57,41 +57,59 @@ def _runs(batch: pa.RecordBatch):
         yield lang, words
 
 
-def _hashed(lang: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which places hold words, their hashes, those of the pairs that begin there, and which pairs lie in a piece."""
-    seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8"))
-    raw = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    is_word = raw != np.uint64(_END)
-    # a word may share the hash of the mark, which decides nothing
-    for at in np.flatnonzero(~is_word).tolist():
-        is_word[at] = words[at] != _MARK
-    one = _mixed(raw, np.full(len(raw), seed, np.uint64))
-    following = np.append(one[1:], np.uint64(0))
-    inside = is_word & np.append(is_word[1:], False)
-    return is_word, _mixed(one, np.uint64(WINDOW)), _mixed(one, following), inside
+class Hashed:
+    """Hashes of the words of a run and of the pairs and triples that begin at each place and lie within a piece."""
 
+    def __init__(self, lang: str, words: list[bytes]):
+        seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8"))
+        raw = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        self.word = raw != np.uint64(_END)
+        # a word may share the hash of the mark, which decides nothing
+        for at in np.flatnonzero(~self.word).tolist():
+            self.word[at] = words[at] != _MARK
+        one = _mixed(raw, np.full(len(raw), seed, np.uint64))
+        two = _mixed(one, _following(one))
+        self.one, self.two, self.three = _mixed(one, np.uint64(WINDOW)), two, _mixed(two, _following(_following(one)))
+        self.pair = self.word & _following(self.word)
 
-def _count_pairs(batches):
-    """Hashes of words and of adjacent pairs with their counts, distinct within a run."""
-    for batch in batches:
-        for lang, words in _runs(batch):
-            is_word, one, two, inside = _hashed(lang, words)
-            found, counts = np.unique(np.concatenate([one[is_word], two[inside]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
+def _following(values: np.ndarray) -> np.ndarray:
+    """Each value's next one; nothing follows the last."""
+    return np.append(values[1:], values.dtype.type(0))
 
-def frequent_filter(rows: DataFrame, folder: str, least: int) -> np.ndarray:
-    """Bits that are set for the hash of every word and adjacent pair that occurs `least` times or more.
 
-    Hashes are counted over all rows, so what shares a hash is counted together and none is
-    missed. The bits are put together by Spark in parts and are MOST_BITS at most, however many
-    pairs there are; others that share a bit pass too, which costs time and no result.
+class Filter:
+    """Bits by hash. What was put in is known; little else is, unless the filter is full."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def knows(self, h: np.ndarray) -> np.ndarray:
+        at = (h & np.uint64(8 * len(self.bits) - 1)).astype(np.int64)
+        return self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
+
+def _counted(texts: DataFrame, hashes) -> DataFrame:
+    """Hashes (h) that hashes(run) gives for the runs of all texts, and their counts (n), distinct within a run."""
+    def count(batches):
+        for batch in batches:
+            for lang, words in _runs(batch):
+                found, counts = np.unique(hashes(Hashed(lang, words)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["h", "n"])
+
+    return texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def frequent_filter(counted: DataFrame, folder: str, name: str, least: int) -> Filter:
+    """A filter of all hashes that are counted `least` times or more.
+
+    What shares a hash is counted together, so no frequent phrase is missed. The bits are put
+    together by Spark in parts and are MOST_BITS at most, however many phrases there are; others
+    that share a bit pass too, which costs time and no result.
     """
-    frequent = written(
-        rows.mapInArrow(_count_pairs, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h"),
-        folder, "frequent")
-    bits = FEW_BITS
-    while bits < min(MOST_BITS, 16 * frequent.count()):
+    frequent = written(counted.filter(F.col("n") >= least).select("h"), folder, name)
+    bits, count = FEW_BITS, frequent.count()
+    while bits < min(MOST_BITS, 16 * count):
         bits *= 2
     size = min(PART, bits // 8)
 
@@ -104,41 +122,52 @@ def frequent_filter(rows: DataFrame, folder: str, least: int) -> np.ndarray:
     place = frequent.select(F.col("h").bitwiseAND(bits - 1).alias("place")).distinct()
     parts = place.withColumn("part", F.shiftright("place", (8 * size).bit_length() - 1).cast("int"))
     found = {r["part"]: r["bits"] for r in parts.groupBy("part").applyInArrow(part, "part int, bits binary").collect()}
-    return np.frombuffer(b"".join(found.get(i, bytes(size)) for i in range(bits // 8 // size)), np.uint8)
+    return Filter(np.frombuffer(b"".join(found.get(i, bytes(size)) for i in range(bits // 8 // size)), np.uint8))
+
+
+def frequent_filters(texts: DataFrame, folder: str, least: int) -> tuple[Filter, Filter]:
+    """Filters of the frequent words and pairs, and of the frequent triples, which are counted where both pairs are frequent."""
+    short = frequent_filter(
+        _counted(texts, lambda run: np.concatenate([run.one[run.word], run.two[run.pair]])), folder, "frequent", least)
+    held = texts.sparkSession.sparkContext.broadcast(short)
+
+    def triples(run: Hashed) -> np.ndarray:
+        goes_on = run.pair & held.value.knows(run.two)
+        return run.three[goes_on & _following(goes_on)]
+
+    return short, frequent_filter(_counted(texts, triples), folder, "triples", least)
 
 
 _COLUMNS = [f"w{i}" for i in range(1, WINDOW + 1)]
 
 
-def windows(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
+def windows(texts: DataFrame, filters: tuple[Filter, Filter]) -> DataFrame:
     """lang, w1 to w4, n: the window that begins at each word, counted within a run.
 
     A window ends early, filled up with empty words, at the end of its piece and before a word
-    that makes a rare pair with the one before it, as no frequent phrase goes on there. A rare
-    word's own window is all empty: it only counts as a word.
+    that makes a rare pair or triple with those before it, as no frequent phrase goes on there.
+    A rare word's own window is all empty: it only counts as a word.
     """
-    held = rows.sparkSession.sparkContext.broadcast(frequent)
+    held = texts.sparkSession.sparkContext.broadcast(filters)
 
     def lead(batches):
-        bits = held.value
-
-        def known(h: np.ndarray) -> np.ndarray:
-            at = (h & np.uint64(8 * len(bits) - 1)).astype(np.int64)
-            return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
-
+        short, long = held.value
         for batch in batches:
             for lang, words in _runs(batch):
-                is_word, one, two, inside = _hashed(lang, words)
-                goes_on = inside & known(two)
-                at = np.flatnonzero(is_word)
+                run = Hashed(lang, words)
+                pair = run.pair & short.knows(run.two)
+                triple = pair & _following(pair) & long.knows(run.three)
+                at = np.flatnonzero(run.word)
                 none = len(words)  # the place of the empty word
-                columns, alive = [], known(one[at])
-                key = np.full(len(at), 0, np.uint64)
-                for i in range(WINDOW):
+                key, columns = np.zeros(len(at), np.uint64), []
+                alive = short.knows(run.one[at])
+                # whether the window goes on to its second word, its third and its fourth
+                for i, goes_on in enumerate((pair, triple, _following(triple), None)):
                     place = np.minimum(at + i, none - 1)
                     columns.append(np.where(alive, place, none))
-                    key = _mixed(key, np.where(alive, one[place], np.uint64(0)))
-                    alive = alive & goes_on[place]
+                    key = _mixed(key, np.where(alive, run.one[place], np.uint64(0)))
+                    if goes_on is not None:
+                        alive = alive & goes_on[at]
                 _, first, counts = np.unique(key, return_index=True, return_counts=True)
                 texts = pa.array([*words, b""], pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -146,13 +175,15 @@ def windows(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                      *[texts.take(pa.array(c[first])).cast(pa.string()) for c in columns], pa.array(counts)],
                     names=["lang", *_COLUMNS, "n"])
 
-    return rows.mapInArrow(lead, "lang string, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", n long")
+    return texts.mapInArrow(lead, "lang string, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", n long")
 
 
 def phrase_counts(docs: DataFrame, folder: str, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of all phrases of 1 to 4 words with f >= least, and (lang, n) of all words."""
-    rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = windows(rows, frequent_filter(rows, folder, least))
+    texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    # each distinct window once before it is rolled up, as most of them lie in every task
+    counted = written(
+        windows(texts, frequent_filters(texts, folder, least)).groupBy("lang", *_COLUMNS).agg(F.sum("n").alias("n")), folder, "windows")
     sums = counted.rollup("lang", *_COLUMNS).agg(F.grouping_id().alias("level"), F.sum("n").alias("f"))
     # a bit of the level for each column that is summed away, the last one lowest
     length = F.lit(WINDOW) - F.bit_count("level")
