@@ -76,15 +76,15 @@ def out_of_range(flights: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_keys(flights: DataFrame, top: int = TOP_DUPLICATES) -> DataFrame:
-    """Business keys on more than one row, NULLs being equal; the most repeated first."""
-    return (
+def duplicate_keys(flights: DataFrame, top: int | None = TOP_DUPLICATES) -> DataFrame:
+    """Business keys on more than one row, NULLs being equal; the most repeated first, or all (None)."""
+    repeated = (
         flights.groupBy(*BUSINESS_KEY)
         .agg(F.expr("count(1) AS cnt"))
         .filter("cnt > 1")
         .orderBy(F.desc("cnt"), *[F.expr(k).asc_nulls_last() for k in BUSINESS_KEY])
-        .limit(top)
     )
+    return repeated if top is None else repeated.limit(top)
 
 
 def month_distribution(flights: DataFrame) -> DataFrame:

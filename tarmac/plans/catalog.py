@@ -124,6 +124,10 @@ CATALOG: dict[str, Query] = {
     "dry_run": lambda d: ingest.dry_run(d.raw_flights),
     "refresh_summaries": round_trips.refresh_summaries,
     "summary_counts": lambda d: tables.summary_counts(d.spark, d.summaries),
+    "table_statistics": lambda d: round_trips.table_statistics(d).select(
+        "column_name", "row_count", "null_count", "least", "greatest"),
+    # estimates, which SQL cannot give alike; held against exact values in tests
+    "table_sketches": lambda d: round_trips.table_statistics(d).drop("row_count", "null_count", "least", "greatest"),
     "partition_stats": _partition_stats,
     "partition_for_date": _partition_for_date,
     "partition_rows_footers": lambda d: footers.partition_rows(round_trips.footer_stats(d), YEARS),

@@ -577,6 +577,14 @@ def _build() -> dict[str, str]:
         UNION ALL SELECT 'monthly_trend', count(*) FROM monthly_trend
         UNION ALL SELECT 'route_performance', count(*) FROM route_performance""",
         AIRLINE_SUMMARY, HEATMAP, TOP_ROUTES, MONTHLY_TREND, ROUTE_PERFORMANCE)
+    numbers = ("dep_delay_min", "arr_delay_min", "distance_miles", "carrier_delay", "weather_delay", "nas_delay",
+               "security_delay", "late_aircraft_delay")
+    described = {c: c for c in numbers} | {"flight_date": "flight_date - DATE '1970-01-01'"} | dict.fromkeys(
+        ("airline_code", "flight_number", "origin", "destination", "dep_time", "arr_time"))
+    q["table_statistics"] = statement(" UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+          CAST(min({x or 'NULL'}) AS BIGINT) AS least, CAST(max({x or 'NULL'}) AS BIGINT) AS greatest FROM flights"""
+        for c, x in described.items()))
     q["partition_for_date"] = statement(f"""
         , days AS (SELECT DISTINCT {shifted} AS flight_date FROM flights),
         named AS (SELECT *, 'flights_' || strftime(flight_date, '%Y_%m') AS own FROM days)

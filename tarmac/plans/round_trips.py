@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators import ingest, lookup
 from tarmac.plans.data import YEARS, Data
-from tarmac.sources import csv, files, footers, key_filters, load, tables
+from tarmac.sources import csv, files, footers, key_filters, load, statistics, tables
 from tarmac.streaming import corrections, event_time, jobs
 
 
@@ -242,3 +242,10 @@ def deleted_airports(d: Data) -> DataFrame:
 
 def footer_stats(d: Data) -> DataFrame:
     return footers.footer_stats(d.spark, d.flights_path)
+
+
+def table_statistics(d: Data) -> DataFrame:
+    """Statistics of the stored flights, merged from sketches by month."""
+    root = f"{_folder(d, 'statistics')}/sketches"
+    statistics.refresh_statistics(d.spark, d.flights_path, root)
+    return statistics.table_statistics(statistics.read_sketches(d.spark, root))

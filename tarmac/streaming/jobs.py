@@ -33,17 +33,26 @@ def flight_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 def stream_delay_audit(flights: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Audit rows of every arriving flight, added by month to an audit table in the batch layout.
 
-    Rows that the table has already are left out, so a replayed batch adds nothing, and the
-    table can be read, rebuilt and replaced by month like one that a load wrote.
+    Rows that the table has already are left out, NULLs being equal, and rows that repeat each
+    other count once, in one batch like in two. So a replayed batch adds nothing, and the table
+    can be read, rebuilt and replaced by month like one that a load wrote. A batch is evaluated
+    once, into a staged table.
     """
+    stage = f"{sink.rstrip('/')}_staged"
 
     def add(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = delay_audit(batch, "flight_month")
+        tables.publish(delay_audit(batch, "flight_month").dropDuplicates(AUDIT_KEY), stage, "batch")
+        rows = tables.read_current(spark, stage, "batch")
         if files.child_names(spark, sink):
-            touched = F.col("flight_month").isin(*tables.months_of(batch))
-            rows = rows.join(tables.read_audit(spark, sink).filter(touched), AUDIT_KEY, "left_anti")
+            touched = F.col("flight_month").isin(*tables.months_of(rows))
+            rows, logged = rows.alias("r"), tables.read_audit(spark, sink).filter(touched).alias("l")
+            same = F.lit(True)
+            for key in AUDIT_KEY:
+                same &= F.col(f"r.{key}").eqNullSafe(F.col(f"l.{key}"))
+            rows = rows.join(logged, same, "left_anti")
         tables.append_months(rows, sink)
+        tables.prune(spark, stage, "batch", keep=1)
 
     return (
         flights.writeStream.foreachBatch(add)
@@ -63,12 +72,15 @@ def stream_insert_flights(
     """Insert arriving flights unless their business key is already in the table.
 
     Each batch is compared with the stored months it touches, so lateness has no
-    limit and no state grows with time; a replayed batch finds its own rows there.
+    limit and no state grows with time; a replayed batch finds its own rows there. A batch is
+    evaluated once, into a staged table.
     """
-    years = list(years)
+    years, stage = list(years), f"{table.rstrip('/')}_staged"
 
     def insert(batch: DataFrame, _batch_id: int) -> None:
-        tables.append_new_flights(batch.drop("flight_month"), table, years, order)
+        tables.publish(batch.drop("flight_month"), stage, "batch")
+        tables.append_new_flights(tables.read_current(batch.sparkSession, stage, "batch"), table, years, order)
+        tables.prune(batch.sparkSession, stage, "batch", keep=1)
 
     return (
         flights.writeStream.foreachBatch(insert)

@@ -22,7 +22,8 @@ def test_equals_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES) == set(catalog.CATALOG)
+    # estimates of sketches are held against exact values in test_statistics
+    assert set(QUERIES) - {"table_sketches"} == set(ORACLES) and set(QUERIES) == set(catalog.CATALOG)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

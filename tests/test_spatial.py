@@ -78,3 +78,25 @@ def test_five_cities_at_most_in_order(data):
     report = spatial.airport_clusters(data.flights, more, "2023-01-01", "2023-12-31", k=1).collect()
     names = sorted(r.name for r in more.filter("lon IS NOT NULL").collect())
     assert report[0].sample_cities == ", ".join(names[:5])
+
+
+def test_grid_pairs_equal_all_pairs(spark):
+    """Near the poles, over the antimeridian, on the edges of cells, and everywhere else."""
+    import random
+
+    rng = random.Random(3)
+    places = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(150)]
+    places += [(rng.choice([-180, 180, 179.5, -179.9, 0, 90]), rng.choice([-90, 90, 89.5, -89.9, 0, 60, 71.3])) for _ in range(60)]
+    places += [(rng.uniform(178, 182) % 360 - 360 * (rng.uniform(178, 182) % 360 > 180), rng.uniform(50, 52)) for _ in range(40)]
+    places = [(max(-180.0, min(180.0, float(x))), float(y)) for x, y in places]
+    rows = [(f"P{i:03d}", x, y) for i, (x, y) in enumerate(places)] + [("NONE", None, 1.0)]
+    points = spark.createDataFrame(rows, "code string, lon double, lat double")
+    for radius in (50_000.0, 800_000.0, 6_000_000.0):
+        found = spatial.pairs_within(points, points, radius)
+        other = points.selectExpr("code AS point", "lon AS point_lon", "lat AS point_lat")
+        metres = geo.distance_m("lon", "lat", "point_lon", "point_lat")
+        exact = points.join(other).selectExpr("code", "point", f"{metres} AS m").filter(f"m <= {radius}D")
+        told = [(r["centre"], r["point"]) for r in found.collect()]
+        assert len(told) == len(set(told)) and set(told) == {(r["code"], r["point"]) for r in exact.collect()}
+    plan = spatial.airports_around_each(points.withColumnRenamed("code", "iata_code"))._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan

@@ -68,3 +68,13 @@ def test_refresh_stream_follows_the_table(spark, data, folder):
     tables.replace_month(march, table, "2023_03.csv", YEARS, order=("id",))
     jobs.recompute_months(spark, table, measures, ["2023-03"])
     check()
+
+
+def test_audit_stream_keeps_one_row_of_repeats_and_nulls_equal(spark, flights_of, folder):
+    """Rows that repeat each other, with NULL in their keys, in one batch and in two."""
+    flights = flights_of({"id": 1, "origin": None, "arr_delay_min": 20}, {"id": 1, "origin": None, "arr_delay_min": 20}, {"id": 2})
+    for n in range(2):
+        tables.write_flights(flights, f"{folder}/in", YEARS)
+        stream = jobs.flight_stream(spark, f"{folder}/in", files_per_batch=1)
+        jobs.stream_delay_audit(stream, f"{folder}/audit", f"{folder}/check{n}").awaitTermination()
+    assert sorted(r["flight_id"] for r in tables.read_audit(spark, f"{folder}/audit").collect()) == [1, 2]
