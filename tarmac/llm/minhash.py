@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ship, table, text_rows, work_folder, written
+from tarmac.llm.common import lean, ship, table, text_rows, work_folder, written
 from tarmac.llm.graph import components
 from tarmac.llm.jaccard import set_digest, shingle_set, whole_sets
 
@@ -25,8 +25,10 @@ BANDS, ROWS = 64, 8
 COORDINATES = BANDS * ROWS
 #: Links from overlap * (100 + LIMIT) >= LIMIT * (size + size) on.
 LIMIT = 85
-#: A pair is verified if its sketches agree in this share of coordinates; at 0.85 a share so low has a probability under 1e-9.
-AGREE = 0.75
+#: A pair is verified if its sketches agree in this share of coordinates; at 0.85 a share so low has a probability under 1e-6.
+AGREE = 0.77
+#: Cells of the parities that bound from below in how many shingles two sets differ.
+PARITIES = 1024
 #: Rows of one band's bucket compared in one task at once, and rows of a task in that step.
 CHUNK, TASK_ROWS = 2000, 40_000
 
@@ -73,6 +75,12 @@ def bands(coordinates: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of shingles lies in each cell: two sets differ in at least as many shingles as cells."""
+    cells = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+
+
 _SETS = "doc_id {}, content long, lo long, n long, bands array<long>, sig binary"
 
 
@@ -87,7 +95,7 @@ def _described(batches):
             if len(shingles) and lo not in seen:
                 seen.add(lo)
                 made = sketch(shingles)
-                rows.append((lo, len(shingles), bands(made), (_mixed(made) >> np.uint64(56)).astype(np.uint8).tobytes()))
+                rows.append((lo, len(shingles), bands(made), (_mixed(made) >> np.uint64(56)).astype(np.uint8).tobytes() + parities(shingles)))
             else:
                 rows.append((lo, len(shingles), None, None))
         if len(seen) > 1_000_000:
@@ -102,7 +110,7 @@ def _described(batches):
 def document_sketches(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = text_rows(docs).withColumn("content", F.xxhash64("text"))
-    return rows.mapInArrow(_described, _SETS.format(kind))
+    return rows.mapInArrow(lean(_described), _SETS.format(kind))
 
 
 def _sizes_allow(a, b):
@@ -110,20 +118,28 @@ def _sizes_allow(a, b):
     return LIMIT * np.maximum(a, b) <= 100 * np.minimum(a, b)
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal coordinates, which are held in 8 bits, less those equal by chance."""
-    return ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+def _signatures(column) -> np.ndarray:
+    """Per set its coordinates, in 8 bits each, and behind them its parities."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES + PARITIES // 8)
 
 
-def _signatures(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+def _may_link(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether signatures allow a link of sets whose sizes add up to these.
+
+    Linking sets differ in (100 - LIMIT) / (100 + LIMIT) of both sizes at most; parities never
+    tell more differences than there are. Coordinates agree as often as the sets are alike, less
+    those that agree by chance.
+    """
+    apart = np.bitwise_count(a[:, COORDINATES:] ^ b[:, COORDINATES:]).sum(axis=1, dtype=np.int64)
+    agree = ((a[:, :COORDINATES] == b[:, :COORDINATES]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+    return ((100 + LIMIT) * apart <= (100 - LIMIT) * sizes) & (agree >= AGREE)
 
 
 def _alike(batches):
     for batch in batches:
         a, b = _signatures(batch.column("sig_a")), _signatures(batch.column("sig_b"))
-        close = _sizes_allow(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) & (_agreement(a, b) >= AGREE)
-        yield batch.select(["a", "b"]).filter(pa.array(close))
+        n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array(_sizes_allow(n, m) & _may_link(a, b, n + m)))
 
 
 def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -153,6 +169,47 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, folder: str, n
     return written(pairs.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_linked, "a long, b long"), folder, f"{name}-links")
 
 
+def _merged(labels: DataFrame, links: DataFrame, folder: str, name: str) -> DataFrame:
+    """Labels (lo, comp) of all classes after some more links (a, b)."""
+    ends = links
+    for end in "ab":
+        ends = ends.join(labels.select(F.col("lo").alias(end), F.col("comp").alias(f"comp_{end}")), end)
+    joined = components(ends.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")), folder, f"{name}-joined")
+    whole = joined.select(F.col("id").alias("comp"), F.col("comp").alias("whole"))
+    return written(labels.join(whole, "comp", "left").select("lo", F.coalesce("whole", "comp").alias("comp")), folder, f"{name}-labels")
+
+
+def drawn_together(docs: DataFrame, classes: DataFrame, members: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Labels of the classes after pairs with pivots, and the pairs that were tried.
+
+    First each class meets the least of its buckets' pivots, which a large group shares. Then, as
+    long as a quarter of what is tried links, each class meets one pivot of every other component
+    that its buckets' pivots belong to. What is left apart is compared in whole afterwards.
+    """
+    met = written(members.filter("lo <> pivot").select("lo", "pivot").distinct(), folder, "met")
+    labels = written(classes.select("lo", F.col("lo").alias("comp")), folder, "labels")
+    tried, n = None, 0
+    while True:
+        if tried is None:
+            pairs = met.groupBy("lo").agg(F.min("pivot").alias("pivot"))
+        else:
+            own = labels.select("lo", F.col("comp").alias("own"))
+            other = labels.select(F.col("lo").alias("pivot"), F.col("comp").alias("other"))
+            apart = met.join(own, "lo").join(other, "pivot").filter("own <> other")
+            apart = apart.join(tried.select(F.col("a").alias("pivot"), F.col("b").alias("lo")), ["lo", "pivot"], "left_anti")
+            pairs = apart.groupBy("lo", "other").agg(F.min("pivot").alias("pivot"))
+        pairs = written(pairs.select(F.col("pivot").alias("a"), F.col("lo").alias("b")), folder, f"star{n}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        close = written(alike(pairs, classes), folder, f"star{n}-close")
+        if close.isEmpty():
+            return labels, tried
+        links = linked(docs, classes, close, folder, f"star{n}")
+        labels = _merged(labels, links, folder, f"star{n}")
+        if 4 * links.count() < close.count():
+            return labels, tried
+        n += 1
+
+
 _PAIR = "a long, b long"
 
 
@@ -169,7 +226,7 @@ def _compared(key: tuple, rows: pa.Table) -> pa.Table:
         # rows of two chunks meet those of the other only, as each chunk also meets itself
         keep = (comp[at] != comp[to]) & ((p[at] == q[at]) | (chunk[at] != chunk[to])) & _sizes_allow(n[at], n[to])
         x, y = at[keep], to[keep]
-        close = _agreement(sig[x], sig[y]) >= AGREE
+        close = _may_link(sig[x], sig[y], n[x] + n[y])
         found.append(np.stack([lo[x[close]], lo[y[close]]], axis=1))
         d += 1
     pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
@@ -181,9 +238,7 @@ def further_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, fol
 
     A long bucket is cut into chunks, and each two of its chunks meet in a task.
     """
-    named = written(
-        members.join(labels.withColumnRenamed("id", "lo"), "lo", "left").select("key", "lo", F.coalesce("comp", "lo").alias("comp")),
-        folder, "named")
+    named = written(members.join(labels, "lo").select("key", "lo", "comp"), folder, "named")
     mixed = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows")).filter("low <> high")
     rows = (
         named.join(mixed.select("key", F.ceil(F.col("rows") / CHUNK).cast("int").alias("chunks")), "key")
@@ -204,10 +259,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A document's set are its distinct runs of five words (lower-cased, A-Z), or all its words if
     there are fewer. Sets of a similarity of 0.85 or more link, confirmed on the whole sets.
-    Equal sets are one class. Every bucket of every band first pairs its members with one of
-    them, its pivot, which draws large groups together in few pairs; then all members that are
-    still in different components are compared by sizes and sketches, and those that may link
-    are verified. There is no limit on a bucket's members.
+    Equal sets are one class. Every bucket of every band has a pivot; classes first meet pivots,
+    which draws large groups together in few pairs; then all members of a bucket that are still
+    in different components are compared by sizes and sketches, and those that may link are
+    verified. There is no limit on a bucket's members.
 
     Null text counts as empty; documents without words have component_id = doc_id, linked with
     nothing. component_id is the smallest doc_id of the component, null only if it has no other.
@@ -229,23 +284,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # most buckets hold one class
     shared = keys.groupBy("key").agg(F.min("lo").alias("pivot"), F.max("lo").alias("other")).filter("pivot <> other")
     members = written(keys.join(shared.select("key", "pivot"), "key").distinct(), folder, "members")
-    star = members.filter("lo <> pivot").select(F.col("pivot").alias("a"), F.col("lo").alias("b")).distinct()
-    star = written(alike(star, classes), folder, "star")
-    labels = components(linked(docs, classes, star, folder, "star"), folder, "near")
-    more = written(further_pairs(members, labels, classes, folder).join(star, ["a", "b"], "left_anti"), folder, "more")
-    found = linked(docs, classes, more, folder, "more")
-    ends = found
-    for end in "ab":
-        own = labels.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
-        ends = ends.join(own, end, "left")
-    ends = ends.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
-    joined = components(ends, folder, "joined").select(F.col("id").alias("comp"), F.col("comp").alias("whole"))
-    # classes in neither table of labels are components of their own
+    labels, tried = drawn_together(docs, classes, members, folder)
+    more = written(further_pairs(members, labels, classes, folder).join(
+        tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), folder, "more")
+    labels = _merged(labels, linked(docs, classes, more, folder, "more"), folder, "more")
     named = written(
-        classes.select("lo", F.struct("no_id", "doc_id").alias("head")).join(labels.withColumnRenamed("id", "lo"), "lo", "left")
-        .withColumn("comp", F.coalesce("comp", "lo")).join(joined, "comp", "left")
-        .select("lo", "head", F.coalesce("whole", "comp").alias("whole")),
-        folder, "named-classes")
+        classes.select("lo", F.struct("no_id", "doc_id").alias("head")).join(labels, "lo")
+        .select("lo", "head", F.col("comp").alias("whole")), folder, "named-classes")
     heads = named.groupBy("whole").agg(F.min("head").alias("head"))
     by_class = written(named.drop("head").join(heads, "whole").select("lo", F.col("head.doc_id").alias("component_id")), folder, "components")
     told = rows.join(by_class, "lo").select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -58,7 +58,7 @@ def test_agreement_estimates_the_similarity(n):
 
 def test_a_link_is_hardly_ever_missed():
     assert (1 - (LIMIT / 100) ** ROWS) ** BANDS < 1e-8
-    assert (LIMIT / 100 - AGREE) / (0.85 * 0.15 / COORDINATES) ** 0.5 > 6
+    assert (LIMIT / 100 - AGREE) / (0.85 * 0.15 / COORDINATES) ** 0.5 > 5
     rng = np.random.default_rng(5)
     for _ in range(200):
         own = rng.integers(0, 2**64, 108, dtype=np.uint64)
@@ -95,3 +95,12 @@ def test_odd_rows(odd, no_docs):
     assert own[8] == (1, 8, True) and own[9] == (1, 8, False)
     assert own[None] == (5, None, True)
     assert near_duplicates(no_docs).count() == 0
+
+
+def test_parities_never_tell_more_differences_than_there_are():
+    rng = np.random.default_rng(6)
+    for extra in (0, 1, 40, 3000):
+        a = rng.integers(0, 2**64, 500, dtype=np.uint64)
+        b = np.concatenate([a[20:], rng.integers(0, 2**64, extra, dtype=np.uint64)])
+        x, y = (np.frombuffer(minhash.parities(s), np.uint8) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= 20 + extra
