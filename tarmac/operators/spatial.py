@@ -175,7 +175,7 @@ def pairs_within(centres: DataFrame, points: DataFrame, radius_m: float) -> Data
         f"metres <= {float(radius_m)!r}D")
 
 
-def airports_around_each(airports: DataFrame, radius_m: float = 300_000) -> DataFrame:
+def airports_around_each(airports: DataFrame, radius_m: float = SHORT_ROUTE_M) -> DataFrame:
     """Per located airport with another one in reach: how many there are, and the nearest (equals by code)."""
     places = _located(airports).selectExpr("iata_code AS code", "lon", "lat")
     near = pairs_within(places, places, radius_m).filter("centre <> point")

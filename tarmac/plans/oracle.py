@@ -834,7 +834,7 @@ def _build() -> dict[str, str]:
     q["g3_airports_around_each"] = statement(f"""
         , located AS (SELECT * FROM ups WHERE lon IS NOT NULL AND lat IS NOT NULL),
         near AS (SELECT a.iata_code, b.iata_code AS other, {apart} AS m
-          FROM located a, located b WHERE a.iata_code <> b.iata_code AND {apart} <= 300000)
+          FROM located a, located b WHERE a.iata_code <> b.iata_code AND {apart} <= 500000)
         SELECT iata_code, count(*) AS airports_near, arg_min(other, {{'m': m, 'o': other}}) AS nearest,
           round(min(m) / 1000, 1) AS nearest_km FROM near GROUP BY iata_code""", *AIRPORT_INGEST, stored)
     return q
