@@ -188,17 +188,9 @@ def drawn_together(docs: DataFrame, classes: DataFrame, members: DataFrame, fold
     """
     met = written(members.filter("lo <> pivot").select("lo", "pivot").distinct(), folder, "met")
     labels = written(classes.select("lo", F.col("lo").alias("comp")), folder, "labels")
-    tried, n = None, 0
+    best, tried, n = met.groupBy("lo").agg(F.min("pivot").alias("pivot")), None, 0
     while True:
-        if tried is None:
-            pairs = met.groupBy("lo").agg(F.min("pivot").alias("pivot"))
-        else:
-            own = labels.select("lo", F.col("comp").alias("own"))
-            other = labels.select(F.col("lo").alias("pivot"), F.col("comp").alias("other"))
-            apart = met.join(own, "lo").join(other, "pivot").filter("own <> other")
-            apart = apart.join(tried.select(F.col("a").alias("pivot"), F.col("b").alias("lo")), ["lo", "pivot"], "left_anti")
-            pairs = apart.groupBy("lo", "other").agg(F.min("pivot").alias("pivot"))
-        pairs = written(pairs.select(F.col("pivot").alias("a"), F.col("lo").alias("b")), folder, f"star{n}")
+        pairs = written(best.select(F.col("pivot").alias("a"), F.col("lo").alias("b")), folder, f"star{n}")
         tried = pairs if tried is None else tried.unionByName(pairs)
         close = written(alike(pairs, classes), folder, f"star{n}-close")
         if close.isEmpty():
@@ -207,6 +199,11 @@ def drawn_together(docs: DataFrame, classes: DataFrame, members: DataFrame, fold
         labels = _merged(labels, links, folder, f"star{n}")
         if 4 * links.count() < close.count():
             return labels, tried
+        # what has come together or was tried is not asked again, so each round joins less
+        own, other = labels.select("lo", F.col("comp").alias("own")), labels.select(F.col("lo").alias("pivot"), F.col("comp").alias("other"))
+        met = met.join(pairs.select(F.col("b").alias("lo"), F.col("a").alias("pivot")), ["lo", "pivot"], "left_anti")
+        apart = written(met.join(own, "lo").join(other, "pivot").filter("own <> other").select("lo", "pivot", "other"), folder, f"apart{n}")
+        met, best = apart.select("lo", "pivot"), apart.groupBy("lo", "other").agg(F.min("pivot").alias("pivot"))
         n += 1
 
 
