@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import lean, release_memory, ship, table, text_rows, work_folder, written
 
 ORDER = 4
-#: Trusted documents of a language that its model is fitted on, at most about so many, picked by hash.
-FIT_DOCS = 20_000
 SEED = 5
-#: One trusted document in HELD_OUT is kept from the fit; these and all unfitted ones set the thresholds.
+#: One trusted document in HELD_OUT is kept from the fit; these set the thresholds, all others are fitted.
 HELD_OUT = 4
 #: With fewer held-out documents a language's own quantile is uncertain, and that of all languages counts if it is
 #: higher (`few` of classify_quality; 0 goes by each language's own quantile alone).
@@ -265,8 +263,10 @@ def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]],
             "chars": pa.array(sizes["chars"], pa.int64()), "perplexity": pa.array(found["chars"], pa.float64()),
             "words": pa.array(sizes["words"], pa.int64()), "word_perplexity": pa.array(found["words"], pa.float64())})
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, lang string, gram long")
-    answered = asked.join(gram_costs(asked.select("lang", "gram").distinct(), model), ["lang", "gram"])
+    # both uses read every column of one shuffle, so that each block asks once
+    asked = dealt.groupBy("block").applyInArrow(ask, "block int, lang string, gram long").repartition("lang", "gram")
+    wanted = asked.groupBy("lang", "gram").agg(F.min("block").alias("first")).filter("first IS NOT NULL").select("lang", "gram")
+    answered = asked.join(gram_costs(wanted, model), ["lang", "gram"])
     return dealt.groupBy("block").cogroup(answered.select("block", "lang", "gram", "cost").groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, lang string, {carried}chars long, perplexity double, words long, word_perplexity double")
 
@@ -298,28 +298,30 @@ def _limits(judges: DataFrame, few: int) -> DataFrame:
         for u in UNITS])
 
 
-def _fitted(own: DataFrame, fit_docs: int) -> DataFrame:
-    """The rows of own (doc_id, lang) to fit: about `fit_docs` of each language, chosen by hash.
+def _fitted(own: DataFrame, fit_docs: int | None = None) -> DataFrame:
+    """The rows of own (doc_id, lang) to fit: all that are not held out; with `fit_docs`, about so many of each language.
 
     Of two or more documents of a language at least one is fitted and one is not.
     """
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     own = own.withColumns({"hash": F.xxhash64("doc_id"), "held": held})
+    share = F.lit(1.0)
+    if fit_docs is not None:
+        share = F.least(share, fit_docs / F.greatest(F.count_if(~F.col("held")), F.lit(1)))
     counts = own.groupBy("lang").agg(
-        F.min("hash").alias("first"), F.max("hash").alias("last"),
-        (F.least(F.lit(1.0), fit_docs / F.greatest(F.count_if(~F.col("held")), F.lit(1))) * (1 << 30)).alias("limit"))
+        F.min("hash").alias("first"), F.max("hash").alias("last"), (share * (1 << 30)).alias("limit"))
     drawn = ~F.col("held") & (F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < F.col("limit"))
     return own.join(counts, "lang").filter(
         (F.col("hash") == F.col("last")) | drawn & (F.col("hash") != F.col("first"))).select("doc_id", "lang")
 
 
-def classify_quality(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, order: int = ORDER,
+def classify_quality(docs: DataFrame, labels: DataFrame, fit_docs: int | None = None, order: int = ORDER,
                      carry: tuple[str, ...] = (), few: int = FEW) -> DataFrame:
     """Per row: doc_id, lang, chars, perplexity, threshold, words, word_perplexity, word_threshold, kept,
     and columns to carry along.
 
-    The models of a language are fitted on about `fit_docs` of its trusted documents (quality 1,
-    not toxic) at most, picked by hash; everything else covers all rows. The two thresholds of a language, for
+    The models of a language are fitted on all its trusted documents (quality 1, not toxic) but one
+    in HELD_OUT (only with `fit_docs`, on about so many of them). The two thresholds of a language, for
     character 4-grams and for recurring words, are quantiles over all its trusted documents
     outside the fit, with a margin (of all languages' if it has fewer than `few` and theirs is higher); those of short texts are as much wider as their means
     scatter more. A document above either goes. Words are told apart by white space, so in
