@@ -1,5 +1,7 @@
 """How the larger queries lay out their work."""
 
+from tarmac.plans import catalog
+
 
 def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
@@ -15,3 +17,9 @@ def test_orders_meet_customers_before_lines(data):
     assert plan.index("l_orderkey") < plan.index("o_custkey")
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "l_orderkey" in joins[0] and len(joins) == 3
+
+
+def test_file_stats_compare_keys_and_sources_only(data):
+    plan = optimized(catalog.CATALOG["file_stats"](data))
+    assert "min(struct(" in plan
+    assert not [line for line in plan.splitlines() if "distance_miles" in line and "Relation" not in line]
