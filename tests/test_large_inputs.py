@@ -1,7 +1,12 @@
 """How the larger queries lay out their work."""
 
+from types import SimpleNamespace
+
+from pyspark.sql import functions as F
+
 from tarmac.plans import catalog, round_trips
 from tarmac.sources import files
+from tests.conftest import FLIGHT_DEFAULTS
 
 
 def optimized(df) -> str:
@@ -42,3 +47,14 @@ def test_file_stats_compare_keys_and_sources_only(data):
     plan = optimized(catalog.CATALOG["file_stats"](data))
     assert "min(struct(" in plan
     assert not [line for line in plan.splitlines() if "distance_miles" in line and "Relation" not in line]
+
+
+def test_flights_without_a_date_arrive_too(spark, folder):
+    rows = [{**FLIGHT_DEFAULTS, "id": 10 * n, "flight_number": str(n)} for n in range(3)]
+    flights = spark.createDataFrame(rows, "id long, flight_date string, airline_code string, flight_number string, "
+        "origin string, destination string, dep_time string, dep_delay_min int, arr_time string, arr_delay_min int, "
+        "cancelled boolean, diverted boolean, distance_miles int, carrier_delay int, weather_delay int, nas_delay int, "
+        "security_delay int, late_aircraft_delay int")
+    flights = flights.withColumn("flight_date", F.when(F.col("id") > 0, F.col("flight_date")).cast("date"))
+    stored = round_trips.stream_insert_recent(SimpleNamespace(spark=spark, root=folder, plain_flights=flights))
+    assert sorted(r["id"] for r in stored.collect()) == [0, 10, 20]
