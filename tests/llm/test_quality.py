@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tarmac.llm import quality
 from tarmac.llm.quality import _fitted, classify_quality, gram_costs, op6_quality, perplexities, recurrence_grams, train
 from tests.conftest import SF_DIR
@@ -127,6 +128,13 @@ def test_all_but_the_held_out_documents_are_fitted(spark):
     assert inspect.signature(classify_quality).parameters["fit_docs"].default is None
 
 
+def test_the_pipeline_fits_on_all_but_the_held_out_documents(spark, monkeypatch):
+    asked, plain = [], quality._fitted
+    monkeypatch.setattr(quality, "_fitted", lambda own, fit_docs=None: asked.append(fit_docs) or plain(own, fit_docs))
+    corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+    assert asked == [None]
+
+
 def test_each_block_asks_for_its_grams_once(spark):
     docs = spark.createDataFrame([(i, f"some words of text {i}", "xx") for i in range(8)], "doc_id long, text string, lang string")
     grams = [spark.createDataFrame([("xx", 0, 0.5)], "lang string, gram long, p double"),
