@@ -5,8 +5,9 @@ from types import SimpleNamespace
 from pyspark.sql import functions as F
 
 from tarmac.plans import catalog, round_trips
+from tarmac.plans.data import Data
 from tarmac.sources import files
-from tests.conftest import FLIGHT_DEFAULTS
+from tests.conftest import FLIGHT_DEFAULTS, SF_DIR
 
 
 def optimized(df) -> str:
@@ -58,3 +59,26 @@ def test_flights_without_a_date_arrive_too(spark, folder):
     flights = flights.withColumn("flight_date", F.when(F.col("id") > 0, F.col("flight_date")).cast("date"))
     stored = round_trips.stream_insert_recent(SimpleNamespace(spark=spark, root=folder, plain_flights=flights))
     assert sorted(r["id"] for r in stored.collect()) == [0, 10, 20]
+
+
+def test_raw_flights_are_made_in_one_scan_and_not_stored(spark, data, folder):
+    raw = data.raw_flights_text
+    plan = optimized(raw)
+    assert plan.count("Relation") == 1 and "Union" not in plan
+    assert not files.exists(spark, f"{data.root}/raw_flights")
+    copies = raw.groupBy((F.col("source_row") / 2).cast("long").alias("id")).count().filter("count > 1").collect()
+    flights = data.plain_flights.filter("id % 41 = 0").select("id").distinct().collect()
+    assert {r["id"] for r in copies} >= {r["id"] for r in flights} and copies
+
+
+def test_flights_read_once_are_not_stored_for_it(spark, folder):
+    fresh = Data(spark, SF_DIR)
+    fresh.root = folder
+    once = fresh.raw_flights_once
+    assert "Rebalance" not in optimized(once) and not files.exists(spark, f"{folder}/flights")
+    assert sorted(map(str, once.collect())) == sorted(map(str, fresh.raw_flights.collect()))
+
+
+def test_texts_are_parsed_once_for_the_parsable_rows(data):
+    plan = optimized(catalog.CATALOG["ingest_flights"](data))
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("FL_DATE" in line or "gettimestamp" in line)]

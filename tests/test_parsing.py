@@ -25,6 +25,13 @@ def test_whole_numbers(spark, text, expected):
     assert apply(spark, lambda c: p.whole(p.to_number(c)), [text]) == [expected]
 
 
+def test_several_numbers_are_read_like_one(spark):
+    texts = ["15.9", "12d", "inf", "NaN", None, "0x1p3", "", " 7 ", "1e3", "junk", "ﬀ", "1D"]
+    df = spark.createDataFrame([(i, a, b) for i, a in enumerate(texts) for b in texts], "i int, a string, b string")
+    got = df.selectExpr(f"{p.to_numbers(['a', 'b'])} AS n", f"array({p.to_number('a')}, {p.to_number('b')}) AS m").collect()
+    assert [str(r["n"]) for r in got] == [str(r["m"]) for r in got] and len(got) == len(texts) ** 2
+
+
 def test_floats_drop_nan(spark):
     got = apply(spark, lambda c: p.known(p.to_number(c)), ["1.5", "NaN", "x", None])
     assert got == [1.5, None, None, None]
