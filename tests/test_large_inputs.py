@@ -2,8 +2,10 @@
 
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
+from tarmac.operators import ingest
 from tarmac.plans import catalog, round_trips
 from tarmac.plans.data import Data
 from tarmac.sources import files
@@ -82,3 +84,13 @@ def test_flights_read_once_are_not_stored_for_it(spark, folder):
 def test_texts_are_parsed_once_for_the_parsable_rows(data):
     plan = optimized(catalog.CATALOG["ingest_flights"](data))
     assert not [line for line in plan.splitlines() if "Filter" in line and ("FL_DATE" in line or "gettimestamp" in line)]
+
+
+@pytest.mark.parametrize("name", ["insert_flights", "insert_flights_filtered"])
+def test_rows_to_insert_are_parsed_once(data, monkeypatch, name):
+    asked = []
+    for module, made in ((ingest, "insert_flights"), (round_trips, "insert_flights_filtered")):
+        monkeypatch.setattr(module, made, lambda *a: asked.append(a[-2]) or a[-2])
+    catalog.CATALOG[name](data)
+    plan = optimized(asked[0])
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("FL_DATE" in line or "gettimestamp" in line)]
