@@ -3,7 +3,7 @@
 A filter is a table with a row for each of its 64-bit words. A key sets BITS_SET bits of one
 word, so that telling whether it may be stored takes one look-up, an equi-join by month and
 word whose filter side is a few bytes a stored key; Spark broadcasts it while it is small
-enough. A key that was put in is always told; of others, about one in a hundred is told as
+enough, and beyond that hashes each part of it, so that the asking rows are not sorted. A key that was put in is always told; of others, about one in a hundred is told as
 well, and meets the stored keys like before.
 """
 
@@ -20,6 +20,8 @@ from tarmac.sources import files, tables
 
 #: Bits of a filter for each key when it is full (it is made for twice the keys), and bits that a key sets.
 BITS_PER_KEY, BITS_SET = 16, 4
+#: Words up to which Spark is left to choose, which broadcasts some 10 MB: about 9 to 12 bytes a stored word.
+WORDS_TO_BROADCAST = 1_000_000
 FILTER_SCHEMA = "word BIGINT, bits BIGINT, size BIGINT, keys BIGINT, flight_month STRING"
 
 
@@ -102,9 +104,15 @@ def _known(filters: DataFrame) -> dict[str, tuple[int, int]]:
 
 
 def with_may_be_stored(rows: DataFrame, filters: DataFrame) -> DataFrame:
-    """Add `may_be_stored`: false is certain. Rows need a business key and a flight_month."""
-    asked = _placed(rows, _by_month({month: size for month, (size, _) in _known(filters).items()}, 1))
+    """Add `may_be_stored`: false is certain. Rows need a business key and a flight_month.
+
+    A word that many rows ask for is one row of the filter, so the hashed parts stay even.
+    """
+    sizes = {month: size for month, (size, _) in _known(filters).items()}
+    asked = _placed(rows, _by_month(sizes, 1))
     held = filters.selectExpr("flight_month", "word AS _word", "bits AS _held")
+    if sum(sizes.values()) > WORDS_TO_BROADCAST:
+        held = held.hint("shuffle_hash")
     return asked.join(held, ["flight_month", "_word"], "left").select(
         *rows.columns, F.expr("coalesce(_held & _bits = _bits, FALSE)").alias("may_be_stored"))
 

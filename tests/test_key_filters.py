@@ -94,3 +94,18 @@ def test_a_replaced_month_gets_a_new_filter(spark, many, folder):
     for rows in (old, many(10, 100, 20000)):
         exact = insert_flights(rows, tables.read_flights(spark, path).select(*BUSINESS_KEY), ("id",))
         assert ids(new_flights_filtered(rows, path, root, YEARS, ("id",))) == ids(exact)
+
+
+def test_large_filters_are_hashed_and_asking_rows_not_sorted(spark, many, folder, monkeypatch):
+    path, root, arriving = f"{folder}/flights", f"{folder}/keys", many(12, 200, 1000).unionByName(many(11, 60, 5000))
+    tables.write_flights(many(11, 200), path, YEARS)
+    rebuild_filters(spark, path, root)
+    placed, filters = tables.with_partition(arriving, YEARS), read_filters(spark, root)
+    small = with_may_be_stored(placed, filters)
+    exact = ids(new_flights_filtered(arriving, path, root, YEARS, ("id",)))
+    monkeypatch.setattr(key_filters, "WORDS_TO_BROADCAST", 0)
+    large = with_may_be_stored(placed, filters)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    assert ids(new_flights_filtered(arriving, path, root, YEARS, ("id",))) == exact
