@@ -78,3 +78,15 @@ def test_audit_stream_keeps_one_row_of_repeats_and_nulls_equal(spark, flights_of
         stream = jobs.flight_stream(spark, f"{folder}/in", files_per_batch=1)
         jobs.stream_delay_audit(stream, f"{folder}/audit", f"{folder}/check{n}").awaitTermination()
     assert sorted(r["flight_id"] for r in tables.read_audit(spark, f"{folder}/audit").collect()) == [1, 2]
+
+
+def test_first_inserted_batch_is_not_staged_and_later_ones_are(spark, flights_of, folder, monkeypatch):
+    staged, publish = [], tables.publish
+    monkeypatch.setattr(tables, "publish", lambda df, root, name: staged.append(name) or publish(df, root, name))
+    for n, wanted in ((0, []), (1, ["batch"])):
+        tables.write_flights(flights_of({"id": 9}, {"id": 3}, {"flight_number": str(n)}, {"dep_time": None}), f"{folder}/in{n}", YEARS)
+        stream = jobs.flight_stream(spark, f"{folder}/in{n}")
+        jobs.stream_insert_flights(stream, f"{folder}/t", f"{folder}/check{n}", YEARS).awaitTermination()
+        assert staged == wanted
+    stored = tables.read_flights(spark, f"{folder}/t")
+    assert stored.count() == 3 and stored.filter("dep_time = '08:00:00' AND flight_number = '1'").first()["id"] == 3
