@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators.ingest import SOURCE_COLUMNS, first_per_key, insert_flights
+from tarmac.operators.ingest import SORTED_KEY, SOURCE_COLUMNS, first_per_key, insert_flights
 from tarmac.operators.quality import BUSINESS_KEY
 from tarmac.sources import files, tables
 
@@ -135,7 +135,7 @@ def new_flights_filtered(
     rows = rows.withColumn("may_be_stored", F.col("may_be_stored") | unfiltered)
     tables.publish(rows, stage, "marked")
     rows = tables.read_current(spark, stage, "marked")
-    certain = first_per_key(rows.filter("NOT may_be_stored").drop("may_be_stored"), BUSINESS_KEY, order)
+    certain = first_per_key(rows.filter("NOT may_be_stored").drop("may_be_stored"), SORTED_KEY, order)
     doubtful = rows.filter("may_be_stored").drop("may_be_stored")
     # at most the days of the declared years, and those without
     days = [r[0] for r in doubtful.select("flight_date").distinct().collect()]

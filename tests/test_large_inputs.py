@@ -94,3 +94,16 @@ def test_rows_to_insert_are_parsed_once(data, monkeypatch, name):
     catalog.CATALOG[name](data)
     plan = optimized(asked[0])
     assert not [line for line in plan.splitlines() if "Filter" in line and ("FL_DATE" in line or "gettimestamp" in line)]
+
+
+def test_rows_are_grouped_in_the_order_of_stored_months(data):
+    """Months are sorted by airline and date, so these come first in the sort for the first row of a key."""
+    plan = catalog.CATALOG["insert_flights"](data)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line and "dep_time" in line]
+    assert len(sorts) == 2
+    assert all(line.split("Sort [")[1].startswith("airline_code#") and "flight_date#" in line.split(",")[1] for line in sorts)
+
+
+def test_parsable_rows_are_not_wrapped_to_be_kept(data):
+    plan = optimized(catalog.CATALOG["ingest_flights"](data))
+    assert "inline(" not in plan and "RLIKE" not in plan

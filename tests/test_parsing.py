@@ -63,6 +63,22 @@ def test_days(spark):
     assert apply(spark, p.to_day, list(cases)) == list(cases.values())
 
 
+def test_days_are_read_like_by_their_pattern(spark):
+    texts = [
+        "2023-1-5", "2023-01-05", "02023-01-05", "+2023-1-5", "2023", "2023-1", "2023-1-5 x", "2023-1-5T", "2023-1-5T00:00",
+        "2023-1-0", "2023-0-1", "2023-00-05", "2023-1-00", "2024-2-29", "2023-2-29", "2023-1-5-0", "2023--1-5", "0000-01-01",
+        "0999-12-31", "1000-1-1", "1582-10-10", "9999-12-31", "2023-001-05", "2023-1-5\x01", "today", " 2023-1-05\t",
+    ]
+    pattern = lambda c: f"try_to_date({p.strip(c)}, 'yyyy-M-d')"
+    before = spark.conf.get("spark.sql.legacy.timeParserPolicy")
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+    try:
+        read, wanted = (apply(spark, lambda c: f"CAST({day(c)} AS STRING)", texts) for day in (p.to_day, pattern))
+        assert read == wanted
+    finally:
+        spark.conf.set("spark.sql.legacy.timeParserPolicy", before)
+
+
 def test_missing_marks_are_exact(spark):
     got = apply(spark, p.missing_to_null, ["NA", "n/a", "None", "", " NA", "Nan", "JFK", None])
     assert got == [None, None, None, None, " NA", "Nan", "JFK", None]
