@@ -63,6 +63,18 @@ def test_flights_without_a_date_arrive_too(spark, folder):
     assert sorted(r["id"] for r in stored.collect()) == [0, 10, 20]
 
 
+def test_arrivals_are_written_without_a_shuffle(spark, data, folder, monkeypatch):
+    hinted = []
+    monkeypatch.setattr(type(data.plain_flights), "hint", lambda df, *a: hinted.append(a) or df)
+    monkeypatch.setattr(round_trips.event_time, "stream_insert_recent", lambda *a: SimpleNamespace(awaitTermination=lambda: None))
+    monkeypatch.setattr(round_trips.event_time, "read_recent", lambda *a: data.flights)
+    round_trips.stream_insert_recent(SimpleNamespace(spark=spark, root=folder, plain_flights=data.plain_flights))
+    assert not hinted
+    arrived = spark.read.parquet(*files.glob(spark, f"{folder}/stream-recent-*/arrivals/*"))
+    twice = data.plain_flights.unionByName(data.plain_flights)
+    assert sorted(map(str, arrived.select(*twice.columns).collect())) == sorted(map(str, twice.collect()))
+
+
 def test_raw_flights_are_made_in_one_scan_and_not_stored(spark, data, folder):
     raw = data.raw_flights_text
     plan = optimized(raw)

@@ -71,6 +71,58 @@ def test_a_batch_that_comes_again_changes_nothing(spark, flights_of, folder):
     assert keys.count() == keys.distinct().count()
 
 
+def test_the_state_is_on_disk_and_holds_a_window(spark, flights_of, folder):
+    for n, batch in enumerate(arrivals(flights_of, 4, 5, 40)):
+        batch.coalesce(1).withColumn("created_at", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/in/n={n}")
+        stream = jobs.flight_stream(spark, f"{folder}/in/*")
+        query = event_time.stream_insert_recent(stream, f"{folder}/out", f"{folder}/check", YEARS, delay_days=15)
+        query.awaitTermination()
+    assert any(name.startswith("rocksdb") for name in query.lastProgress.stateOperators[0].customMetrics)
+    stored = event_time.read_recent(spark, f"{folder}/out")
+    kept = spark.read.format("statestore").load(f"{folder}/check").select("key.*")
+    latest = stored.agg(F.max("flight_date")).collect()[0][0]
+    inside = stored.filter(F.col("flight_date") > latest - timedelta(days=15)).select(*kept.columns)
+    assert {str(r) for r in inside.collect()} <= {str(r) for r in kept.collect()}
+    # a key goes when the watermark has passed its date by as many days again
+    assert kept.filter(F.col("flight_date") <= latest - timedelta(days=30)).count() == 0
+    assert 0 < kept.count() < stored.count() / 2
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_batches_without_rows_end_after_their_state(spark, flights_of, folder, monkeypatch):
+    written, write = [], event_time._write
+    monkeypatch.setattr(event_time, "_write", lambda rows, path, years, n: written.append(n) or write(rows, path, years, n))
+    flown = flights_of({"flight_date": "2023-01-10"}, {"flight_date": None}, {"flight_date": "2023-03-10"})
+    for part in (flown.filter("flight_date < '2023-02-01'"), flown.filter("flight_date IS NULL"), flown):
+        n = len(written)
+        part.coalesce(1).withColumn("created_at", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/in/n={n}")
+        query = event_time.stream_insert_recent(
+            jobs.flight_stream(spark, f"{folder}/in/*"), f"{folder}/out", f"{folder}/check", YEARS, delay_days=15)
+        query.awaitTermination()
+        done = {p.batchId: p.numInputRows for p in query.recentProgress}
+        assert [k for k, rows in done.items() if rows == 0] == [] or max(done) not in written
+        assert min(done) in written
+    stored = event_time.read_recent(spark, f"{folder}/out").select("flight_date", "is_late").collect()
+    assert sorted(map(str, map(tuple, stored))) == sorted(map(str, [
+        (date(2023, 1, 10), False), (None, True), (date(2023, 3, 10), False)]))
+
+
+def test_late_rows_are_not_grouped_with_new_keys(spark, flights_of, folder, monkeypatch):
+    """What the watermark has passed has no key in the state, so no part of it is sorted for the accepted rows."""
+    read, write = [], event_time._write
+    monkeypatch.setattr(event_time, "_write", lambda rows, path, years, n: read.append(
+        (path, rows._jdf.queryExecution().optimizedPlan().toString())) or write(rows, path, years, n))
+    for n, day in enumerate(("2023-06-01", "2023-01-01")):
+        flights_of({"flight_date": day}).withColumn("created_at", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/in/n={n}")
+        event_time.stream_insert_recent(
+            jobs.flight_stream(spark, f"{folder}/in/*"), f"{folder}/out", f"{folder}/check", YEARS).awaitTermination()
+    accepted = [plan for path, plan in read if path.endswith("/flights")]
+    assert len(accepted) == 2
+    assert [line for line in accepted[1].splitlines() if "Filter" in line and "flight_date" in line and "> 2023-05-01" in line], accepted[1]
+    late = event_time.read_recent(spark, f"{folder}/out").filter("is_late").select("flight_date").collect()
+    assert [r[0] for r in late] == [date(2023, 1, 1)]
+
+
 def test_random_corrections_give_the_batch_summaries(spark, data, folder):
     """Inserts, replacements, deletions and a batch that comes again, against summaries of what is left."""
     rng = random.Random(4)
